@@ -1,0 +1 @@
+"""Empty on purpose: all inputs are bounded tables, and a run is repeated for a date range."""
