@@ -75,7 +75,7 @@ def _lines(flag: str) -> str:
 def _sfmc_event(kind: str, extra: str) -> str:
     return f"""
         SELECT CAST(day(ts) AS BIGINT) AS sfmc_job_id, user_id % 3 AS sfmc_list_id,
-            CAST(hour(ts) // 6 AS BIGINT) AS sfmc_batch_id, user_id AS sfmc_subscriber_id,
+            CAST(hour(ts) // 12 AS BIGINT) AS sfmc_batch_id, user_id AS sfmc_subscriber_id,
             ts AS event_utc_ts, event_id, value, props{extra}
         FROM events WHERE event_type = '{kind}'"""
 

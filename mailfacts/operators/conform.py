@@ -2,31 +2,42 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def conform(df: DataFrame, schema: T.StructType, absent: Iterable[str] = ()) -> DataFrame:
+def conform(
+    df: DataFrame,
+    schema: T.StructType,
+    absent: Iterable[str] = (),
+    constants: Mapping[str, Column] | None = None,
+    distinct: bool = False,
+) -> DataFrame:
     """Select ``schema``'s columns by name, in its order and types.
 
     ``absent`` lists the columns this source does not have; they become nulls of their type.
-    Any other missing column is a mistake and fails during analysis.
+    Any other missing column is a mistake and fails during analysis. ``constants`` are the
+    same in every row and replace a column of that name. ``distinct`` removes duplicates, comparing only columns that vary.
     """
-    absent = set(absent)
-    unknown = absent - set(schema.fieldNames())
+    absent = list(absent)
+    fixed = dict.fromkeys(absent, F.lit(None)) | dict(constants or {})
+    unknown = set(fixed) - set(schema.fieldNames())
     if unknown:
         raise ValueError(f"not in the schema: {sorted(unknown)}")
     present = [name for name in absent if name in df.columns]
     if present:
         raise ValueError(f"declared absent but present: {sorted(present)}")
-    return df.select(
+    varying = df.select(
+        *(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema if f.name not in fixed)
+    )
+    if distinct:
+        varying = varying.distinct()
+    return varying.select(
         *(
-            (F.lit(None) if field.name in absent else F.col(field.name))
-            .cast(field.dataType)
-            .alias(field.name)
-            for field in schema
+            fixed[f.name].cast(f.dataType).alias(f.name) if f.name in fixed else F.col(f.name)
+            for f in schema
         )
     )

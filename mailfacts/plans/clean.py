@@ -26,10 +26,10 @@ def clean_sends(
         sends.where(Bounds(start, end).within(sends, "sent_mst_ts"))
         .where(F.col("emailsource_id").isin(*OCP_SOURCES))
         .join(scans.customer_map(customermap), "customermap_id")
-        .distinct()
-        .withColumn("sent_mst_date", mst_date("sent_mst_ts"))
-        .withColumn("etl_build_mst_ts", build_time(build_ts)),
+        .withColumn("sent_mst_date", mst_date("sent_mst_ts")),
         schemas.CLEAN_SENDS,
+        constants={"etl_build_mst_ts": build_time(build_ts)},
+        distinct=True,
     )
 
 
@@ -41,10 +41,10 @@ def clean_opens(
     return conform(
         opens.where(Bounds(start, end).within(opens, "open_mst_ts"))
         .join(scans.customer_map(customermap), "customermap_id")
-        .distinct()
-        .withColumn("open_mst_date", mst_date("open_mst_ts"))
-        .withColumn("etl_build_mst_ts", build_time(build_ts)),
+        .withColumn("open_mst_date", mst_date("open_mst_ts")),
         schemas.CLEAN_OPENS,
+        constants={"etl_build_mst_ts": build_time(build_ts)},
+        distinct=True,
     )
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mailfacts.functions import mst_date, to_mst
@@ -40,6 +40,11 @@ CAMPAIGN_NAMES = {
 CAMPAIGN_ID, SEGMENT_ID, CHANNEL_ID = list(CAMPAIGN_NAMES)[:3]
 
 
+def _built(build_ts: str) -> dict[str, Column]:
+    built = build_time(build_ts)
+    return {"etl_build_mst_ts": built, "etl_build_mst_date": mst_date(built)}
+
+
 def _undated(df: DataFrame) -> DataFrame:
     return df.drop("year", "month", "day")
 
@@ -58,12 +63,14 @@ def dim_campaign(
         .join(_undated(campaigns), CAMPAIGN_ID)
         .join(_undated(utms), CHANNEL_ID)
         .withColumnsRenamed(CAMPAIGN_NAMES)
-        .withColumn("etl_build_mst_ts", build_time(build_ts))
-        .withColumn("etl_build_mst_date", mst_date("etl_build_mst_ts"))
     )
     return conform(
-        star, schemas.CAMPAIGN_DIM, absent=["campaign_gho_filter_applied_flag"]
-    ).distinct()
+        star,
+        schemas.CAMPAIGN_DIM,
+        absent=["campaign_gho_filter_applied_flag"],
+        constants=_built(build_ts),
+        distinct=True,
+    )
 
 
 def dim_template(template_metadata: DataFrame, build_ts: str) -> DataFrame:
@@ -72,12 +79,7 @@ def dim_template(template_metadata: DataFrame, build_ts: str) -> DataFrame:
         "create_mst_ts", to_mst("create_utc_ts")
     )
     latest = latest_per_key(versions.drop("create_utc_ts"), ["email_id"], ["create_mst_ts"])
-    return conform(
-        latest.withColumn("etl_build_mst_ts", build_time(build_ts)).withColumn(
-            "etl_build_mst_date", mst_date("etl_build_mst_ts")
-        ),
-        schemas.TEMPLATE_DIM,
-    )
+    return conform(latest, schemas.TEMPLATE_DIM, constants=_built(build_ts))
 
 
 def dim_holdout(
@@ -96,6 +98,6 @@ def dim_holdout(
         .withColumn("campaign_selection_mst_ts", to_mst("etl_build_utc_ts"))
         .withColumn("snap_date", mst_date("campaign_selection_mst_ts"))
         .join(scans.customers(customers), "customer_id", "left")
-        .withColumn("etl_build_mst_ts", build_time(build_ts))
     )
-    return conform(held_out, schemas.HOLDOUT_DIM).distinct()
+    built = {"etl_build_mst_ts": build_time(build_ts)}
+    return conform(held_out, schemas.HOLDOUT_DIM, constants=built, distinct=True)

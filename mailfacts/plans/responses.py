@@ -81,10 +81,13 @@ def ocp_responses(
     tracking: DataFrame,
     clicks: DataFrame,
     dates: ResponseDates,
+    content: DataFrame | None = None,
 ) -> DataFrame:
     """Attributed opens and clicks in one shape.
 
     Range ends differ by table: open and send dates stop before theirs, all others include it.
+    ``content`` adds the block hierarchy. Only clicks have a block, so only they are joined
+    with it, and opens get its columns as nulls.
     """
     history = Bounds(dates.send_start, dates.end, closed=False)
     sends = sends.where(history.within(sends, "sent_mst_date"))
@@ -111,7 +114,9 @@ def ocp_responses(
         latest_stage(stage.where(click_queue.within(stage, "email_queue_create_date"))),
         sends.where(click_queue.within(sends, "sent_mst_ts")),
     )
-    return answered.unionByName(followed)
+    if content is not None:
+        followed = add_content(followed, content)
+    return answered.unionByName(followed, allowMissingColumns=True)
 
 
 def response_fact_ocp(
@@ -134,12 +139,12 @@ def response_fact_ocp(
 
     The first-response flags stay null until ``flag_first_response`` has seen the history.
     """
-    responses = ocp_responses(sends, opens, stage, success, tracking, clicks, dates)
-    hierarchy = content_hierarchy(
+    content = content_hierarchy(
         scans.block_keys(block_keys),
         scans.block_subcategories(block_subcategories),
         scans.block_categories(block_categories),
     )
+    responses = ocp_responses(sends, opens, stage, success, tracking, clicks, dates, content)
     fact = (
         channel_split(responses, mass_mailer)
         .withColumns(
@@ -150,6 +155,7 @@ def response_fact_ocp(
                 "email_language_code": locale_language("language_code"),
                 "email_country_code": locale_country("language_code"),
                 "response_link_context_text": F.col("content_block_click_eid_text"),
+                "response_link_name": F.col("content_block_key_name"),
             }
         )
         .withColumnsRenamed(
@@ -164,14 +170,10 @@ def response_fact_ocp(
             "email_send_id",
             email_key("email_message_guid", "shopper_id", "isc_source_code", "template_id"),
         )
-    )
-    fact = (
-        add_content(fact, hierarchy)
-        .withColumn("response_link_name", F.col("content_block_key_name"))
         .join(scans.shoppers(shoppers), "shopper_id", "left")
-        .withColumn("etl_build_mst_ts", build_time(build_ts))
     )
-    return conform(fact, schemas.RESPONSE_FACT, ABSENT_OCP).distinct()
+    built = {"etl_build_mst_ts": build_time(build_ts)}
+    return conform(fact, schemas.RESPONSE_FACT, ABSENT_OCP, built, distinct=True)
 
 
 def response_fact_sfmc(
@@ -206,8 +208,10 @@ def response_fact_sfmc(
         {
             "email_send_mst_date": mst_date("email_send_mst_ts"),
             "email_response_mst_date": mst_date("email_response_mst_ts"),
-            "email_source_system_name": F.lit(SFMC_SYSTEM),
-            "etl_build_mst_ts": build_time(build_ts),
         }
     )
-    return conform(fact, schemas.RESPONSE_FACT, ABSENT_SFMC)
+    constants = {
+        "email_source_system_name": F.lit(SFMC_SYSTEM),
+        "etl_build_mst_ts": build_time(build_ts),
+    }
+    return conform(fact, schemas.RESPONSE_FACT, ABSENT_SFMC, constants)

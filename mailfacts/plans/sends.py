@@ -92,9 +92,9 @@ def send_fact_ocp(
             email_key("email_message_guid", "shopper_id", "isc_source_code", "template_id"),
         )
         .join(scans.shoppers(shoppers), "shopper_id", "left")
-        .withColumn("etl_build_mst_ts", build_time(build_ts))
     )
-    return conform(fact, schemas.SEND_FACT, ABSENT_OCP).distinct()
+    built = {"etl_build_mst_ts": build_time(build_ts)}
+    return conform(fact, schemas.SEND_FACT, ABSENT_OCP, built, distinct=True)
 
 
 def send_fact_sfmc(
@@ -120,12 +120,10 @@ def send_fact_sfmc(
         add_customer(
             logged, exclusion_list, scans.customers(customers), scans.shoppers(shoppers)
         )
-    ).withColumns(
-        {
-            "email_sent_flag": F.lit(True),
-            "email_send_mst_date": mst_date("email_send_mst_ts"),
-            "email_source_system_name": F.lit(SFMC_SYSTEM),
-            "etl_build_mst_ts": build_time(build_ts),
-        }
-    )
-    return conform(fact, schemas.SEND_FACT, ABSENT_SFMC).distinct()
+    ).withColumn("email_send_mst_date", mst_date("email_send_mst_ts"))
+    constants = {
+        "email_sent_flag": F.lit(True),
+        "email_source_system_name": F.lit(SFMC_SYSTEM),
+        "etl_build_mst_ts": build_time(build_ts),
+    }
+    return conform(fact, schemas.SEND_FACT, ABSENT_SFMC, constants, distinct=True)

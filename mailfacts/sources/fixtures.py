@@ -218,11 +218,11 @@ class Fixtures:
     # --- SFMC tables ------------------------------------------------------------------------
 
     def _events(self, event_type: str) -> DataFrame:
-        """Events of one type with the SFMC key: day, user group, quarter of the day, user."""
+        """Events of one type with the SFMC key: day, user group, half of the day, user."""
         return self.table("events").where(F.col("event_type") == event_type).select(
             F.dayofmonth("ts").cast("long").alias("sfmc_job_id"),
             (F.col("user_id") % 3).alias("sfmc_list_id"),
-            F.floor(F.hour("ts") / 6).cast("long").alias("sfmc_batch_id"),
+            F.floor(F.hour("ts") / 12).cast("long").alias("sfmc_batch_id"),
             F.col("user_id").alias("sfmc_subscriber_id"),
             F.col("ts").alias("event_utc_ts"),
             F.year("ts").cast("string").alias("year"),
