@@ -30,14 +30,22 @@ def conform(
     present = [name for name in absent if name in df.columns]
     if present:
         raise ValueError(f"declared absent but present: {sorted(present)}")
+    types = {field.name: field.dataType for field in df.schema}
     varying = df.select(
-        *(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema if f.name not in fixed)
+        *(
+            f.name if types.get(f.name) == f.dataType else _typed(F.col(f.name), f)
+            for f in schema
+            if f.name not in fixed
+        )
     )
     if distinct:
         varying = varying.distinct()
+    if not fixed:
+        return varying
     return varying.select(
-        *(
-            fixed[f.name].cast(f.dataType).alias(f.name) if f.name in fixed else F.col(f.name)
-            for f in schema
-        )
+        *(_typed(fixed[f.name], f) if f.name in fixed else f.name for f in schema)
     )
+
+
+def _typed(column: Column, field: T.StructField) -> Column:
+    return column.cast(field.dataType).alias(field.name)

@@ -22,6 +22,10 @@ SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
+# To be given when a session is created. Plans consist of thousands of column calls; noting
+# the call site of each would take longer than building them.
+STATIC_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session somebody else created."""

@@ -10,6 +10,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Given with the read, so that opening a table costs no job.
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double,"
+    " c_mktsegment string",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string, p_size int,"
+    " p_retailprice double",
+    "orders": "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int,"
+    " l_quantity double, l_extendedprice double, l_discount double, l_tax double,"
+    " l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double,"
+    " props string",
+}
 BUILDS = ("2024-01-01-00", "2024-02-01-00")
 SNAPSHOT = ("2024", "02", "01")
 OLDER_SNAPSHOT = ("2024", "01", "01")
@@ -51,7 +68,8 @@ class Fixtures:
     def table(self, name: str) -> DataFrame:
         """One test table; opened once, as it is only a plan."""
         if name not in self._tables:
-            self._tables[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+            reader = self.spark.read.schema(TABLES[name])
+            self._tables[name] = reader.parquet(f"{self.sf_dir}/{name}.parquet")
         return self._tables[name]
 
     # --- OCP contact tables -----------------------------------------------------------------
