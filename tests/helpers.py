@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from datetime import datetime
 
@@ -21,13 +22,16 @@ def frame(spark: SparkSession, schema: str, *data: tuple) -> DataFrame:
     return spark.createDataFrame(list(data), schema)
 
 
-def final_plan(df: DataFrame) -> str:
-    """The plan Spark ended with after running ``df``."""
-    execution = df._jdf.queryExecution()
-    df.sparkSession.sparkContext._jvm.PythonSQLUtils  # the JVM is up
-    execution.executedPlan().executeCollect()
-    return execution.executedPlan().toString()
-
-
 def planned(df: DataFrame) -> str:
+    """The plan Spark would start with."""
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def ran(df: DataFrame) -> tuple[list, str]:
+    """The rows of ``df`` and the plan Spark ended with."""
+    result = df.collect()
+    return result, planned(df).split("+- == Initial Plan ==")[0]
+
+
+def count(pattern: str, text: str) -> int:
+    return len(re.findall(pattern, text))
