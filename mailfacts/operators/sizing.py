@@ -1,0 +1,35 @@
+"""Broadcasting by measured size."""
+
+from __future__ import annotations
+
+from functools import reduce
+from operator import add
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+_FIXED_WIDTH = 8
+
+
+def _width(field: T.StructField) -> Column:
+    if isinstance(field.dataType, T.StringType | T.BinaryType):
+        return _FIXED_WIDTH + F.coalesce(F.octet_length(field.name), F.lit(0))
+    return F.lit(_FIXED_WIDTH)
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Size of the rows of ``df``, from one aggregation over it."""
+    width = reduce(add, (_width(field) for field in df.schema))
+    return df.agg(F.sum(width.cast("long"))).first()[0] or 0
+
+
+def broadcast_if_small(df: DataFrame, limit: int = MAX_BROADCAST_BYTES) -> DataFrame:
+    """Mark ``df`` for broadcast if it measures at most ``limit`` bytes.
+
+    Runs ``df`` once more, so it is for a cheap side that would otherwise make Spark shuffle a
+    very large one before it can see how small the cheap side is. Beyond the limit, and for
+    all other joins, Spark chooses by its own estimates and by sizes seen at run time.
+    """
+    return F.broadcast(df) if measured_bytes(df) <= limit else df

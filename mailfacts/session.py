@@ -27,10 +27,23 @@ SETTINGS = {
 STATIC_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings to a session somebody else created."""
+PARTITION_BYTES = 256 * 1024 * 1024
+MAX_PARTITIONS = 100_000
+
+
+def configure(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
+    """Apply the runtime settings to a session somebody else created.
+
+    ``shuffle_bytes``, the volume of the largest shuffle expected, raises the number of
+    shuffle partitions so that each fits in memory. Smaller shuffles are then coalesced at
+    run time, while too few partitions could not be mended.
+    """
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
+    if shuffle_bytes is not None:
+        needed = min(-(-shuffle_bytes // PARTITION_BYTES), MAX_PARTITIONS)
+        present = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        spark.conf.set("spark.sql.shuffle.partitions", str(max(needed, present)))
     return spark
 
 

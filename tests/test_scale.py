@@ -7,12 +7,15 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from mailfacts import plans
 from mailfacts.functions import Bounds
+from mailfacts.operators import attribution
 from mailfacts.operators.attribution import open_sends, with_email_keys
 from mailfacts.operators.customers import add_customer
 from mailfacts.operators.dedupe import keep_matching, latest_per_key
 from mailfacts.operators.events import in_mst_range
 from mailfacts.operators.first_response import first_response_flags
 from mailfacts.operators.sfmc import join_responses
+from mailfacts.operators.sizing import broadcast_if_small, measured_bytes
+from mailfacts.session import configure
 from mailfacts.sources.scans import SFMC_KEYS
 
 N = 240_000
@@ -175,7 +178,9 @@ def test_small_keys_are_broadcast_by_measured_size(spark):
     assert "BroadcastHashJoin" in ran(keep_matching(df, few, ["k"]))[1]
 
 
-def test_no_plan_forces_a_broadcast_or_a_cross_join(spark, like_a_cluster):
+def test_no_plan_forces_a_broadcast_or_a_cross_join(spark, like_a_cluster, monkeypatch):
+    """Not even of clicks, once they measure too large."""
+    monkeypatch.setattr(attribution, "broadcast_if_small", lambda df: broadcast_if_small(df, 1000))
     for name, query in entry.queries().items():
         if name == "insert_overwrite_partitions":
             continue  # writes while it is built
@@ -184,6 +189,26 @@ def test_no_plan_forces_a_broadcast_or_a_cross_join(spark, like_a_cluster):
         assert "Cartesian" not in plan, name
 
 
+def test_few_clicks_are_broadcast_to_the_tracking_table(spark, like_a_cluster):
+    plan = planned(entry.queries()["click_chain"](spark, FOLDER))
+    assert count("BroadcastHashJoin", plan) == 1
+    assert "BroadcastHashJoin [trackingcode" in plan
+
+
+def test_size_is_measured_in_bytes(spark):
+    df = spark.createDataFrame([("aé", 1), (None, 2)], "s string, n long")
+    assert measured_bytes(df) == 4 * 8 + 3
+    assert measured_bytes(df.where("false")) == 0
+
+
+def test_shuffle_partitions_follow_the_volume(spark, settings):
+    settings(spark__sql__shuffle__partitions="8")
+    configure(spark, shuffle_bytes=10 * 2**40)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "40960"
+    configure(spark, shuffle_bytes=1)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "40960"
+
+
 def test_flags_read_each_scan_narrow(spark, like_a_cluster):
     """History is read with the three columns it needs, not the wide rows."""
     df = spark.read.parquet(f"{FOLDER}/lineitem.parquet").select(
