@@ -49,7 +49,11 @@ from mailfacts.operators.content import add_content, content_hierarchy
 from mailfacts.operators.customers import flag_excluded
 from mailfacts.operators.dedupe import latest_per_key
 from mailfacts.operators.events import conform_events
-from mailfacts.operators.first_response import first_response_flags, first_response_flags_join
+from mailfacts.operators.first_response import (
+    FLAG_CODES,
+    first_response_flags,
+    first_response_flags_join,
+)
 from mailfacts.operators.sfmc import join_send_log, log_in_range, sent_in_range
 from mailfacts.plans.responses import ResponseDates, ocp_responses
 from mailfacts.session import configure, scratch_dir
@@ -87,34 +91,36 @@ def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 
 
+def _scratch(fx: Fixtures, name: str) -> str:
+    """A new folder below the shared one."""
+    return f"{scratch_dir(fx.spark)}/{name}-{uuid4().hex}"
+
+
 # --- First-response flags -------------------------------------------------------------------
 
 
-def _all_flags(fx: Fixtures, build: Callable[..., DataFrame], start: str) -> DataFrame:
-    return build(_with_flags(fx), start, EVENTS_FIRST_DAY, EVENTS_END_DAY)
+def _unflagged(df: DataFrame) -> DataFrame:
+    return df.withColumns({flag: F.lit(None).cast("boolean") for flag in FLAG_CODES})
 
 
-def _with_flags(fx: Fixtures) -> DataFrame:
-    unset = F.lit(None).cast("boolean")
-    return fx.responses().withColumns(
-        {name: unset for name in ("first_open_flag", "first_click_flag", "first_complaint_flag")}
-    )
+def _flagged_events(fx: Fixtures, build: Callable[..., DataFrame], start: str) -> DataFrame:
+    return build(_unflagged(fx.responses()), start, EVENTS_FIRST_DAY, EVENTS_END_DAY)
 
 
 @_query("first_response_flags")
 def first_response_flags_all(fx: Fixtures) -> DataFrame:
-    return _all_flags(fx, first_response_flags, EVENTS_FIRST_DAY)
+    return _flagged_events(fx, first_response_flags, EVENTS_FIRST_DAY)
 
 
 @_query("first_response_flags_incremental")
 def first_response_flags_incremental(fx: Fixtures) -> DataFrame:
     """Rewrites the second half of the events from the history of all of them."""
-    return _all_flags(fx, first_response_flags, REFLAG_FROM)
+    return _flagged_events(fx, first_response_flags, REFLAG_FROM)
 
 
 @_query("first_response_flags_join")
 def first_response_flags_marker_join(fx: Fixtures) -> DataFrame:
-    return _all_flags(fx, first_response_flags_join, REFLAG_FROM)
+    return _flagged_events(fx, first_response_flags_join, REFLAG_FROM)
 
 
 @_query("first_response_ties")
@@ -130,13 +136,11 @@ def first_response_ties(fx: Fixtures) -> DataFrame:
         F.col("l_shipdate").alias("email_response_mst_ts"),
         F.col("l_shipdate").cast("date").cast("string").alias("email_response_mst_date"),
         F.lit("ocp").alias("email_source_system_name"),
-        F.col("l_partkey").alias("l_partkey"),
-        F.col("l_linenumber").alias("l_linenumber"),
-        F.col("l_suppkey").alias("l_suppkey"),
-        *(F.lit(None).cast("boolean").alias(name) for name in
-          ("first_open_flag", "first_click_flag", "first_complaint_flag")),
+        "l_partkey",
+        "l_linenumber",
+        "l_suppkey",
     )
-    return first_response_flags(lines, FIRST_DAY, FIRST_DAY, END_DAY)
+    return first_response_flags(_unflagged(lines), FIRST_DAY, FIRST_DAY, END_DAY)
 
 
 # --- Clean layer and stage ------------------------------------------------------------------
@@ -430,10 +434,13 @@ def sfmc_send_log_join(fx: Fixtures) -> DataFrame:
 
 @_query("exclusion_flag")
 def exclusion_flag(fx: Fixtures) -> DataFrame:
+    """The list goes through a headed text file, as it comes in practice."""
+    path = _scratch(fx, "exclusion_list")
+    fx.exclusion_list().write.csv(path, header=True)
     orders = fx.table("orders").select(
         "o_orderkey", F.col("o_custkey").cast("string").alias("customer_id")
     )
-    return flag_excluded(orders, fx.exclusion_list())
+    return flag_excluded(orders, scans.exclusion_csv(fx.spark, path))
 
 
 @_query("latest_build")
@@ -507,7 +514,7 @@ def insert_overwrite_partitions(fx: Fixtures) -> DataFrame:
 
     The second write reads the table it overwrites, and leaves the other partitions alone.
     """
-    path = f"{scratch_dir(fx.spark)}/insert_overwrite_partitions-{uuid4().hex}"
+    path = _scratch(fx, "insert_overwrite_partitions")
     orders = fx.table("orders").select(
         F.col("o_orderkey").cast("string").alias("email_send_id"),
         F.col("o_orderdate").alias("email_send_mst_ts"),
