@@ -18,6 +18,8 @@ SETTINGS = {
     # Split a hot join key even where a later distinct reuses the join's partitioning.
     # Costs one exchange, and only when a hot key has been measured.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Hash instead of sort where every partition of one side has been measured to fit.
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # Overwrites replace only the partitions present in the output.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
