@@ -24,11 +24,15 @@ SETTINGS = {
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
-# To be given when a session is created. Plans consist of thousands of column calls; noting
-# the call site of each would take longer than building them.
-STATIC_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
-
-
+# To be given when a session is created.
+STATIC_SETTINGS = {
+    # Plans consist of thousands of column calls; noting the call site of each would take
+    # longer than building them.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
+    # A fact plan generates more classes than the default cache holds, so that repeated runs
+    # would compile and warm up all of them anew.
+    "spark.sql.codegen.cache.maxEntries": "2000",
+}
 PARTITION_BYTES = 256 * 1024 * 1024
 MAX_PARTITIONS = 100_000
 
