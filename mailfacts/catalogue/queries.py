@@ -245,7 +245,9 @@ def bounce_codes(fx: Fixtures) -> DataFrame:
 @_query("mst_dates")
 def mst_dates(fx: Fixtures) -> DataFrame:
     mst = to_mst("ts")
-    return fx.table("events").select("event_id", mst.alias("mst_ts"), mst_date(mst).alias("mst_date"))
+    return fx.table("events").select(
+        "event_id", mst.alias("mst_ts"), mst_date(mst).alias("mst_date")
+    )
 
 
 @_query("mst_bound_pushdown")
@@ -253,7 +255,8 @@ def mst_bound_pushdown(fx: Fixtures) -> DataFrame:
     """An MST range tested on the stored UTC column."""
     events = fx.table("events")
     bounds = Bounds(SHIFT_FROM, SHIFT_TO).mst_to_utc()
-    return events.where(bounds.within(events, "ts")).select("event_id", to_mst("ts").alias("mst_ts"))
+    in_range = events.where(bounds.within(events, "ts"))
+    return in_range.select("event_id", to_mst("ts").alias("mst_ts"))
 
 
 @_query("year_month_prune")

@@ -19,8 +19,9 @@ def conform(
     """Select ``schema``'s columns by name, in its order and types.
 
     ``absent`` lists the columns this source does not have; they become nulls of their type.
-    Any other missing column is a mistake and fails during analysis. ``constants`` are the
-    same in every row and replace a column of that name. ``distinct`` removes duplicates, comparing only columns that vary.
+    Any other missing column is a mistake and fails during analysis. ``constants`` are the same
+    in every row and replace a column of that name. ``distinct`` removes duplicates, comparing
+    only columns that vary.
     """
     absent = list(absent)
     fixed = dict.fromkeys(absent, F.lit(None)) | dict(constants or {})

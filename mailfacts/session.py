@@ -33,6 +33,8 @@ STATIC_SETTINGS = {
     # would compile and warm up all of them anew.
     "spark.sql.codegen.cache.maxEntries": "2000",
 }
+
+# Sizing of shuffles by expected volume.
 PARTITION_BYTES = 256 * 1024 * 1024
 MAX_PARTITIONS = 100_000
 

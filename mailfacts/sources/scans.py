@@ -182,11 +182,6 @@ def exclusion_csv(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.csv(path, header=True).select("QaCustomerID")
 
 
-def excluded_customers(df: DataFrame) -> DataFrame:
-    """Distinct ids: an id listed twice must not repeat its emails."""
-    return df.select(F.col("QaCustomerID").alias("customer_id")).distinct()
-
-
 # --- Metadata tables ------------------------------------------------------------------------
 
 

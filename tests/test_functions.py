@@ -115,7 +115,8 @@ def test_closed_bound_keeps_only_midnight_of_the_last_day(spark):
         (at("2024-01-01"),),
         (None,),
     )
-    closed, half_open = Bounds("2024-01-01", "2024-01-02"), Bounds("2024-01-01", "2024-01-02", False)
+    closed = Bounds("2024-01-01", "2024-01-02")
+    half_open = Bounds("2024-01-01", "2024-01-02", closed=False)
     assert df.where(closed.within(df, "t")).count() == 2
     assert df.where(half_open.within(df, "t")).count() == 1
 

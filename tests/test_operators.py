@@ -1,5 +1,7 @@
 """Operators on hand-made rows."""
 
+import random
+
 import pytest
 from helpers import at, frame, rows
 
@@ -110,6 +112,34 @@ def test_flagging_removes_duplicates(spark):
         assert build(twice, "2024-01-01", "2024-01-01", "2024-02-01").count() == 1
 
 
+def test_flags_equal_brute_force(spark, flags):
+    chance = random.Random(7)
+    data = [
+        (
+            chance.choice(["a", "b", "c", None]),
+            chance.choice(["open", "click", None]),
+            chance.choice(["o", "c", "s", None]),
+            chance.choice([None, *(f"2024-01-{day:02}" for day in range(1, 29))]),
+            chance.choice(["ocp", "ocp", "redpoint", "sfmc", None]),
+        )
+        for _ in range(300)
+    ]
+    start, all_start, end = "2024-01-08", "2024-01-03", "2024-01-25"
+    day = {n: (row[3] or "2024-01-05")[:10] for n, row in enumerate(data)}
+    own = {n: row for n, row in enumerate(data) if row[4] not in ("sfmc", None)}
+    expected = {}
+    for n, (email, kind, code, time, _) in own.items():
+        if not start <= day[n] <= end:
+            continue
+        earlier = email and kind and time and any(
+            other[:2] == (email, kind) and other[3] and other[3] < time
+            for m, other in own.items()
+            if all_start <= day[m] <= end
+        )
+        expected[n] = "".join("FT"[code == flag and not earlier] for flag in "ocs")
+    assert flags(responses(spark, *data), start, all_start, end) == expected
+
+
 @pytest.mark.parametrize("split", [channel_split, channel_split_union])
 def test_channel_split(spark, split):
     data = [(contact, source) for contact in (None, 0, 5) for source in (7, 8, 13, None)]
