@@ -6,6 +6,7 @@ from collections.abc import Iterator
 from uuid import uuid4
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,10 +68,23 @@ def lower_ascii(column: Column) -> Column:
     return F.translate(column, UPPER, LOWER)
 
 
+_PLAIN = bytes(
+    ord(" ") if c < 0x30 or 0x3A <= c < 0x41 or 0x5B <= c < 0x61 or 0x7B <= c < 0x80
+    else c + 32 if 0x41 <= c <= 0x5A
+    else c
+    for c in range(256)
+)
+
+
+def plain_words(text: str) -> list[bytes]:
+    """The lower-cased letter-and-digit words of ``PLAIN_WORD``, as UTF-8."""
+    return text.encode("utf-8", "surrogatepass").translate(_PLAIN).split()
+
+
 def chunks(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
     """Runs of rows with at most ``CHUNK_BYTES`` of text, or one longer row."""
     for batch in batches:
-        sizes = pa.compute.binary_length(batch.column(column)).to_pylist()
+        sizes = pc.binary_length(batch.column(column)).to_pylist()
         first = total = 0
         for i, size in enumerate(sizes):
             if i > first and total + size > CHUNK_BYTES:

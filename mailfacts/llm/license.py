@@ -17,7 +17,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from mailfacts.llm.common import text_or_empty
+from mailfacts.llm.common import plain_words, text_or_empty
 
 # Phrases and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
@@ -41,18 +41,6 @@ TEMPLATES = (
     ("reserved", "all rights reserved"),
 )
 
-_PLAIN = bytes(
-    ord(" ") if c < 0x30 or 0x3A <= c < 0x41 or 0x5B <= c < 0x61 or 0x7B <= c < 0x80
-    else c + 32 if 0x41 <= c <= 0x5A
-    else c
-    for c in range(256)
-)
-
-
-def plain_words(text: str) -> list[bytes]:
-    return text.encode("utf-8", "surrogatepass").translate(_PLAIN).split()
-
-
 @dataclass(frozen=True)
 class Automaton:
     """States 0..n; ``moves[s]`` are (word or None for any, next state), ``skips[s]`` states

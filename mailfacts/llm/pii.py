@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailfacts.llm.common import text_or_empty
+from mailfacts.llm.common import plain_words, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int, str]
@@ -32,8 +32,7 @@ _DOMAIN = re.compile(r"@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+){3}")
 _CARD = re.compile(r"(?<![0-9])[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_LONG_NUMBER = re.compile(r"[0-9](?:[\x20-]?[0-9]){11}")
-_DOTTED = re.compile(r"[0-9]\.[0-9]")
+_NOT_DIGITS = bytes(c for c in range(256) if not 0x30 <= c <= 0x39)
 
 
 def _digits(text: str) -> str:
@@ -64,16 +63,17 @@ def emails(text: str) -> list[Span]:
 
 def plain_spans(text: str) -> list[Span]:
     out = emails(text)
-    if _DOTTED.search(text):
+    digits = len(text.encode("utf-8", "surrogatepass").translate(None, _NOT_DIGITS))
+    if digits >= 4 and "." in text:
         for m in _IP.finditer(text):
             parts = [p.lstrip("0") for p in m[0].split(".")]
             if all(len(p) <= 3 and int(p or 0) <= 255 for p in parts):
                 out.append((m.start(), m.end(), "ip"))
-    if _LONG_NUMBER.search(text):
+    if digits >= 12:
         for m in _CARD.finditer(text):
             if len(m[0]) < 40 and 12 <= len(d := _digits(m[0])) <= 19 and luhn(d):
                 out.append((m.start(), m.end(), "card"))
-    if "+" in text:
+    if digits >= 9 and "+" in text:
         for m in _PHONE.finditer(text):
             if 9 <= len(_digits(m[0])) <= 15:
                 out.append((m.start(), m.end(), "phone"))
@@ -116,8 +116,8 @@ _SPELLED = re.compile(
     rf"\b(?:plus[\x20-]+)?(?:{_NUMBER}|[0-9])(?:[\x20,-]{{0,2}}(?:{_NUMBER}|[0-9])){{2,}}\b", re.I
 )
 _SPELLED_PART = re.compile(rf"{_NUMBER}|plus[\x20-]+|[0-9]|[\x20,-]", re.I)
-_SPELLED_HINT = re.compile(r"\b(?:" + "|".join(x for x in DIGIT_WORDS if x != "oh") + r")\b", re.I)
-_HINT = re.compile(r"[\(\[{<]\s?(?:at|dot)\s?[\)\]}>]|\b(?:at|dot)\b", re.I)
+_DIGIT_HINTS = frozenset(w.encode() for w in DIGIT_WORDS if w != "oh")
+_BRACKETS = "([{<"
 _BRACKETED = re.compile(r"\x20?[\(\[{<]\x20?(at|dot|@|\.)\x20?[\)\]}>]\x20?", re.I)
 # Bare words only inside a whole address: name at host dot suffix.
 _BARE = re.compile(
@@ -152,35 +152,47 @@ class Normalised:
         self.text = "".join(text)
 
 
+def _is_odd(text: str) -> bool:
+    """Whether a character stands for a plain one. Only a soft hyphen does below U+0100."""
+    if text.isascii():
+        return False
+    try:
+        text.encode("latin-1")
+        return "\u00ad" in text
+    except UnicodeEncodeError:
+        return _ODD.search(text) is not None
+
+
 def normalise(text: str) -> Normalised | None:
     """``None`` if the text holds no disguise."""
-    odd = not text.isascii() and _ODD.search(text) is not None
-    spelled = _SPELLED_HINT.search(text) is not None
-    if not (odd or spelled or _HINT.search(text)):
-        return None
-    out = Normalised(text)
-    if odd:
+    out = Normalised(text) if _is_odd(text) else None
+    if out:
         out.rewrite([(m.start(), m.end(), CHARACTERS[m[0]]) for m in _ODD.finditer(text)])
-    if _HINT.search(out.text):
+    plain = out.text if out else text
+    present = frozenset(plain_words(plain))
+    signs = b"at" in present or "@" in plain or b"dot" in present
+    bracketed = signs and any(b in plain for b in _BRACKETS) and _BRACKETED.search(plain)
+    if b"dot" in present or bracketed:
+        out = out or Normalised(text)
         out.rewrite([(m.start(), m.end(), _SIGN[m[1].lower()]) for m in _BRACKETED.finditer(out.text)])
-        out.rewrite(
-            [
-                (p.start(), p.end(), _SIGN[p[1].lower()])
-                for m in _BARE.finditer(out.text)
-                for p in _BARE_PART.finditer(out.text, m.start(), m.end())
-            ]
-        )
-    if _SPELLED_HINT.search(out.text):
+        pieces = []
+        for m in _BARE.finditer(out.text):
+            if " dot " in m[0].lower():
+                for p in _BARE_PART.finditer(out.text, m.start(), m.end()):
+                    pieces.append((p.start(), p.end(), _SIGN[p[1].lower()]))
+        out.rewrite(pieces)
+    if not _DIGIT_HINTS.isdisjoint(present):
+        out = out or Normalised(text)
         pieces = []
         for m in _SPELLED.finditer(out.text):
-            if not _SPELLED_HINT.search(m[0]):
+            if _DIGIT_HINTS.isdisjoint(plain_words(m[0])):
                 continue
             for p in _SPELLED_PART.finditer(out.text, m.start(), m.end()):
                 word = p[0].lower()
-                plain = "+" if word[0] == "p" else DIGIT_WORDS.get(word, word if word.isdigit() else "")
-                pieces.append((p.start(), p.end(), plain))
+                sign = "+" if word[0] == "p" else DIGIT_WORDS.get(word, word if word.isdigit() else "")
+                pieces.append((p.start(), p.end(), sign))
         out.rewrite(pieces)
-    return None if out.text == text else out
+    return None if out is None or out.text == text else out
 
 
 def added_spans(text: str, base: list[Span]) -> list[Span]:
