@@ -196,14 +196,14 @@ def normalise(text: str) -> Normalised | None:
 
 
 def added_spans(text: str, base: list[Span]) -> list[Span]:
-    """Spans seen only after normalising: what overlaps a plain span of its kind stays as it is."""
+    """Spans seen only after normalising, without those inside a plain span of their kind."""
     plain = normalise(text)
     if plain is None:
         return []
     out = []
     for a, b, kind in plain_spans(plain.text):
         start, end = plain.start[a], plain.end[b - 1]
-        if not any(kind == k and start < e and s < end for s, e, k in base):
+        if not any(kind == k and s <= start and end <= e for s, e, k in base):
             out.append((start, end, kind))
     return out
 
