@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from mailfacts.llm import contamination, mixing, neardup, quality
 from mailfacts.llm.common import table
 from mailfacts.llm.license import scan_licenses
 from mailfacts.llm.pii import find_personal_data
@@ -14,6 +15,14 @@ from mailfacts.llm.repetition import repetition_coverage
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_personal_data(table(spark, sf_dir, "documents")).drop("found")
 
@@ -22,15 +31,28 @@ def op7_license_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(table(spark, sf_dir, "documents")).drop("places")
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return quality.score_quality(docs, quality.train(docs, labels))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return contamination.find_contamination(docs, benchmark)
+
+
 def op10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repetition_coverage(table(spark, sf_dir, "documents"))
     return found.drop("ngram_shares", "line_share")
 
 
 def queries() -> dict[str, Query]:
-    named = (op6_personal_data, op7_license_templates, op10_repetition)
+    named = (
+        op2_source_mix, op5_near_duplicates,
+        op6_personal_data, op7_license_templates, op8_quality_rules, op9_decontamination, op10_repetition,
+    )
     return {f.__name__: f for f in named}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op9_decontamination": contamination.SQL}
