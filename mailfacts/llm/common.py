@@ -10,6 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mailfacts.operators.sizing import broadcast_if_small
 from mailfacts.session import scratch_dir
 
 # The two kinds of words: runs without ASCII white space, and runs of letters and digits after
@@ -24,8 +25,8 @@ BATCH_ROWS = 2_000
 BATCH_BYTES = 32 * 1024 * 1024
 CHUNK_BYTES = 2 * 1024 * 1024
 
-# Rows of a side that may be broadcast after counting them. Rows of such sides have fixed width.
-BROADCAST_ROWS = 200_000
+# Measured size up to which a side is broadcast.
+BROADCAST_BYTES = 16 * 1024 * 1024
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -48,10 +49,10 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """A stored table of fixed-width rows, marked for broadcast if it counts at most ``limit``
-    rows. Beyond that Spark joins by shuffling, and splits hot keys."""
-    return F.broadcast(df) if df.count() <= limit else df
+def small_side(df: DataFrame) -> DataFrame:
+    """A stored table, marked for broadcast if it measures at most ``BROADCAST_BYTES``. Beyond
+    that Spark joins by shuffling, and splits hot keys."""
+    return broadcast_if_small(df, BROADCAST_BYTES)
 
 
 def fold(column: str, folds: int) -> Column:

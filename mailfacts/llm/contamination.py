@@ -4,11 +4,13 @@ A window is 10 consecutive words of an item (all words of a shorter item). Windo
 are compared by their shingles of up to five words. A window that occurs in a document has all its
 shingles there, so its rarest one, by occurrences in the documents, is a sufficient prefix: only
 documents holding it can hold the window. Its place in the window gives the only possible start
-(positional bound), which must leave room for the window on both sides (length bound). What
-remains is verified on the words themselves.
+(positional bound), which must leave room for the window on both sides (length bound). Candidates
+are verified over the whole window: the shingles at its start and at its end, which together are
+all its words, must stand there. Shingles are compared as text, so what is found is exact.
 
-The item shingles are broadcast only up to ``BROADCAST_ROWS`` counted rows and joined by shuffle
-beyond. Documents are identified by id and a hash of their text, so repeated ids do no harm.
+Texts are read once. Exploded rows hold an id and a shingle, never the text. The item shingles
+are broadcast up to ``BROADCAST_BYTES`` measured bytes and joined by shuffle beyond. Documents are
+identified by id and a hash of their text, so repeated ids do no harm.
 
 Defined results: null and empty texts have no words and are clean; so is everything if the
 benchmark has no words. Items with a null id hit words but have no name in ``items_sha256`` and
@@ -25,7 +27,8 @@ from mailfacts.llm.common import LOWER, PLAIN_WORD, UPPER, small_side, stored, t
 
 WINDOW = 10
 SHINGLE = 5
-_ANY_CASE_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+KEY = ["id", "text_hash"]
+NO_ID = -(2**63)
 
 
 def words(text: Column) -> Column:
@@ -36,158 +39,133 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(lowered, F.lit(PLAIN_WORD), F.lit(0))
 
 
-def _shingles(w: Column, size: int) -> Column:
-    """A hash at each word; the last ones, of fewer words, match nothing that verifies."""
-    return F.transform(w, lambda x, i: F.xxhash64(F.lit(size), x, *(F.get(w, i + j) for j in range(1, size))))
+def shingles_at(w: Column, size: int) -> Column:
+    """The words from each word on, ``size`` of them or what is left."""
+    return F.transform(w, lambda x, i: F.concat_ws(" ", x, *(F.get(w, i + j) for j in range(1, size))))
 
 
-def _slice(w: Column, start: Column, size: Column) -> Column:
-    return F.array_join(F.slice(w, start + 1, size), " ")
-
-
-def item_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(item, text, wid, size): the windows of every item, once each."""
+def item_windows(benchmark: DataFrame, window: int) -> DataFrame:
+    """(item, text, size): the windows of every item, once each."""
     w = F.col("w")
-    size = F.least(F.size(w), F.lit(window))
+    last = F.size(w) - F.col("size")
     return (
         benchmark.select(F.col("item_id").cast("string").alias("item"), words(text_or_empty()).alias("w"))
         .where(F.size(w) > 0)
-        .select("item", "w", size.alias("size"))
-        .select("item", "size", "w", F.explode(F.sequence(F.lit(0), F.size(w) - F.col("size"))).alias("at"))
-        .select("item", "size", _slice(w, F.col("at"), F.col("size")).alias("text"))
+        .select("item", "w", F.least(F.size(w), F.lit(window)).alias("size"))
+        .select("item", "size", "w", F.explode(F.sequence(F.lit(0), last)).alias("at"))
+        .select("item", "size", F.array_join(F.slice(w, F.col("at") + 1, F.col("size")), " ").alias("text"))
         .distinct()
-        .withColumn("wid", F.xxhash64("text"))
     )
 
 
 def window_shingles(windows: DataFrame, sizes: list[int]) -> DataFrame:
-    """(wid, size, offset, h): every shingle of every window."""
-    w = F.split("text", " ")
-    parts = []
+    """(wid, size, offset, s): every shingle of every window; ``s`` has ``least(size, 5)`` words."""
+    out = None
     for k in sizes:
-        of = windows.where(F.least("size", F.lit(SHINGLE)) == k).select("wid", "size", w.alias("w"))
-        parts.append(
-            of.select("wid", "size", F.posexplode(_shingles(F.col("w"), k)).alias("offset", "h"))
-            .where(F.col("offset") <= F.col("size") - k)
-            .distinct()
-        )
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionAll(part)
+        of = windows.where(F.least("size", F.lit(SHINGLE)) == k).select("wid", "size", F.split("text", " ").alias("w"))
+        one = of.select("wid", "size", F.posexplode(shingles_at(F.col("w"), k)).alias("offset", "s"))
+        one = one.where(F.col("offset") <= F.col("size") - k)
+        out = one if out is None else out.unionAll(one)
     return out
 
 
-def matches(docs: DataFrame, shingles: DataFrame, sizes: list[int]) -> DataFrame:
-    """(doc_id, text_hash, n_words, pos, h): every place of an item shingle in a document.
-    The exploded rows hold an id and a hash, never the text."""
-    split = docs.select("doc_id", "text_hash", words(F.col("text")).alias("w"))
-    keys = small_side(shingles.select("h").distinct())
+def places(docs: DataFrame, keys: DataFrame, sizes: list[int]) -> DataFrame:
+    """(doc_id, id, text_hash, n_words, pos, sid): every place of an item shingle in a document, and one row
+    with ``sid`` -1 for every document, which an empty shingle at its end brings through the join."""
+    split = docs.select("doc_id", "id", "text_hash", words(F.col("text")).alias("w"))
     out = None
     for k in sizes:
-        one = split.select(
-            "doc_id", "text_hash", F.size("w").alias("n_words"), F.posexplode(_shingles(F.col("w"), k)).alias("pos", "h")
-        )
+        found = shingles_at(F.col("w"), k)
+        if out is None:
+            found = F.concat(found, F.array(F.lit("")))
+        one = split.select("doc_id", "id", "text_hash", F.size("w").alias("n_words"), F.posexplode(found).alias("pos", "s"))
         out = one if out is None else out.unionAll(one)
-    return out.join(keys, "h")
+    return out.join(small_side(keys), "s").drop("s")
 
 
 def prefixes(shingles: DataFrame, found: DataFrame) -> DataFrame:
     """Of each window its rarest shingle; windows with a shingle found nowhere are dropped."""
-    counts = found.groupBy("h").agg(F.count("*").alias("n"))
+    counts = found.groupBy("sid").agg(F.count("*").alias("n"))
+    rarest = F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "offset", "sid")).alias("rarest")
     return (
-        shingles.join(counts, "h", "left")
-        .groupBy("wid", "size")
-        .agg(
-            F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "offset", "h")).alias("rarest"),
-        )
-        .where(F.col("rarest.n") > 0)
-        .select("wid", "size", "rarest.offset", "rarest.h")
-    )
+        shingles.join(counts, "sid", "left")
+        .groupBy("wid", "size").agg(rarest).where("rarest.n > 0")
+        .select("wid", "size", "rarest.offset", "rarest.sid")
+    )
 
 
-def verified(docs: DataFrame, found: DataFrame, prefix: DataFrame, windows: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, start, size, wid, text): occurrences checked word by word."""
+def verified(found: DataFrame, prefix: DataFrame, shingles: DataFrame) -> DataFrame:
+    """(id, text_hash, start, size, wid): occurrences of windows, checked from end to end."""
     start = F.col("pos") - F.col("offset")
     candidates = (
-        found.join(small_side(prefix), "h")
+        found.join(small_side(prefix), "sid")
         .where((start >= 0) & (start + F.col("size") <= F.col("n_words")))
-        .groupBy("doc_id", "text_hash")
-        .agg(F.collect_set(F.struct(start.alias("start"), "size", "wid")).alias("c"))
-    )
-    candidates = stored(candidates, "op9-candidates")
-    key = docs["doc_id"].eqNullSafe(candidates["doc_id"]) & (docs["text_hash"] == candidates["text_hash"])
-    seen = (
-        docs.join(candidates, key)
-        .select(docs["doc_id"], docs["text_hash"], words(F.col("text")).alias("w"), "c")
-        .select(
-            "doc_id",
-            "text_hash",
-            F.explode(
-                F.transform("c", lambda c: F.struct(c.start.alias("start"), c.size.alias("size"), c.wid.alias("wid"), _slice(F.col("w"), c.start, c.size).alias("text")))
-            ).alias("s"),
-        )
-        .select("doc_id", "text_hash", "s.*")
-        .distinct()
+        .select(*KEY, start.alias("start"), "size", "wid")
     )
-    known = windows.select("wid", "text").distinct()
-    return seen.join(known, ["wid", "text"], "left_semi")
+    ends = shingles.where((F.col("offset") == 0) | (F.col("offset") == F.col("size") - F.least("size", F.lit(SHINGLE))))
+    ends = ends.withColumn("needed", F.count("*").over(Window.partitionBy("wid"))).select("wid", "offset", "sid", "needed")
+    asked = candidates.join(small_side(stored(ends, "op9-ends")), "wid").withColumn("pos", F.col("start") + F.col("offset"))
+    return (
+        asked.join(found.select(*KEY, "pos", "sid"), [*KEY, "pos", "sid"])
+        .groupBy(*KEY, "start", "size", "wid").agg(F.count("*").alias("seen"), F.first("needed").alias("needed"))
+        .where("seen = needed").drop("seen", "needed")
+    )
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """Words and hits of each row of ``docs`` (doc_id, text) against ``benchmark`` (item_id, text)."""
+    return _find(docs, benchmark, window).drop("text_hash")
+
+
+def _find(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
     base = docs.select(docs["doc_id"].alias("doc_id"), text_or_empty().alias("text"))
-    hashed = base.withColumn("text_hash", F.xxhash64("text"))
-    windows = stored(item_windows(benchmark, window), "op9-windows")
-    sizes = sorted(r.k for r in windows.select(F.least("size", F.lit(SHINGLE)).alias("k")).distinct().collect())
-    plain = hashed.select("doc_id", "text_hash", F.regexp_count("text", F.lit(_ANY_CASE_WORD)).cast("long").alias("n_words"))
-    nothing = F.sha2(F.lit("").cast("binary"), 256)
-    if not sizes:
-        return plain.select(
-            "doc_id", "n_words", F.lit(0).cast("long").alias("n_hit"), F.lit(0).cast("long").alias("n_items"),
-            nothing.alias("items_sha256"), F.lit(False).alias("contaminated"),
-        )
-    shingles = stored(window_shingles(windows, sizes), "op9-shingles")
-    found = stored(matches(hashed, shingles, sizes), "op9-matches")
-    prefix = stored(prefixes(shingles, found), "op9-prefixes")
-    hits = stored(verified(hashed, found, prefix, windows), "op9-hits")
-    keys = ["doc_id", "text_hash"]
+    base = base.withColumn("id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))).withColumn("text_hash", F.xxhash64("text"))
+    windows = stored(item_windows(benchmark, window), "op9-item-windows")
+    texts = windows.select("text", "size").distinct().withColumn("wid", F.monotonically_increasing_id())
+    texts = stored(texts, "op9-windows")
+    sizes = sorted(r.k for r in texts.select(F.least("size", F.lit(SHINGLE)).alias("k")).distinct().collect())
+    sizes = sizes or [SHINGLE]  # at most five
+    shingles = stored(window_shingles(texts, sizes), "op9-shingles")
+    keys = stored(shingles.select("s").distinct().withColumn("sid", F.monotonically_increasing_id()), "op9-keys")
+    shingles = stored(shingles.join(keys, "s").drop("s"), "op9-shingle-ids")
+    every = docs.sparkSession.range(1).select(F.lit("").alias("s"), F.lit(-1).cast("long").alias("sid"))
+    met = stored(places(base, stored(keys.unionAll(every), "op9-all-keys"), sizes), "op9-places")
+    found = stored(met.where("sid >= 0").select(*KEY, "n_words", "pos", "sid").distinct(), "op9-found")
+    hits = stored(verified(found, stored(prefixes(shingles, found), "op9-prefixes"), shingles), "op9-hits")
     # Words covered by overlapping occurrences: each adds what reaches beyond all before it.
     end = F.col("start") + F.col("size")
-    before = F.max(end).over(
-        Window.partitionBy(*keys).orderBy("start", "size").rowsBetween(Window.unboundedPreceding, -1)
-    )
+    before = F.max(end).over(Window.partitionBy(*KEY).orderBy("start", "size").rowsBetween(Window.unboundedPreceding, -1))
     covered = (
-        hits.select(*keys, "start", "size").distinct()
-        .select(*keys, F.greatest(F.lit(0), end - F.greatest("start", F.coalesce(before, F.lit(0)))).alias("new"))
-        .groupBy(*keys).agg(F.sum("new").cast("long").alias("n_hit"))
+        hits.select(*KEY, "start", "size").distinct()
+        .select(*KEY, F.greatest(F.lit(0), end - F.greatest("start", F.coalesce(before, F.lit(0)))).alias("new"))
+        .groupBy(*KEY).agg(F.sum("new").cast("long").alias("n_hit"))
     )
+    named = windows.join(texts, ["text", "size"]).select("wid", "item")
     items = (
-        hits.select(*keys, "wid", "text").distinct()
-        .join(windows.select("wid", "text", "item"), ["wid", "text"])
-        .groupBy(*keys).agg(F.sort_array(F.collect_set("item")).alias("items"))
+        hits.select(*KEY, "wid").distinct().join(named, "wid")
+        .groupBy(*KEY).agg(F.sort_array(F.collect_set("item")).alias("items"))
+    )
+    per_text = covered.join(items, KEY, "left")
+    nothing = F.sha2(F.lit("").cast("binary"), 256)
+    return (
+        met.where("sid < 0").join(per_text, KEY, "left")
+        .select(
+            "doc_id",
+            "text_hash",
+            F.col("n_words").cast("long").alias("n_words"),
+            F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
+            F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
+            F.coalesce(F.sha2(F.array_join("items", ",").cast("binary"), 256), nothing).alias("items_sha256"),
+            (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
+        )
     )
-    per_text = covered.join(items, _same(covered, items), "left").select(
-        covered["doc_id"], covered["text_hash"], "n_hit", "items"
-    )
-    joined = plain.join(per_text, _same(plain, per_text), "left")
-    return joined.select(
-        plain["doc_id"],
-        "n_words",
-        F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-        F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("n_items"),
-        F.coalesce(F.sha2(F.array_join("items", ",").cast("binary"), 256), nothing).alias("items_sha256"),
-        (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
-    )
-
-
-def _same(a: DataFrame, b: DataFrame) -> Column:
-    return a["doc_id"].eqNullSafe(b["doc_id"]) & (a["text_hash"] == b["text_hash"])
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` in which no window of an item occurs; all columns as they are."""
-    found = find_contamination(docs, benchmark).where("contaminated").select(F.col("doc_id").alias("hit_id")).distinct()
-    return docs.join(stored(found, "op9-contaminated"), docs["doc_id"].eqNullSafe(F.col("hit_id")), "left_anti")
+    hit = _find(docs, benchmark, window).where("contaminated").select(F.col("doc_id").alias("hit_id"), F.col("text_hash").alias("hit_hash")).distinct()
+    same = docs["doc_id"].eqNullSafe(F.col("hit_id")) & (F.xxhash64(text_or_empty()) == F.col("hit_hash"))
+    return docs.join(stored(hit, "op9-hit-texts"), same, "left_anti")
 
 
 _SQL_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{PLAIN_WORD}')"
