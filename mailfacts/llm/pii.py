@@ -275,7 +275,8 @@ def mask(text: str | None) -> str | None:
 
 
 def mask_personal_data(docs: DataFrame) -> DataFrame:
-    """``docs`` with masked texts; all other columns as they are."""
+    """``docs`` with masked texts and, where there is such a column, their new ``n_chars``; all
+    other columns as they are. Null texts stay null."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -283,4 +284,8 @@ def mask_personal_data(docs: DataFrame) -> DataFrame:
             texts = pa.array([mask(t) for t in batch.column(at).to_pylist()], pa.string())
             yield batch.set_column(at, batch.schema.field(at), texts)
 
-    return docs.withColumn("text", F.col("text").cast("string")).mapInArrow(run, docs.schema)
+    masked = docs.mapInArrow(run, docs.schema)
+    if "n_chars" in docs.columns:
+        length = F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.char_length("text"))
+        masked = masked.withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType))
+    return masked

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mailfacts.llm import contamination, mixing, neardup, quality
+from mailfacts.llm import contamination, extraction, hmm, mixing, neardup, quality, toxicity
 from mailfacts.llm.common import table
 from mailfacts.llm.license import scan_licenses
 from mailfacts.llm.pii import find_personal_data
@@ -15,10 +15,24 @@ from mailfacts.llm.repetition import repetition_coverage
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op2_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return extraction.extract(pages, extraction.fit(pages))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.score_toxicity(docs, toxicity.fit(docs, labels))
+
+
 def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -48,7 +62,7 @@ def op10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     named = (
-        op2_source_mix, op5_near_duplicates,
+        op1_hidden_markov, op2_source_mix, op3_main_text, op4_toxicity, op5_near_duplicates,
         op6_personal_data, op7_license_templates, op8_quality_rules, op9_decontamination, op10_repetition,
     )
     return {f.__name__: f for f in named}
