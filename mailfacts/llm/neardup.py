@@ -5,13 +5,15 @@
 2. Each class has ``HASHES`` MinHash values. Every tree of the forest orders them differently; its
    sorted order brings classes with a long common prefix together. A region is a shared prefix of
    ``DEPTHS[0]`` values. Where a region holds several classes it is split at the next depth, so the
-   depth adapts to how crowded a region is.
-3. First round: each class proposes, of all its trees, the smallest class of the deepest region
-   it is not alone in, the one most trees name. Proposals are confirmed on full sets.
-4. Second round: regions of the first depth that still hold several components are compared in
-   full: all members outside the region's largest component against all members of other
-   components. So every pair that shares a region is either in one component already or
-   confirmed or refuted on full sets, and no group is expanded into all its pairs.
+   depth adapts to how crowded a region is. The hub of a region is the class that shares most
+   regions with others: in a group of near copies, their original.
+3. First round: each class proposes the hub of the deepest region it is not alone in and the hub
+   of its widest region, those that most trees name. Proposals are confirmed on full sets.
+4. Second round, for the regions that still hold several components: all members are compared
+   with the hub of the region's largest component, and by what they lack of the hub and add to it
+   it is decided which members of different components can be linked at all (``candidates``).
+   Those are confirmed on full sets. So every pair that shares a region is either in one
+   component already or confirmed or refuted, and no group is expanded into all its pairs.
 
 A pair at the threshold shares no region with probability (1 - 0.75**4)**32, about 5e-6; one
 at 0.85 with 3e-11. Nothing is capped: hot regions and classes are rows of ordinary joins.
@@ -126,14 +128,21 @@ def forest(classes: DataFrame) -> DataFrame:
     return classes.select("rep", "n", "sig").mapInArrow(run, "rep long, n long, l0 long, l1 long, l2 long")
 
 
-def _crowded(rows: DataFrame, level: str) -> DataFrame:
-    """(level, hub): regions of several classes and the smallest class there."""
-    return (
-        rows.groupBy(level)
-        .agg(F.min("rep").alias("hub"), F.max("rep").alias("last"))
-        .where("hub <> last")
-        .select(level, "hub")
-    )
+def crowded_regions(rows: DataFrame) -> DataFrame:
+    """The forest's rows in regions of several classes, with ``degree``: how many classes a class
+    meets in all its regions."""
+    sizes = (
+        rows.groupBy("l0").agg(F.count("*").alias("size"), F.min("rep").alias("low"), F.max("rep").alias("high"))
+        .where("low <> high").select("l0", "size")
+    )
+    regions = stored(rows.join(stored(sizes, "op5-crowded"), "l0"), "op5-regions")
+    degrees = stored(regions.groupBy("rep").agg(F.sum("size").alias("degree")), "op5-degrees")
+    return stored(regions.drop("size").join(degrees, "rep"), "op5-placed")
+
+
+def _hub(*first: str):
+    """Of the rows of a group the class that meets most others."""
+    return F.max_by("rep", F.struct(*first, "degree", -F.col("rep")))
 
 
 def _may_link(a: str, b: str):
@@ -142,48 +151,112 @@ def _may_link(a: str, b: str):
 
 
 def proposals(regions: DataFrame) -> DataFrame:
-    """(a, b): each class with the class that most of its trees have as deepest neighbour."""
-    out = regions
+    """(a, b): each class with the hubs that most of its trees have as its deepest and as its
+    widest neighbour."""
+    out = regions.select("rep", *(f"l{i}" for i in range(len(DEPTHS))))
     for i in range(len(DEPTHS)):
-        hubs = stored(_crowded(regions, f"l{i}"), f"op5-hubs{i}").withColumnRenamed("hub", f"h{i}")
-        out = out.join(hubs, f"l{i}", "left")
+        hubs = (
+            regions.groupBy(f"l{i}").agg(_hub().alias(f"h{i}"), F.min("rep").alias("low"), F.max("rep").alias("high"))
+            .where("low <> high").select(f"l{i}", f"h{i}")
+        )
+        out = out.join(stored(hubs, f"op5-hubs{i}"), f"l{i}", "left")
     deepest = F.coalesce(*(f"h{i}" for i in reversed(range(len(DEPTHS)))))
+    named = out.select(
+        F.col("rep").alias("b"),
+        F.explode(F.array(F.struct(F.lit(0).alias("way"), deepest.alias("a")), F.struct(F.lit(1).alias("way"), F.col("h0").alias("a")))).alias("x"),
+    ).select("b", "x.*")
     return (
-        out.select(F.col("rep").alias("b"), deepest.alias("a"))
-        .where("a <> b")
-        .groupBy("a", "b")
-        .agg(F.count("*").alias("votes"))
-        .groupBy("b")
-        .agg(F.max_by("a", F.struct("votes", -F.col("a"))).alias("a"))
-        .select("a", "b")
-    )
+        named.where("a <> b")
+        .groupBy("b", "way", "a").agg(F.count("*").alias("votes"))
+        .groupBy("b", "way").agg(F.max_by("a", F.struct("votes", -F.col("a"))).alias("a"))
+        .select("a", "b").distinct()
+    )
 
 
 def unresolved(regions: DataFrame, found: DataFrame) -> DataFrame:
-    """(a, b): pairs of different components in one region, without pairs inside the largest."""
+    """(hub, m, c, hub_c): the members of regions of several components, with the hub of the
+    region's largest component, and the components of both."""
     rows = regions.join(found, regions["rep"] == found["node"], "left").select(
-        "l0", "rep", "n", F.coalesce("component", "rep").alias("c")
+        "l0", "rep", "degree", F.coalesce("component", "rep").alias("c")
     )
     rows = stored(rows, "op5-members")
     mixed = (
-        rows.groupBy("l0", "c")
-        .agg(F.count("*").alias("k"))
-        .groupBy("l0")
-        .agg(F.max_by("c", F.struct("k", "c")).alias("main"), F.count("*").alias("parts"))
-        .where("parts > 1")
-        .select("l0", "main")
+        rows.groupBy("l0", "c").agg(F.count("*").alias("k"), _hub().alias("hub"))
+        .groupBy("l0").agg(F.max(F.struct("k", "c", "hub")).alias("main"), F.count("*").alias("parts"))
+        .where("parts > 1").select("l0", F.col("main.hub").alias("hub"), F.col("main.c").alias("hub_c"))
+    )
+    return (
+        rows.join(stored(mixed, "op5-mixed"), "l0").select("hub", F.col("rep").alias("m"), "c", "hub_c").distinct()
     )
-    rows = stored(rows.join(stored(mixed, "op5-mixed"), "l0"), "op5-mixed-members")
-    others = rows.where("c <> main").select("l0", F.col("rep").alias("o"), F.col("n").alias("o_n"), F.col("c").alias("o_c"))
-    once = (F.col("c") == F.col("main")) | (F.col("rep") > F.col("o"))
+
+
+def deltas(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """Members with ``n``, ``hub_n``, ``lacks`` (elements of the hub that the member has not), ``adds``
+    (those it has beyond) and the added elements."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, hub_n, lacks, added = [], [], [], []
+            for x, h in zip(batch.column("s"), batch.column("s_hub"), strict=True):
+                x, h = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(h.as_py(), np.uint64)
+                known = h[np.minimum(np.searchsorted(h, x), len(h) - 1)] == x
+                n.append(len(x))
+                hub_n.append(len(h))
+                lacks.append(len(h) - int(known.sum()))
+                added.append(x[~known].view(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *(batch.column(c) for c in ("hub", "m", "c", "hub_c")),
+                    *(pa.array(v, pa.int64()) for v in (n, hub_n, lacks, list(map(len, added)))),
+                    pa.array(added, pa.list_(pa.int64())),
+                ],
+                names=["hub", "m", "c", "hub_c", "n", "hub_n", "lacks", "adds", "added"],
+            )
+
     return (
-        others.join(rows, "l0")
-        .where((F.col("c") != F.col("o_c")) & once & _may_link("n", "o_n"))
-        .select(F.least("o", "rep").alias("a"), F.greatest("o", "rep").alias("b"))
-        .distinct()
+        members.join(sets.toDF("m", "s"), "m")
+        .join(sets.toDF("hub", "s_hub"), "hub")
+        .select("hub", "m", "c", "hub_c", "s", "s_hub")
+        .mapInArrow(run, "hub long, m long, c long, hub_c long, n long, hub_n long, lacks long, adds long, added array<long>")
     )
 
 
+def candidates(known: DataFrame) -> DataFrame:
+    """(a, b): members of one hub in different components that can be linked.
+
+    With ``cost = 4 * lacks + 3 * adds``, members x and y reach the threshold exactly if
+    ``cost(x) + cost(y) <= hub_n + 7 * s``, where s counts what both lack and what both add. A
+    member is linked with the hub itself if its cost is at most ``hub_n``. Of a pair with different
+    components at least one, x, is not; both lack at most ``least(lacks)``, so the pair must either add
+    ``needed`` common elements, or meet the bound without any. In a group of near copies with edits
+    of their own hardly any pair does either.
+    """
+    cost = 4 * F.col("lacks") + 3 * F.col("adds")
+    rows = known.withColumn("cost", cost).withColumn("apart", (F.col("c") != F.col("hub_c")) & (cost > F.col("hub_n")))
+    plain = ["hub", "m", "c", "n", "hub_n", "lacks", "cost", "apart"]
+    x = rows.where("apart").select("hub", "hub_n", *(F.col(k).alias(f"x_{k}") for k in ("m", "c", "n", "lacks", "cost")), F.col("added").alias("x_added"))
+    y = rows.select(*plain, "added")
+    needed = F.ceil((F.col("x_cost") + F.col("cost") - F.col("hub_n")) / 7) - F.least("x_lacks", "lacks")
+    differ = (F.col("x_c") != F.col("c")) & (~F.col("apart") | (F.col("x_m") < F.col("m"))) & _may_link("x_n", "n")
+    pair = [F.least("x_m", "m").alias("a"), F.greatest("x_m", "m").alias("b")]
+    # Only a member smaller than the hub can lack enough of what x lacks.
+    smaller = y.where("n < hub_n").drop("added", "hub_n")
+    bare = x.drop("x_added").join(smaller, "hub").where(differ & (needed <= 0)).select(*pair)
+    shared = (
+        x.withColumn("e", F.explode("x_added")).drop("x_added")
+        .join(y.withColumn("e", F.explode("added")).drop("added", "hub_n"), ["hub", "e"])
+        .where(differ & (needed > 0))
+        .groupBy("hub", *pair, needed.alias("needed")).agg(F.count("*").alias("seen"))
+        .where("seen >= needed").select("a", "b")
+    )
+    return bare.unionAll(shared).distinct()
+
+
+def direct_links(known: DataFrame) -> DataFrame:
+    """(a, b): members that are linked with their hub."""
+    return known.where("m <> hub and 4 * lacks + 3 * adds <= hub_n").select(F.col("hub").alias("a"), F.col("m").alias("b"))
+
+
 def _likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs whose sizes and MinHash values leave the threshold possible."""
 
@@ -206,16 +279,25 @@ def _likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     )
 
 
-def confirm(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs with 100 * intersection >= 75 * union of their full shingle sets."""
+def sets_of(ids: DataFrame, docs: DataFrame) -> DataFrame:
+    """(id, s): the full shingle sets of some documents, from their texts."""
 
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, "text"):
             values, bounds = shingle_sets(part.column("text"))
             rows = [values[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(rows, pa.binary())], names=["id", "s"])
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    wanted = stored(ids.distinct(), "op5-wanted")
+    texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    texts = texts.join(wanted, texts["doc_id"] == wanted["id"], "left_semi")
+    return stored(texts.mapInArrow(run, "id long, s binary").distinct(), "op5-sets")
+
+
+def confirm(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs with 100 * intersection >= 75 * union of their full shingle sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             linked = []
             for x, y in zip(batch.column("s_a"), batch.column("s_b"), strict=True):
@@ -227,19 +309,18 @@ def confirm(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
                 pa.array(linked, pa.bool_())
             )
 
-    likely = stored(_likely(pairs, classes), "op5-likely")
-    wanted = stored(likely.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "op5-wanted")
-    texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    texts = texts.join(wanted, texts["doc_id"] == wanted["id"], "left_semi")
-    found = stored(texts.mapInArrow(sets, "id long, s binary"), "op5-sets")
     return (
-        likely.join(found.toDF("b", "s_b"), "b")
-        .join(found.toDF("a", "s_a"), "a")
+        pairs.join(sets.toDF("b", "s_b"), "b")
+        .join(sets.toDF("a", "s_a"), "a")
         .select("a", "b", "s_a", "s_b")
-        .mapInArrow(compare, "a long, b long")
+        .mapInArrow(run, "a long, b long")
     )
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("id"))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Set size, component and verdict of each row of ``docs`` (doc_id, text)."""
     signed = stored(signatures(docs), "op5-signatures")
@@ -249,14 +330,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         .agg(F.min("doc_id").alias("rep"), F.min("sig").alias("sig")),
         "op5-classes",
     )
-    rows = forest(classes)
-    crowded = stored(_crowded(rows, "l0").select("l0"), "op5-crowded")
-    regions = stored(rows.join(crowded, "l0"), "op5-regions")
-    links = stored(confirm(stored(proposals(regions), "op5-proposals"), docs, classes), "op5-links1")
-    first = components(links)
-    more = stored(confirm(stored(unresolved(regions, first), "op5-pairs"), docs, classes), "op5-links2")
+    regions = crowded_regions(forest(classes))
+    proposed = stored(_likely(proposals(regions), classes), "op5-proposals")
+    first = components(stored(confirm(proposed, sets_of(_ends(proposed), docs)), "op5-links1"))
+    members = stored(unresolved(regions, first), "op5-unresolved")
+    sets = sets_of(members.select(F.explode(F.array("hub", "m")).alias("id")), docs)
+    compared = stored(deltas(members, sets), "op5-deltas")
+    likely = stored(_likely(candidates(compared), classes), "op5-candidates")
+    links = direct_links(compared).unionAll(confirm(likely, sets))
     stars = first.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    found = components(stars.unionAll(more.select("a", "b")))
+    found = components(stored(stars.unionAll(links), "op5-links2"))
     known = stored(
         classes.join(found, classes["rep"] == found["node"], "left").select(
             "s1", "s2", "n", F.coalesce("component", "rep").alias("component")
