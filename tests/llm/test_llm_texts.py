@@ -1,0 +1,249 @@
+"""Operators that look at one text at a time, against plain definitions."""
+
+import hashlib
+import itertools
+import math
+import re
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from mailfacts.llm import extraction, license, pii, repetition, words
+from mailfacts.llm.license import Scanner, compile_template, scan_licenses
+from mailfacts.llm.repetition import repetition_coverage
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+PLAIN = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def lowered(text):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+
+
+def test_words_and_hashes(prose):
+    texts = ["", " a  b\n", "É x", "漢字 é", "a", *prose(20)]
+    for breaks, pattern in ((words.SPACE, WORD), (words.NOT_PLAIN, PLAIN)):
+        found = words.words_of(pa.array(texts), breaks, lower=True)
+        got = [bytes(found.data[a:b]).decode() for a, b in zip(found.start, found.end)]
+        expected = [pattern.findall(lowered(t)) for t in texts]
+        assert got == list(itertools.chain(*expected))
+        assert found.counts.tolist() == [len(e) for e in expected]
+        assert found.code_points().tolist() == [len(w) for w in got]
+        by_hash = {}
+        for w, h in zip(got, found.hashes().tolist()):
+            by_hash.setdefault(h, set()).add(w)
+        assert len(by_hash) == len(set(got)) and all(len(v) == 1 for v in by_hash.values())
+
+
+# --- Repetition -----------------------------------------------------------------------------
+
+
+def plain_repetition(text):
+    ws = WORD.findall(text or "")
+    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+    grams = Counter(tuple(ws[i : i + 3]) for i in range(len(ws) - 2))
+    hit = set()
+    for i in range(len(ws) - 2):
+        if grams[tuple(ws[i : i + 3])] > 1:
+            hit |= {i, i + 1, i + 2}
+    seen, dup = set(), 0
+    for line in lines:
+        dup += line in seen
+        seen.add(line)
+    failed = len(ws) < 50 or 100 * len(hit) > 50 * len(ws)
+    return (len(ws), sum(map(len, ws)), sum(c in "#*$%&|<>" for c in text or ""), dup, len(hit), failed)
+
+
+def test_repetition_counts(documents, edge, prose):
+    texts = [*prose(60, words=12), "#a*b $c\n#a*b $c\n\n\n x", "a\n a\na", "| " * 60]
+    rows = edge.select("doc_id", "text").collect() + [(100 + i, t) for i, t in enumerate(texts)]
+    got = repetition_coverage(documents([tuple(r) for r in rows])).collect()
+    assert Counter(tuple(r)[:7] for r in got) == Counter((i, *plain_repetition(t)) for i, t in rows)
+    assert not any(r.kept for r in got if r.base_failed)
+
+
+def test_repetition_verdict(documents):
+    fresh = " ".join(f"w{i}" for i in range(200))
+    twice = fresh + "\n" + fresh
+    long_gram = " ".join(f"w{i}" for i in range(120)) + " " + " ".join(f"w{i}" for i in range(30, 80))
+    got = {r.doc_id: r for r in repetition_coverage(documents([(1, fresh), (2, twice), (3, long_gram)])).collect()}
+    assert got[1].kept and not got[2].kept and not got[3].kept
+    assert got[3].n_repeat_words == 100 and got[3].base_failed
+
+
+def test_covered_words_are_per_text():
+    found = words.words_of(pa.array(["a b c", "a b c", "a b c a b c"]))
+    assert repetition.covered(found, found.hashes(), 3).tolist() == [False] * 6 + [True] * 6
+
+
+# --- Personal data ----------------------------------------------------------------------------
+
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def plain_pii(text):
+    def digits(t):
+        return [int(c) for c in t if c in "0123456789"]
+
+    def luhn(d):
+        return sum(sum(divmod(2 * x, 10)) if i % 2 else x for i, x in enumerate(reversed(d))) % 10 == 0
+
+    out = [(m.start(), 0, m.end(), "email") for m in EMAIL.finditer(text)]
+    out += [(m.start(), 1, m.end(), "ip") for m in IP.finditer(text) if all(int(p) <= 255 for p in m[0].split("."))]
+    out += [(m.start(), 2, m.end(), "card") for m in CARD.finditer(text) if 12 <= len(digits(m[0])) <= 19 and luhn(digits(m[0]))]
+    out += [(m.start(), 3, m.end(), "phone") for m in PHONE.finditer(text) if 9 <= len(digits(m[0])) <= 15]
+    return ",".join(f"{k}:{a}:{b}" for a, _, b, k in sorted(out))
+
+
+PII_TEXTS = [
+    "a.b@c.d_e@f.gh x@y @z.com q@w.e@r.t", "1.2.3.4.5.6.7.8 999.1.1.1 0001.2.3.4 1.2.3", "4111 1111 1111 1111 and 4111-1111-1111-1112",
+    "+1 (017) 555-7713 +49 1 +12345678901234567890", "4539578763621486x 00000000000000000000 1 2 3 4 5 6 7 8 9 0 1 2",
+    "é@b.c café@site.org 漢1.1.1.1", "+1.2.3.4.5.6.7.8.9", "1" * 500 + "." + "2" * 500, "a@b." * 300, "+" * 400, "1 " * 400,
+]
+
+
+@pytest.mark.parametrize("text", PII_TEXTS)
+def test_plain_spans(text):
+    assert pii._joined(pii.plain_spans(text)) == plain_pii(text)
+
+
+@pytest.mark.parametrize(
+    ("text", "kind", "piece"),
+    [
+        ("write to bob (at) site [dot] org now", "email", "bob (at) site [dot] org"),
+        ("write bob at mail dot site dot org.", "email", "bob at mail dot site dot org"),
+        ("write bоb@sіte.org now", "email", "bоb@sіte.org"),
+        ("mail bob@si​te.org", "email", "bob@si​te.org"),
+        ("call plus one two three four five six seven eight nine zero ok", "phone", "plus one two three four five six seven eight nine zero"),
+        ("ip １９２.１６８.０.１ here", "ip", "１９２.１６８.０.１"),
+        ("card ４１１１ 1111 1111 1111 ok", "card", "４１１１ 1111 1111 1111"),
+    ],
+)
+def test_disguises_are_found_at_their_place(text, kind, piece):
+    base = pii.plain_spans(text)
+    added = {(text[a:b], k) for a, b, k in pii.added_spans(text, base)}
+    assert (piece, kind) in added
+    assert piece not in pii.mask(text) and f"[{kind}]" in pii.mask(text)
+
+
+@pytest.mark.parametrize("text", ["look at site.org", "one of two", "at the dot", "meet me at noon (at last)", "one two three times", ""])
+def test_ordinary_words_are_no_disguise(text):
+    assert pii.added_spans(text, pii.plain_spans(text)) == []
+
+
+def test_personal_data_rows(documents, edge):
+    rows = [tuple(r) for r in edge.select("doc_id", "text").collect()] + [(100 + i, t) for i, t in enumerate(PII_TEXTS)]
+    for r in pii.find_personal_data(documents(rows)).collect():
+        candidates = [t for i, t in rows if i == r.doc_id]
+        joined = {plain_pii(t or "") for t in candidates}
+        assert r.base_sha256 in {hashlib.sha256(j.encode()).hexdigest() for j in joined}
+        assert r.n_email + r.n_ip + r.n_card + r.n_phone == len([x for x in r.spans.split(",") if x]) - r.n_added
+
+
+def test_masking_keeps_other_columns(clashing):
+    masked = pii.mask_personal_data(clashing)
+    assert masked.columns == clashing.columns and masked.count() == clashing.count()
+    assert masked.where("doc_id = 1").first().text is None
+
+
+# --- Licences ---------------------------------------------------------------------------------
+
+
+def plain_license(text):
+    ws = PLAIN.findall(lowered(text))
+    at = []
+    labels = set()
+    for phrase, label in license.PHRASES.items():
+        p = phrase.split()
+        for i in range(len(ws) - len(p) + 1):
+            if ws[i : i + len(p)] == p:
+                at.append(i)
+                labels.add(label)
+    return len(ws), len(at), min(at, default=None), max(at, default=None), ",".join(sorted(labels))
+
+
+LICENSE_TEXTS = [
+    "All rights reserved. all RIGHTS reserved all rights", "cc by cc by-nc CC-BY", "GNU General Public License, version 3.",
+    "xcc by general public licenses É cc é by", "This work is licensed under the GNU General Public License, version 3.",
+    "Licensed under CC BY-NC 4.0.", "Released under the MIT License.", "Copyright (c) 2020 Foo Inc. All rights reserved.",
+]
+
+
+def test_license_rows(documents, edge):
+    rows = [tuple(r) for r in edge.select("doc_id", "text").collect()] + [(100 + i, t) for i, t in enumerate(LICENSE_TEXTS)]
+    got = Counter(tuple(r)[:6] for r in scan_licenses(documents(rows)).collect())
+    assert got == Counter((i, *plain_license(t)) for i, t in rows)
+
+
+def accepts(template, text):
+    a = compile_template("x", template)
+    ws = license.plain_words(text)
+    return a.run(ws, 0)[0] == len(ws)
+
+
+def test_templates():
+    assert accepts("a [b | c d] e", "a e") and accepts("a [b | c d] e", "a b e") and accepts("a [b | c d] e", "A C D e")
+    assert not accepts("a [b | c d] e", "a b c d e") and not accepts("a [b | c d] e", "a c e")
+    assert accepts("a {1,3} z", "a x z") and accepts("a {1,3} z", "a x y w z") and not accepts("a {1,3} z", "a z")
+    assert not accepts("a {1,3} z", "a 1 2 3 4 z") and accepts("a {0,1}", "a") and accepts("[a] b", "b")
+
+
+def test_mandatory_wording_is_exact():
+    labels = {t: license.describe(Scanner(), t)[5] for t in LICENSE_TEXTS}
+    assert labels["Released under the MIT License."] == "mit"
+    assert labels["Licensed under CC BY-NC 4.0."] == "cc-by,cc-by-nc"
+    found = license.describe(Scanner(), "Released beneath the MIT License")
+    assert found[5] == "" and 0 <= found[6] < 1
+
+
+# --- Main text --------------------------------------------------------------------------------
+
+PAGE = (
+    '<html><head><title>T</title><script>var a="</p>";</script></head><body><nav><ul><li><a href=/a>Home</a></li></ul></nav>'
+    '<div class="cookie-notice">We use cookies</div><article><h1>Head &amp; line</h1><p>First <b>bold</b>\n  text&nbsp;here, which is '
+    'long enough to be read by anyone.</p><p>x &lt; y<div class="ad">Buy now</div><p>Last one<aside>Side</aside></article>'
+    '<section id="comments"><p>I think that this is a comment of quite some length, with many words in it.</p></section>'
+    "<footer>&copy; all</footer></body></html>"
+)
+
+
+def test_parse_and_extract():
+    p = extraction.train([PAGE])
+    assert extraction.main_text(PAGE, p) == "Head & line\nFirst bold text here, which is long enough to be read by anyone.\nx < y\nLast one"
+    # Without the article mark the untrained priors still tell long text from the rest.
+    bare = PAGE.replace("<article>", '<div class="content">').replace("</article>", "</div>")
+    assert extraction.main_text(bare, p).startswith("Head & line\nFirst bold")
+    assert "comment" not in extraction.main_text(bare, p) and "cookies" not in extraction.main_text(bare, p)
+
+
+@pytest.mark.parametrize("source", ["", "plain", "<p>", "</p></div>", "<a <b", "<!-- open", "<script>x", "<p " + 'a="' * 50, "<div>" * 3000 + "deep"])
+def test_broken_pages(source):
+    assert isinstance(extraction.main_text(source, extraction.Potentials({}, {})), str)
+
+
+def test_marginals_equal_enumeration():
+    rng = np.random.default_rng(0)
+    parents = [-1, 0, 0, 1, 1, 4]
+    page = extraction.Page([extraction.Block(p, "div", "") for p in parents], [])
+    u, w = rng.normal(size=6).tolist(), rng.normal(size=6).tolist()
+    total, ones, same = 0.0, np.zeros(6), np.zeros(6)
+    for s in itertools.product((0, 1), repeat=6):
+        e = math.exp(sum(a * b for a, b in zip(u, s)) + sum(w[i] * (s[i] == s[parents[i]]) for i in range(1, 6)))
+        total, ones = total + e, ones + e * np.array(s)
+        same += e * np.array([1] + [s[i] == s[parents[i]] for i in range(1, 6)])
+    got, agree = extraction.marginals(page, u, w)
+    assert np.allclose(got, ones / total) and np.allclose(agree[1:], same[1:] / total)
+
+
+def test_pages_rows(spark):
+    rows = [(1, "u", PAGE), (1, "u", PAGE), (2, None, None), (None, "v", ""), (3, "w", "<p>" + "long text " * 50_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = extraction.extract(pages, extraction.fit(pages)).collect()
+    assert len(got) == 5 and all(r.n_chars == len(r.text) for r in got)
+    assert {(r.page_id, r.text) for r in got if r.page_id != 3 and r.page_id != 1} == {(2, ""), (None, "")}
+    assert extraction.extract(pages.limit(0), extraction.fit(pages.limit(0))).count() == 0
