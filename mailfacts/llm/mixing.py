@@ -30,7 +30,7 @@ BLOCK_WORDS = 1024
 # A source is cut into at least so many blocks (of a word at least), so that a few slots more or
 # less do not matter.
 LEAST_BLOCKS = 1000
-BUCKET_ROWS = 5_000
+BUCKET_ROWS = 1_000
 SLOT_STRETCH = 4_096
 GRID = 4_096
 GOLDEN = (5**0.5 - 1) / 2
