@@ -6,8 +6,8 @@ logistic regression keeps few of the rules. The kept rules are compiled back int
 expression, so scoring is a single pass of built-in functions.
 
 Only the text is an input of the score. Defined results: a null text counts as empty, and an empty
-text has all statistics 0 and a score. Without labels of both kinds the score is the share of
-label 1 among them, or 0.5. Equal rows give equal scores, one row each. Extra columns are ignored.
+text has all statistics 0 and a score. Without labels of both kinds, or too few to
+grow a tree, the score is the share of label 1 among them, or 0.5. Equal rows give equal scores, one row each. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -165,10 +165,10 @@ def fit_lasso(z: np.ndarray, y: np.ndarray, penalty: float, steps: int = 400) ->
 
 
 def fit(x: np.ndarray, y: np.ndarray, penalty: float = 5e-4) -> RuleEnsemble:
-    if not len(y) or y.min() == y.max():
+    rules = grow_rules(x, y) if len(y) and y.min() < y.max() else []
+    if not rules:
         share = float(np.clip(y.mean(), 0.01, 0.99)) if len(y) else 0.5
         return RuleEnsemble(float(np.log(share / (1 - share))), ())
-    rules = grow_rules(x, y)
     z = np.column_stack([holds(r, x) for r in rules]).astype(float)
     keep = (z.mean(0) > 0.002) & (z.mean(0) < 0.998)
     intercept, weights = fit_lasso(z[:, keep], y, penalty)

@@ -232,10 +232,15 @@ def train(texts: list[str], y: np.ndarray, weight: np.ndarray, seed: int = 5) ->
                 only = np.unique(windows[windows >= 0])
                 local = np.where(windows >= 0, np.searchsorted(only, windows), -1)
                 inputs = text.inputs(p, only)
+                # Now and then a word is hidden, so that its letters learn as well.
+                shown = rng.random(len(only)) < 0.5
+                inputs[:, :EMBED] *= shown[:, None]
                 z, cached = forward(p, inputs, local, keep=True)
                 d = ((sigmoid(z) - target[at]) * w[at] / len(at)).astype(np.float32)
                 g, step = backward(p, text, inputs, local, cached, d), step + 1
-                g["word"] *= own[:, None]
+                hidden = np.zeros(WORD_ROWS, bool)
+                hidden[text.rows[only[~shown]]] = True
+                g["word"] *= (own & ~hidden)[:, None]
                 for k in p:
                     p[k] *= 1 - RATE * DECAY
                     m[k] += 0.1 * (g[k] - m[k])
