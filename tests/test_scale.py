@@ -7,7 +7,7 @@ from helpers import count, planned, ran
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from mailfacts import plans
+from mailfacts import catalogue, plans
 from mailfacts.functions import Bounds
 from mailfacts.operators import attribution
 from mailfacts.operators.attribution import open_sends, with_email_keys
@@ -189,7 +189,7 @@ def test_small_keys_are_broadcast_by_measured_size(spark):
 def test_no_plan_forces_a_broadcast_or_a_cross_join(spark, like_a_cluster, monkeypatch):
     """Not even of clicks, once they measure too large."""
     monkeypatch.setattr(attribution, "broadcast_if_small", lambda df: broadcast_if_small(df, 1000))
-    for name, query in entry.queries().items():
+    for name, query in catalogue.queries().items():
         if name == "insert_overwrite_partitions":
             continue  # writes while it is built
         plan = planned(query(spark, FOLDER))
