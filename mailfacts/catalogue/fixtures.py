@@ -140,18 +140,30 @@ class Fixtures:
 
     # --- OCP queue and tracking tables ------------------------------------------------------
 
+    def _queued(self) -> DataFrame:
+        """Orders with ``turn`` 0, and again, a day later, with ``turn`` 1: pending ones, which are
+        queued for a second contact, and urgent ones, queued twice for the same."""
+        again = (F.col("o_orderstatus") == "P") | (F.col("o_orderpriority") == "1-URGENT")
+        turns = F.when(again, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+        return (
+            self.table("orders")
+            .withColumn("turn", F.explode(turns))
+            .withColumn("queue_id", F.col("o_orderkey") + F.col("turn") * F.lit(2000000000).cast("long"))
+            .withColumn("queued", F.col("o_orderdate") + F.make_dt_interval(days=F.col("turn")))
+        )
+
     def queue_detail(self) -> DataFrame:
-        orders, customer = self.table("orders"), self.table("customer")
+        orders, customer = self._queued(), self.table("customer")
         status = F.col("o_orderstatus")
         return orders.join(customer, orders["o_custkey"] == customer["c_custkey"]).select(
-            F.col("o_orderkey").alias("emailqueueid"),
+            F.col("queue_id").alias("emailqueueid"),
             F.concat(F.lit("M"), _text("o_orderkey")).alias("messageguid"),
             F.when(status == "O", F.lit(0))
-            .when(status == "P", F.col("o_custkey"))
+            .when(status == "P", F.col("o_custkey") + F.col("turn"))
             .alias("redpointcontactid"),
             (F.col("o_totalprice") < 10000).cast("int").alias("isautomatedseedlist"),
             (F.col("o_totalprice") > 490000).cast("int").alias("istestsend"),
-            F.col("o_orderdate").alias("emailqueuecreatedate"),
+            F.col("queued").alias("emailqueuecreatedate"),
             _label_id("o_orderkey").alias("privatelabelid"),
             _shopper().alias("shopperid"),
             status.alias("sourcecode"),
@@ -159,11 +171,11 @@ class Fixtures:
 
     def queue_success(self) -> DataFrame:
         """Cheap orders failed."""
-        return self.table("orders").where(F.col("o_totalprice") >= 20000).select(
-            F.col("o_orderkey").alias("emailqueueid"),
-            (F.col("o_orderkey") + 1000000000).alias("emailqueuesuccessid"),
+        return self._queued().where(F.col("o_totalprice") >= 20000).select(
+            F.col("queue_id").alias("emailqueueid"),
+            (F.col("queue_id") + 1000000000).alias("emailqueuesuccessid"),
             _template_id("o_orderkey").alias("templateid"),
-            F.col("o_orderdate").alias("emailqueuecreatedate"),
+            F.col("queued").alias("emailqueuecreatedate"),
         )
 
     def _tracking_code(self) -> Column:
@@ -368,9 +380,17 @@ class Fixtures:
             *(part.alias(name) for part, name in zip(parts, ("year", "month", "day"))),
         )
 
+    def _stored_daily(self, df: DataFrame) -> DataFrame:
+        """The same rows, stored on two days."""
+        days = F.array(*(F.struct(*(F.lit(p).alias(n) for p, n in zip(day, ("year", "month", "day")))) for day in (OLDER_SNAPSHOT, SNAPSHOT)))
+        return df.withColumn("stored", F.explode(days)).select("*", "stored.*").drop("stored")
+
     def metadata_campaigns(self) -> DataFrame:
         name = F.col("r_name")
-        return self.table("region").select(
+        return self._stored_daily(self.table("region")).select(
+            "year",
+            "month",
+            "day",
             F.concat(F.lit("objective "), name).alias("objective_name"),
             F.concat(F.lit("subobjective "), name).alias("subobjective_name"),
             F.concat(F.lit("category "), name).alias("category_name"),
@@ -385,7 +405,11 @@ class Fixtures:
     def metadata_channels(self) -> DataFrame:
         supplier, nation = self.table("supplier"), self.table("nation")
         name, balance = F.col("s_name"), F.col("s_acctbal")
-        return supplier.join(nation, supplier["s_nationkey"] == nation["n_nationkey"]).select(
+        supplied = supplier.join(nation, supplier["s_nationkey"] == nation["n_nationkey"])
+        return self._stored_daily(supplied).select(
+            "year",
+            "month",
+            "day",
             F.col("n_regionkey").alias("cms_omni_campaign_id"),
             F.col("s_nationkey").alias("cms_omni_segment_id"),
             F.col("s_suppkey").cast("int").alias("cms_omni_channel_id"),
@@ -405,7 +429,11 @@ class Fixtures:
         """One row per distinct product and supplier."""
         supplied = self.table("lineitem").select("l_partkey", "l_suppkey").distinct()
         part = self.table("part")
-        return supplied.join(part, supplied["l_partkey"] == part["p_partkey"]).select(
+        used = supplied.join(part, supplied["l_partkey"] == part["p_partkey"])
+        return self._stored_daily(used).select(
+            "year",
+            "month",
+            "day",
             F.col("p_name").alias("product_name"),
             F.col("p_type").alias("product_content_name"),
             (F.col("p_retailprice") > 1000).alias("revenue_flag"),
@@ -414,7 +442,10 @@ class Fixtures:
 
     def metadata_segments(self) -> DataFrame:
         name = F.col("n_name")
-        return self.table("nation").select(
+        return self._stored_daily(self.table("nation")).select(
+            "year",
+            "month",
+            "day",
             name.alias("segment_name"),
             F.concat(F.lit("message "), name).alias("message_classification_name"),
             F.concat(F.lit("trigger "), name).alias("send_type_name"),

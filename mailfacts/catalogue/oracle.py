@@ -4,20 +4,28 @@ from __future__ import annotations
 
 import re
 
+from mailfacts.catalogue.fixtures import BUILDS, OLDER_SNAPSHOT, SNAPSHOT
 from mailfacts.catalogue.parameters import (
     BUILD_TS,
     END_DAY,
     EVENTS_END_DAY,
     EVENTS_FIRST_DAY,
     FIRST_DAY,
+    MOVED_DAYS,
+    MOVED_FROM,
+    MOVED_TO,
     PRUNE_FROM,
     PRUNE_TO,
     REFLAG_FROM,
     RESPONSES_END_DAY,
     SHIFT_FROM,
     SHIFT_TO,
+    WHOLE,
+    WINDOW,
+    WINDOW_END_TS,
+    WINDOW_FIRST_TS,
+    WINDOW_RUN_END_TS,
 )
-from mailfacts.sources.fixtures import BUILDS, OLDER_SNAPSHOT, SNAPSHOT
 
 BUILD = f"CAST('{BUILD_TS}' AS TIMESTAMP)"
 SFMC_KEYS = "sfmc_job_id, sfmc_list_id, sfmc_batch_id, sfmc_subscriber_id"
@@ -81,8 +89,10 @@ def _sfmc_event(kind: str, extra: str) -> str:
 
 
 # Definitions shared by the queries, each only using earlier ones. ``_with`` adds those a
-# statement mentions.
-CTES = {
+# statement mentions. ``d`` has the ranges of an OCP run, ``e`` the ends of an SFMC run.
+def _definitions(d: dict[str, str], e: tuple[str, str, str]) -> dict[str, str]:
+    events_first, responses_end, run_end = e
+    return {
     # Sources.
     "src_customermap": f"""
         SELECT c_custkey AS customermap_id, {SHOPPER} AS shopperid,
@@ -112,19 +122,25 @@ CTES = {
             l_shipdate AS opendate, {_locale('l_orderkey')} AS lang,
             CAST(l_orderkey % 5 AS INTEGER) AS privatelabel_id, o_custkey AS customermap_id
         FROM lines_a""",
+    "queued": """
+        SELECT *, 0 AS turn, o_orderkey AS queue_id, o_orderdate AS queued_at FROM orders
+        UNION ALL
+        SELECT *, 1, o_orderkey + 2000000000, o_orderdate + INTERVAL 1 DAY FROM orders
+        WHERE o_orderstatus = 'P' OR o_orderpriority = '1-URGENT'""",
     "src_queue_detail": f"""
-        SELECT o_orderkey AS emailqueueid, 'M' || o_orderkey AS messageguid,
-            CASE o_orderstatus WHEN 'O' THEN 0 WHEN 'P' THEN o_custkey END AS redpointcontactid,
+        SELECT queue_id AS emailqueueid, 'M' || o_orderkey AS messageguid,
+            CASE o_orderstatus WHEN 'O' THEN 0 WHEN 'P' THEN o_custkey + turn END
+                AS redpointcontactid,
             CAST(o_totalprice < 10000 AS INTEGER) AS isautomatedseedlist,
             CAST(o_totalprice > 490000 AS INTEGER) AS istestsend,
-            o_orderdate AS emailqueuecreatedate,
+            queued_at AS emailqueuecreatedate,
             CAST(o_orderkey % 5 AS INTEGER) AS privatelabelid, {SHOPPER} AS shopperid,
             o_orderstatus AS sourcecode
-        FROM orders JOIN customer ON o_custkey = c_custkey""",
+        FROM queued JOIN customer ON o_custkey = c_custkey""",
     "src_queue_success": """
-        SELECT o_orderkey AS emailqueueid, o_orderkey + 1000000000 AS emailqueuesuccessid,
-            CAST(o_orderkey % 200 AS INTEGER) AS templateid, o_orderdate AS emailqueuecreatedate
-        FROM orders WHERE o_totalprice >= 20000""",
+        SELECT queue_id AS emailqueueid, queue_id + 1000000000 AS emailqueuesuccessid,
+            CAST(o_orderkey % 200 AS INTEGER) AS templateid, queued_at AS emailqueuecreatedate
+        FROM queued WHERE o_totalprice >= 20000""",
     "src_tracking": f"""
         SELECT DISTINCT l_orderkey + 1000000000 AS emailqueuesuccessid,
             {TRACKING} AS trackingcode, CAST(l_suppkey AS VARCHAR) AS content_block_key_id,
@@ -186,6 +202,11 @@ CTES = {
             {BUILD} AS etl_build_mst_ts, {_day('opendate')} AS open_mst_date
         FROM src_opens JOIN src_customermap USING (customermap_id)
         WHERE opendate BETWEEN TIMESTAMP '{FIRST_DAY}' AND TIMESTAMP '{END_DAY}'""",
+    "queued_rows": """
+        SELECT messageguid, templateid, redpointcontactid,
+            d.emailqueuecreatedate AS queued_ts, s.emailqueuecreatedate AS succeeded_ts
+        FROM src_queue_detail d JOIN src_queue_success s ON d.emailqueueid = s.emailqueueid
+        WHERE isautomatedseedlist = 0 AND istestsend = 0""",
     "queue_stage": f"""
         SELECT messageguid, d.emailqueueid, templateid, redpointcontactid, privatelabelid,
             shopperid AS email_queue_shopper_id, sourcecode AS email_queue_source_code,
@@ -200,7 +221,8 @@ CTES = {
     "latest_sends": f"""
         SELECT *, {_norm('shopper_id')} AS k_shopper, {_norm('message_id')} AS k_message,
             {_norm('isc_code')} AS k_isc, {_norm('template_id')} AS k_template
-        FROM clean_sends WHERE sent_mst_date >= '{FIRST_DAY}' AND sent_mst_date < '{END_DAY}'
+        FROM clean_sends
+        WHERE sent_mst_date >= '{d["send_start"]}' AND sent_mst_date < '{d["end"]}'
         QUALIFY row_number() OVER (
             PARTITION BY k_shopper, k_message, k_isc, k_template
             ORDER BY sent_mst_ts DESC NULLS LAST, email_id DESC NULLS LAST,
@@ -212,19 +234,34 @@ CTES = {
         FROM clean_opens o LEFT JOIN latest_sends s
             ON {_norm('o.shopper_id')} = k_shopper AND {_norm('o.message_id')} = k_message
             AND {_norm('o.isc_code')} = k_isc AND {_norm('o.template_id')} = k_template
-        WHERE open_mst_date >= '{FIRST_DAY}' AND open_mst_date < '{END_DAY}'""",
+        WHERE open_mst_date >= '{d["open_start"]}' AND open_mst_date < '{d["open_end"]}'""",
+    "run_stage": f"""
+        SELECT * FROM queue_stage
+        WHERE email_queue_create_date BETWEEN '{d["send_start"]}' AND '{d["end"]}'""",
     "stage_distinct": """
-        SELECT messageguid, templateid, redpointcontactid FROM queue_stage GROUP BY 1, 2, 3""",
+        SELECT messageguid, templateid, redpointcontactid FROM run_stage GROUP BY 1, 2, 3""",
     "open_queue": f"""
         SELECT o.*, redpointcontactid
         FROM open_sends o LEFT JOIN stage_distinct
             ON {_norm('message_id')} = {_norm('messageguid')}
             AND {_norm('template_id')} = {_norm('templateid')}""",
-    "latest_stage": """
-        SELECT * FROM queue_stage
+    "latest_stage": f"""
+        SELECT * FROM run_stage
+        WHERE email_queue_create_date BETWEEN '{d["click_queue_start"]}' AND '{d["end"]}'
         QUALIFY row_number() OVER (PARTITION BY messageguid, templateid
             ORDER BY email_queue_create_date DESC NULLS LAST, emailqueueid DESC NULLS LAST) = 1
         """,
+    "click_sends": f"""
+        SELECT *, {_norm('shopper_id')} AS k_shopper, {_norm('message_id')} AS k_message,
+            {_norm('isc_code')} AS k_isc, {_norm('template_id')} AS k_template
+        FROM clean_sends
+        WHERE sent_mst_date >= '{d["send_start"]}' AND sent_mst_date < '{d["end"]}'
+            AND sent_mst_ts BETWEEN TIMESTAMP '{d["click_queue_start"]}'
+                AND TIMESTAMP '{d["end"]}'
+        QUALIFY row_number() OVER (
+            PARTITION BY k_shopper, k_message, k_isc, k_template
+            ORDER BY sent_mst_ts DESC NULLS LAST, email_id DESC NULLS LAST,
+                customermap_id DESC, emailsourcekey DESC, emailsource_id DESC) = 1""",
     "click_chain": f"""
         SELECT q.redpointcontactid, s.customermap_id, s.email_id, s.sent_mst_ts,
             s.emailsourcekey, s.emailsource_id, s.shopper_email_domain_name, s.message_id,
@@ -238,10 +275,15 @@ CTES = {
         FROM src_clicks c JOIN src_tracking t ON c.trackingcode = t.trackingcode
             JOIN src_queue_success u ON t.emailqueuesuccessid = u.emailqueuesuccessid
             JOIN latest_stage q ON u.emailqueueid = q.emailqueueid
-            JOIN latest_sends s ON {_norm('q.email_queue_shopper_id')} = k_shopper
+            JOIN click_sends s ON {_norm('q.email_queue_shopper_id')} = k_shopper
                 AND {_norm('q.messageguid')} = k_message
                 AND {_norm('q.templateid')} = k_template
-        WHERE starts_with(c.eid, 'ocp.email.')""",
+        WHERE starts_with(c.eid, 'ocp.email.')
+            AND c.createdate BETWEEN TIMESTAMP '{d["open_start"]}' AND TIMESTAMP '{d["open_end"]}'
+            AND t.emailqueuecreatedate BETWEEN TIMESTAMP '{d["queue_start"]}'
+                AND TIMESTAMP '{d["end"]}'
+            AND u.emailqueuecreatedate BETWEEN TIMESTAMP '{d["queue_start"]}'
+                AND TIMESTAMP '{d["end"]}'""",
     "response_union": f"""
         SELECT redpointcontactid, sent_customermap_id AS customermap_id, email_id, sent_mst_ts,
             emailsourcekey, emailsource_id, sent_domain AS shopper_email_domain_name,
@@ -321,29 +363,30 @@ CTES = {
                 value >= 50 AS first_open_flag, {NULL_FLAG} AS first_click_flag,
                 {NULL_FLAG} AS first_complaint_flag, {NULL_TEXT} AS response_url_text,
                 {NULL_TEXT} AS response_link_name, {NULL_TEXT} AS response_link_context_text,
-                event_utc_ts, '{RESPONSES_END_DAY}' AS window_end
+                event_utc_ts, '{responses_end}' AS window_end
             FROM ({_sfmc_event('view', '')})
             UNION ALL
             SELECT {SFMC_KEYS}, email_response_type, email_response_code, NULL, NULL, NULL,
-                NULL, NULL, NULL, event_utc_ts, '{EVENTS_END_DAY}'
+                NULL, NULL, NULL, event_utc_ts, '{run_end}'
             FROM bounce_codes
             UNION ALL
             SELECT {SFMC_KEYS}, 'click', 'c', NULL, value >= 50, NULL,
                 'https://shop.example/' || event_id, 'link ' || event_id, props, event_utc_ts,
-                '{RESPONSES_END_DAY}'
+                '{responses_end}'
             FROM ({_sfmc_event('click', '')})
             UNION ALL
             SELECT {SFMC_KEYS}, CASE WHEN value < 10 THEN 'spam' ELSE 'unsubscribe' END,
                 CASE WHEN value < 10 THEN 's' ELSE 'u' END, NULL, NULL, NULL, NULL, NULL, NULL,
-                event_utc_ts, '{RESPONSES_END_DAY}'
+                event_utc_ts, '{responses_end}'
             FROM ({_sfmc_event('signup', '')}))
-        WHERE {_mst('event_utc_ts')} >= TIMESTAMP '{EVENTS_FIRST_DAY}'
+        WHERE {_mst('event_utc_ts')} >= TIMESTAMP '{events_first}'
             AND {_mst('event_utc_ts')} <= CAST(window_end AS TIMESTAMP)""",
     "exclusion": "SELECT DISTINCT listed_id FROM src_exclusion",
     "build": """
         SELECT DISTINCT customerid, id FROM src_customer_ids
         WHERE build_ts = (SELECT max(build_ts) FROM src_customer_ids)""",
-}
+    }
+
 
 _SFMC_COLUMNS = f"""
     sha256(concat_ws('|', {SFMC_KEYS})) AS email_send_id, {NULL_TEXT} AS email_id,
@@ -409,6 +452,36 @@ _SPLIT = f"""
                 AS channel_name
         FROM src_contact_email e LEFT JOIN src_queue_detail d ON e.email_id = d.emailqueueid)"""
 
+def _send_fact(d: dict[str, str]) -> str:
+    return f"""
+        SELECT DISTINCT sha256(concat_ws('|', message_id, shopper_id, lower(isc_code),
+                template_id)) AS email_send_id,
+            CAST(email_id AS VARCHAR) AS email_id, message_id AS email_message_guid,
+            sent_mst_ts AS email_send_mst_ts, redpointcontactid AS email_source_lead_id,
+            emailsourcekey AS email_source_key, CAST(template_id AS VARCHAR) AS template_id,
+            template_name, source_id = 13 AS email_holdout_flag, FALSE AS email_control_flag,
+            source_id <> 13 AS email_sent_flag,
+            string_split(language_code, '-')[1] AS email_language_code,
+            string_split(language_code, '-')[2] AS email_country_code,
+            privatelabel_id AS private_label_id, shopper_id, country AS shopper_country_code,
+            shopper_email_domain_name, lower(isc_code) AS isc_source_code,
+            {NULL_TEXT} AS exclude_reason_desc, etl_build_mst_ts, {NULL_INT} AS campaign_id,
+            {NULL_INT} AS segment_id, {NULL_INT} AS channel_id, {NULL_TEXT} AS email_name,
+            sent_mst_date AS email_send_mst_date,
+            {_source_system('mass mailer')} AS email_source_system_name
+        FROM (
+            SELECT s.*, redpointcontactid,
+                CASE WHEN {REDPOINT} THEN 9999 ELSE emailsource_id END AS source_id
+            FROM clean_sends s
+                JOIN queued_rows ON message_id = messageguid AND template_id = templateid
+            WHERE sent_mst_date >= '{d["send_start"]}' AND sent_mst_date < '{d["end"]}'
+                AND queued_ts BETWEEN TIMESTAMP '{d["queue_start"]}' AND TIMESTAMP '{d["end"]}'
+                AND succeeded_ts BETWEEN TIMESTAMP '{d["queue_start"]}'
+                    AND TIMESTAMP '{d["end"]}')
+            LEFT JOIN src_template ON CAST(template_id AS VARCHAR) = tpl_id
+            LEFT JOIN src_shopper ON shopper_id = dim_shopper"""
+
+
 STATEMENTS = {
     "first_response_flags": _event_flags(EVENTS_FIRST_DAY),
     "first_response_flags_incremental": _event_flags(REFLAG_FROM),
@@ -460,30 +533,8 @@ STATEMENTS = {
         FROM clean_sends LEFT JOIN src_shopper ON shopper_id = dim_shopper""",
     "channel_split": _SPLIT,
     "channel_split_union": _SPLIT,
-    "send_fact_ocp": f"""
-        SELECT DISTINCT sha256(concat_ws('|', message_id, shopper_id, lower(isc_code),
-                template_id)) AS email_send_id,
-            CAST(email_id AS VARCHAR) AS email_id, message_id AS email_message_guid,
-            sent_mst_ts AS email_send_mst_ts, redpointcontactid AS email_source_lead_id,
-            emailsourcekey AS email_source_key, CAST(template_id AS VARCHAR) AS template_id,
-            template_name, source_id = 13 AS email_holdout_flag, FALSE AS email_control_flag,
-            source_id <> 13 AS email_sent_flag,
-            string_split(language_code, '-')[1] AS email_language_code,
-            string_split(language_code, '-')[2] AS email_country_code,
-            privatelabel_id AS private_label_id, shopper_id, country AS shopper_country_code,
-            shopper_email_domain_name, lower(isc_code) AS isc_source_code,
-            {NULL_TEXT} AS exclude_reason_desc, etl_build_mst_ts, {NULL_INT} AS campaign_id,
-            {NULL_INT} AS segment_id, {NULL_INT} AS channel_id, {NULL_TEXT} AS email_name,
-            sent_mst_date AS email_send_mst_date,
-            {_source_system('mass mailer')} AS email_source_system_name
-        FROM (
-            SELECT s.*, redpointcontactid,
-                CASE WHEN {REDPOINT} THEN 9999 ELSE emailsource_id END AS source_id
-            FROM clean_sends s
-                JOIN queue_stage ON message_id = messageguid AND template_id = templateid
-            WHERE sent_mst_date >= '{FIRST_DAY}' AND sent_mst_date < '{END_DAY}')
-            LEFT JOIN src_template ON CAST(template_id AS VARCHAR) = tpl_id
-            LEFT JOIN src_shopper ON shopper_id = dim_shopper""",
+    "send_fact_ocp": _send_fact(WHOLE),
+    "send_fact_ocp_window": _send_fact(WINDOW),
     "norm_join_open_send": """
         SELECT email_open_id, open_mst_ts, shopper_id, message_id, email_id, sent_mst_ts,
             emailsource_id, sent_domain AS shopper_email_domain_name
@@ -507,7 +558,15 @@ STATEMENTS = {
         FIRST_DAY,
         END_DAY,
     ),
+    "response_fact_ocp_window": "SELECT * FROM response_fact_ocp",
     "conform_events": "SELECT * FROM sfmc_events",
+    "conform_events_window": "SELECT * FROM sfmc_events",
+    "sfmc_send_prune": f"""
+        SELECT {SFMC_KEYS}, CAST(event_id AS VARCHAR) AS template_id,
+            'mail ' || event_id AS email_name,
+            {_mst(f"event_utc_ts + INTERVAL {MOVED_DAYS} DAY")} AS email_send_mst_ts
+        FROM src_mailings
+        WHERE {_mst_between(f"event_utc_ts + INTERVAL {MOVED_DAYS} DAY", MOVED_FROM, MOVED_TO)}""",
     "sfmc_send_log_join": "SELECT * FROM sfmc_logged",
     "exclusion_flag": """
         SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS customer_id,
@@ -579,6 +638,9 @@ STATEMENTS = {
                     ELSE '{'-'.join(SNAPSHOT)}' END AS snapshot
             FROM orders) LEFT JOIN build ON customer_id = customerid
         WHERE snapshot = '{'-'.join(SNAPSHOT)}'""",
+    "clean_sends_sink": "SELECT * FROM clean_sends",
+    "clean_opens_sink": "SELECT * FROM clean_opens",
+    "queue_stage_sink": "SELECT * FROM queue_stage",
     "insert_overwrite_partitions": """
         SELECT CAST(o_orderkey AS VARCHAR) AS email_send_id, o_orderdate AS email_send_mst_ts,
             CASE WHEN year(o_orderdate) <= 1997 THEN 'second' ELSE 'first' END AS template_name,
@@ -588,19 +650,33 @@ STATEMENTS = {
 }
 
 
-def _with(statement: str) -> str:
+# What a sink query reads back is what it was given.
+for _name in ("send_fact_ocp", "dim_campaign", "dim_template_latest", "dim_holdout"):
+    STATEMENTS[f"{_name}_sink"] = STATEMENTS[_name]
+STATEMENTS["response_fact_ocp_sink"] = STATEMENTS["flagged_response_fact_ocp"]
+
+WHOLE_EVENTS = (EVENTS_FIRST_DAY, RESPONSES_END_DAY, EVENTS_END_DAY)
+# Runs whose ranges cut.
+RANGES = {
+    "response_fact_ocp_window": (WINDOW, WHOLE_EVENTS),
+    "conform_events_window": (WHOLE, (WINDOW_FIRST_TS, WINDOW_END_TS, WINDOW_RUN_END_TS)),
+}
+
+
+def _with(name: str, statement: str) -> str:
     """Prefix the shared definitions a statement mentions, directly or through others."""
+    definitions = _definitions(*RANGES.get(name, (WHOLE, WHOLE_EVENTS)))
     needed: list[str] = []
     text = statement
-    for name in reversed(CTES):
-        if re.search(rf"\b(FROM|JOIN)\s+{name}\b", text):
-            needed.append(name)
-            text += "\n" + CTES[name]
+    for other in reversed(definitions):
+        if re.search(rf"\b(FROM|JOIN)\s+{other}\b", text):
+            needed.append(other)
+            text += "\n" + definitions[other]
     if not needed:
         return statement.strip()
-    definitions = ",\n".join(f"{name} AS ({CTES[name]})" for name in reversed(needed))
-    return f"WITH {definitions}\n{statement.strip()}"
+    prefix = ",\n".join(f"{other} AS ({definitions[other]})" for other in reversed(needed))
+    return f"WITH {prefix}\n{statement.strip()}"
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: _with(statement) for name, statement in STATEMENTS.items()}
+    return {name: _with(name, statement) for name, statement in STATEMENTS.items()}

@@ -9,8 +9,32 @@ BUILD_TS = "2024-03-01 00:00:00"
 FIRST_DAY, END_DAY = "1995-01-01", "2002-01-01"
 PRUNE_FROM, PRUNE_TO = "1996-12-15", "1998-02-10"
 
+# Ranges that cut, all six different. Orders and lines lie on midnights, so rows lie on and
+# beside every bound.
+WINDOW = {
+    "open_start": "1996-03-01",
+    "open_end": "1997-06-01",
+    "queue_start": "1996-01-15",
+    "click_queue_start": "1995-11-20",
+    "send_start": "1995-06-10",
+    "end": "1997-09-20",
+}
+WHOLE = {
+    "open_start": FIRST_DAY,
+    "open_end": END_DAY,
+    "queue_start": FIRST_DAY,
+    "click_queue_start": FIRST_DAY,
+    "send_start": FIRST_DAY,
+    "end": END_DAY,
+}
+
 # Events.
 EVENTS_FIRST_DAY, EVENTS_END_DAY = "2023-12-01", "2024-02-15"
 RESPONSES_END_DAY = "2024-02-01"
 REFLAG_FROM = "2024-01-16"
+# A response window that ends before the run does, within the events.
+WINDOW_FIRST_TS, WINDOW_END_TS = "2024-01-05 10:00:00", "2024-01-17 21:30:00"
+WINDOW_RUN_END_TS = "2024-01-24 03:15:00"
+# Sends moved this many days, stored under an earlier month of their year, and their range.
+MOVED_DAYS, STORED_MONTH, MOVED_FROM, MOVED_TO = 60, "02", "2024-03-10", "2024-03-20"
 SHIFT_FROM, SHIFT_TO = "2024-01-08", "2024-01-22"

@@ -8,6 +8,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from mailfacts import plans
 from mailfacts.catalogue.parameters import (
@@ -16,12 +17,21 @@ from mailfacts.catalogue.parameters import (
     EVENTS_END_DAY,
     EVENTS_FIRST_DAY,
     FIRST_DAY,
+    MOVED_DAYS,
+    MOVED_FROM,
+    MOVED_TO,
     PRUNE_FROM,
     PRUNE_TO,
     REFLAG_FROM,
     RESPONSES_END_DAY,
     SHIFT_FROM,
     SHIFT_TO,
+    STORED_MONTH,
+    WHOLE,
+    WINDOW,
+    WINDOW_END_TS,
+    WINDOW_FIRST_TS,
+    WINDOW_RUN_END_TS,
 )
 from mailfacts.functions import (
     Bounds,
@@ -37,7 +47,6 @@ from mailfacts.functions.labels import MASS_MAILER_IN_SENDS
 from mailfacts.operators.attribution import (
     click_attribution,
     latest_sends,
-    latest_stage,
     open_queue,
     open_sends,
     tracked_clicks,
@@ -56,30 +65,24 @@ from mailfacts.operators.first_response import (
 )
 from mailfacts.operators.sfmc import join_send_log, log_in_range, sent_in_range
 from mailfacts.plans.responses import ResponseDates, ocp_responses
-from mailfacts.session import configure, scratch_dir
-from mailfacts.sources import scans
-from mailfacts.sources.fixtures import SNAPSHOT, Fixtures
+from mailfacts.session import configure, scratch_dir, size_shuffles
+from mailfacts.sources import scans, schemas
+from mailfacts.catalogue.fixtures import SNAPSHOT, Fixtures
 from mailfacts.sources.schemas import SEND_FACT
 from mailfacts.sources.sink import read_table, replace_partitions
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
 
-OCP_DATES = ResponseDates(
-    open_start=FIRST_DAY,
-    open_end=END_DAY,
-    queue_start=FIRST_DAY,
-    click_queue_start=FIRST_DAY,
-    send_start=FIRST_DAY,
-    end=END_DAY,
-)
+OCP_DATES = ResponseDates(**WHOLE)
+WINDOW_DATES = ResponseDates(**WINDOW)
 
 
 def _query(name: str) -> Callable[[Callable[[Fixtures], DataFrame]], Query]:
     def register(build: Callable[[Fixtures], DataFrame]) -> Query:
         @wraps(build)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return build(Fixtures(configure(spark), sf_dir))
+            return size_shuffles(build(Fixtures(configure(spark), sf_dir)))
 
         _QUERIES[name] = run
         return run
@@ -304,21 +307,31 @@ def channel_split_two_branches(fx: Fixtures) -> DataFrame:
     return channel_split_union(_split_input(fx), MASS_MAILER_IN_SENDS)
 
 
-@_query("send_fact_ocp")
-def send_fact_ocp(fx: Fixtures) -> DataFrame:
+def _send_fact_ocp(fx: Fixtures, dates: ResponseDates) -> DataFrame:
     return plans.send_fact_ocp(
         _clean_sends(fx),
         fx.queue_detail(),
         fx.queue_success(),
         fx.template(),
         fx.shopper(),
-        start=FIRST_DAY,
-        queue_start=FIRST_DAY,
-        end=END_DAY,
+        start=dates.send_start,
+        queue_start=dates.queue_start,
+        end=dates.end,
         build_ts=BUILD_TS,
     )
 
 
+@_query("send_fact_ocp")
+def send_fact_ocp(fx: Fixtures) -> DataFrame:
+    return _send_fact_ocp(fx, OCP_DATES)
+
+
+@_query("send_fact_ocp_window")
+def send_fact_ocp_window(fx: Fixtures) -> DataFrame:
+    """Two starts and an end that cut."""
+    return _send_fact_ocp(fx, WINDOW_DATES)
+
+
 @_query("norm_join_open_send")
 def norm_join_open_send(fx: Fixtures) -> DataFrame:
     opens = with_email_keys(
@@ -354,7 +367,7 @@ def click_chain(fx: Fixtures) -> DataFrame:
         scans.success_tracking(fx.success_tracking()),
         scans.queue_success_ids(fx.queue_success()),
     )
-    return click_attribution(clicks, latest_stage(_queue_stage(fx)), _clean_sends(fx))
+    return click_attribution(clicks, _queue_stage(fx), _clean_sends(fx))
 
 
 def _ocp_sources(fx: Fixtures) -> list[DataFrame]:
@@ -392,7 +405,7 @@ def content_blocks(fx: Fixtures) -> DataFrame:
     )
 
 
-def _response_fact_ocp(fx: Fixtures) -> DataFrame:
+def _response_fact_ocp(fx: Fixtures, dates: ResponseDates = OCP_DATES) -> DataFrame:
     return plans.response_fact_ocp(
         *_ocp_sources(fx),
         fx.template(),
@@ -400,7 +413,7 @@ def _response_fact_ocp(fx: Fixtures) -> DataFrame:
         fx.block_subcategories(),
         fx.block_categories(),
         fx.shopper(),
-        dates=OCP_DATES,
+        dates=dates,
         build_ts=BUILD_TS,
     )
 
@@ -410,6 +423,12 @@ def response_fact_ocp(fx: Fixtures) -> DataFrame:
     return _response_fact_ocp(fx)
 
 
+@_query("response_fact_ocp_window")
+def response_fact_ocp_window(fx: Fixtures) -> DataFrame:
+    """All six dates differ and cut."""
+    return _response_fact_ocp(fx, WINDOW_DATES)
+
+
 @_query("flagged_response_fact_ocp")
 def flagged_response_fact_ocp(fx: Fixtures) -> DataFrame:
     """The response fact with its flags, as the flag job leaves it."""
@@ -426,6 +445,25 @@ def conformed_events(fx: Fixtures) -> DataFrame:
     )
 
 
+@_query("conform_events_window")
+def conform_events_window(fx: Fixtures) -> DataFrame:
+    """A response window within the events, and bounces up to the later end of the run."""
+    window = Bounds(WINDOW_FIRST_TS, WINDOW_END_TS)
+    return conform_events(fx.sfmc_events(), window, WINDOW_RUN_END_TS)
+
+
+@_query("sfmc_send_prune")
+def sfmc_send_prune(fx: Fixtures) -> DataFrame:
+    """Sends of March that are stored under February of their year."""
+    moved = fx.sfmc_sent().withColumns(
+        {
+            "event_utc_ts": F.col("event_utc_ts") + F.make_dt_interval(days=F.lit(MOVED_DAYS)),
+            "month": F.lit(STORED_MONTH),
+        }
+    )
+    return sent_in_range(scans.sfmc_sent(moved), Bounds(MOVED_FROM, MOVED_TO))
+
+
 @_query("sfmc_send_log_join")
 def sfmc_send_log_join(fx: Fixtures) -> DataFrame:
     bounds = Bounds(EVENTS_FIRST_DAY, EVENTS_END_DAY)
@@ -448,7 +486,7 @@ def exclusion_flag(fx: Fixtures) -> DataFrame:
 
 @_query("latest_build")
 def latest_customer_build(fx: Fixtures) -> DataFrame:
-    return scans.customers(latest_build(fx.customer_ids()))
+    return scans.customers(latest_build(fx.customer_ids())).distinct()
 
 
 @_query("send_fact_sfmc")
@@ -485,8 +523,7 @@ def response_fact_sfmc(fx: Fixtures) -> DataFrame:
 # --- Dimensions -----------------------------------------------------------------------------
 
 
-@_query("dim_campaign")
-def dim_campaign(fx: Fixtures) -> DataFrame:
+def _dim_campaign(fx: Fixtures) -> DataFrame:
     return plans.dim_campaign(
         fx.metadata_campaigns(),
         fx.metadata_channels(),
@@ -496,20 +533,81 @@ def dim_campaign(fx: Fixtures) -> DataFrame:
     )
 
 
-@_query("dim_template_latest")
-def dim_template_latest(fx: Fixtures) -> DataFrame:
+def _dim_template(fx: Fixtures) -> DataFrame:
     return plans.dim_template(fx.template_metadata(), BUILD_TS)
 
 
-@_query("dim_holdout")
-def dim_holdout(fx: Fixtures) -> DataFrame:
+def _dim_holdout(fx: Fixtures) -> DataFrame:
     return plans.dim_holdout(
         fx.holdout(), latest_build(fx.customer_ids()), *SNAPSHOT, build_ts=BUILD_TS
     )
 
 
+@_query("dim_campaign")
+def dim_campaign(fx: Fixtures) -> DataFrame:
+    return _dim_campaign(fx)
+
+
+@_query("dim_template_latest")
+def dim_template_latest(fx: Fixtures) -> DataFrame:
+    return _dim_template(fx)
+
+
+@_query("dim_holdout")
+def dim_holdout(fx: Fixtures) -> DataFrame:
+    return _dim_holdout(fx)
+
+
 # --- Sink -----------------------------------------------------------------------------------
 
+Target = tuple[StructType, list[str]]
+# Name, how it is built, schema and partitions of the tables that are written as they are built.
+_TARGETS: dict[str, tuple[Callable[[Fixtures], DataFrame], Target]] = {
+    "clean_sends": (_clean_sends, (schemas.CLEAN_SENDS, schemas.CLEAN_SENDS_PARTITIONS)),
+    "clean_opens": (_clean_opens, (schemas.CLEAN_OPENS, schemas.CLEAN_OPENS_PARTITIONS)),
+    "queue_stage": (_queue_stage, (schemas.QUEUE_STAGE, schemas.QUEUE_STAGE_PARTITIONS)),
+    "send_fact_ocp": (
+        lambda fx: _send_fact_ocp(fx, OCP_DATES),
+        (schemas.SEND_FACT, schemas.SEND_FACT_PARTITIONS),
+    ),
+    "dim_campaign": (_dim_campaign, (schemas.CAMPAIGN_DIM, schemas.CAMPAIGN_DIM_PARTITIONS)),
+    "dim_template_latest": (_dim_template, (schemas.TEMPLATE_DIM, schemas.TEMPLATE_DIM_PARTITIONS)),
+    "dim_holdout": (_dim_holdout, (schemas.HOLDOUT_DIM, schemas.HOLDOUT_DIM_PARTITIONS)),
+}
+
+
+def _sink_query(name: str, build: Callable[[Fixtures], DataFrame], target: Target) -> None:
+    """``name_sink`` writes the table twice, the second time over the first, and reads it back.
+
+    The table is written while the query is built and stays in the scratch folder."""
+
+    @_query(f"{name}_sink")
+    def run(fx: Fixtures) -> DataFrame:
+        path = _scratch(fx, f"{name}_sink")
+        for _ in range(2):
+            replace_partitions(build(fx), path, *target)
+        return read_table(fx.spark, path, target[0])
+
+
+for _name, (_build, _target) in _TARGETS.items():
+    _sink_query(_name, _build, _target)
+
+
+@_query("response_fact_ocp_sink")
+def response_fact_ocp_sink(fx: Fixtures) -> DataFrame:
+    """The response fact through its table and the flag job, which rewrites that table from
+    itself by way of a staging table."""
+    schema, partitions = schemas.RESPONSE_FACT, schemas.RESPONSE_FACT_PARTITIONS
+    path, staging = (_scratch(fx, f"response_fact_ocp_{n}") for n in ("sink", "staging"))
+    replace_partitions(_response_fact_ocp(fx), path, schema, partitions)
+    flagged = plans.flag_first_response(
+        read_table(fx.spark, path, schema), FIRST_DAY, FIRST_DAY, END_DAY
+    )
+    replace_partitions(flagged, staging, schema, partitions)
+    replace_partitions(read_table(fx.spark, staging, schema), path, schema, partitions)
+    return read_table(fx.spark, path, schema)
+
+
 
 @_query("insert_overwrite_partitions")
 def insert_overwrite_partitions(fx: Fixtures) -> DataFrame:

@@ -12,7 +12,7 @@ from mailfacts.functions.labels import (
     null_sentinel,
     source_system,
 )
-from mailfacts.functions.time import Bounds, from_year_month, mst_date, to_mst, to_utc
+from mailfacts.functions.time import Bounds, from_year, from_year_month, mst_date, to_mst
 
 __all__ = [
     "Bounds",
@@ -20,6 +20,7 @@ __all__ = [
     "control_flag",
     "effective_source",
     "email_key",
+    "from_year",
     "from_year_month",
     "holdout_flag",
     "is_redpoint",
@@ -31,5 +32,4 @@ __all__ = [
     "null_sentinel",
     "source_system",
     "to_mst",
-    "to_utc",
 ]

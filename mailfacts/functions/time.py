@@ -22,12 +22,6 @@ def to_mst(utc: Column | str) -> Column:
     return utc - _offset()
 
 
-def to_utc(mst: Column | str) -> Column:
-    """Shift an MST time to UTC."""
-    mst = F.col(mst) if isinstance(mst, str) else mst
-    return mst + _offset()
-
-
 def mst_date(mst: Column | str) -> Column:
     """``yyyy-MM-dd`` text of a time already in MST.
 
@@ -79,6 +73,11 @@ def _year_month(text: str) -> tuple[int, int]:
     return moment.year, moment.month
 
 
+def from_year(lo: str, year: Column | str = "year") -> Column:
+    """Year partitions at or after that of ``lo``."""
+    return _as_int(year) >= _year_month(lo)[0]
+
+
 def _as_int(column: Column | str) -> Column:
     return (F.col(column) if isinstance(column, str) else column).cast("int")
 

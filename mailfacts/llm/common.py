@@ -45,7 +45,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared scratch folder and read back: later plans start from files
     that outlive any executor, with sizes the optimizer knows."""
     path = f"{scratch_dir(df.sparkSession)}/{name}-{uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

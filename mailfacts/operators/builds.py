@@ -2,16 +2,36 @@
 
 from __future__ import annotations
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def stored_builds(df: DataFrame, build_column: str) -> set[str]:
+    """The builds that a table partitioned by them has files of, from the names of its folders.
+
+    Only the file listing that Spark holds of the table is looked at; no file is opened.
+    """
+    named = re.compile(rf"/{re.escape(build_column)}=([^/]+)/")
+    found = {m[1] for m in map(named.search, df.inputFiles()) if m}
+    return {unquote(value) for value in found}
 
 
 def latest_build(df: DataFrame, build_column: str = "build_ts") -> DataFrame:
-    """Rows of the newest build.
+    """Rows of the newest build; an empty table gives an empty result.
 
-    The newest value is a scalar subquery over the build column alone. On a table partitioned
-    by that column it is computed from partition values and then prunes the main scan; an
-    empty table gives an empty result.
+    On a table partitioned by the build the newest one is known from its folders and prunes the
+    scan. On other tables it is a scalar subquery over the build column alone, which reads that
+    column of all builds.
     """
-    newest = df.select(F.max(build_column)).scalar()
+    builds = stored_builds(df, build_column)
+    if builds:
+        kind = df.schema[build_column].dataType
+        number = isinstance(kind, T.NumericType)
+        newest = F.lit(max(builds, key=float if number else str)).cast(kind)
+    else:
+        newest = df.select(F.max(build_column)).scalar()
     return df.where(F.col(build_column) == newest)

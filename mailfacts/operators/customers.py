@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailfacts.operators.dedupe import distinct_keys
+from mailfacts.operators.dedupe import distinct_keys, keep_matching
 
 # Fixed value.
 INTERNAL_REASON = "internal customer"
@@ -23,18 +23,34 @@ def flag_excluded(df: DataFrame, exclusion_list: DataFrame) -> DataFrame:
     return df.join(listed.select("customer_id", reason), "customer_id", "left")
 
 
-def customer_shoppers(customers: DataFrame, shoppers: DataFrame) -> DataFrame:
-    """Customer to shopper with the shopper's country.
+def customer_shoppers(
+    customers: DataFrame, shoppers: DataFrame, wanted: DataFrame
+) -> DataFrame:
+    """Customer to shopper with the shopper's country, of the customers in ``wanted``.
 
-    Joined among themselves first, so that the facts are shuffled by customer only.
+    A run meets few customers, the dimensions have all: customers are cut to the run before they
+    are made distinct, shoppers to those customers. Both are joined among themselves first, so
+    that the facts are shuffled by customer only.
     """
-    return customers.join(shoppers, "shopper_id", "left")
+    met = keep_matching(customers, wanted.select("customer_id"), ["customer_id"])
+    known = distinct_keys(met, ["customer_id", "shopper_id"])
+    return known.join(
+        keep_matching(shoppers, known.select("shopper_id"), ["shopper_id"]), "shopper_id", "left"
+    )
 
 
 def add_customer(
-    df: DataFrame, exclusion_list: DataFrame, customers: DataFrame, shoppers: DataFrame
+    df: DataFrame,
+    exclusion_list: DataFrame,
+    customers: DataFrame,
+    shoppers: DataFrame,
+    wanted: DataFrame,
 ) -> DataFrame:
-    """Exclusion reason, shopper and shopper country by ``customer_id``."""
+    """Exclusion reason, shopper and shopper country by ``customer_id``.
+
+    ``wanted`` has at least the customers of ``df``; a log is cheaper to read twice than the facts
+    that were joined with it.
+    """
     return flag_excluded(df, exclusion_list).join(
-        customer_shoppers(customers, shoppers), "customer_id", "left"
+        customer_shoppers(customers, shoppers, wanted), "customer_id", "left"
     )

@@ -44,14 +44,13 @@ LINK_COLUMNS = {
 }
 
 
-def in_mst_range(df: DataFrame, bounds: Bounds) -> DataFrame:
-    """Rows of a UTC event table within MST bounds.
+def in_mst_range(df: DataFrame, bounds: Bounds, stored_from: Column) -> DataFrame:
+    """Rows of a UTC event table within MST bounds, of the partitions ``stored_from`` keeps.
 
-    Tested on the stored columns: whole (year, month) partitions first, then the exact time,
-    so that both prune the scan.
+    Tested on the stored columns: whole partitions first, then the exact time, so that both
+    prune the scan.
     """
-    utc = bounds.mst_to_utc()
-    return df.where(from_year_month(utc.lo)).where(utc.within(df, "event_utc_ts"))
+    return df.where(stored_from).where(bounds.mst_to_utc().within(df, "event_utc_ts"))
 
 
 def conform_kind(df: DataFrame, kind: EventKind, bounds: Bounds) -> DataFrame:
@@ -68,7 +67,7 @@ def conform_kind(df: DataFrame, kind: EventKind, bounds: Bounds) -> DataFrame:
         columns |= {name: F.col(source) for name, source in LINK_COLUMNS.items()}
     given = {*SFMC_KEYS, *columns}
     return conform(
-        in_mst_range(df, bounds).select(
+        in_mst_range(df, bounds, from_year_month(bounds.lo)).select(
             *SFMC_KEYS, *(column.alias(name) for name, column in columns.items())
         ),
         CONFORMED_EVENT,

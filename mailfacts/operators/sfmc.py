@@ -4,7 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from mailfacts.functions import Bounds, email_key, key_tag, locale_country, locale_language, to_mst
+from mailfacts.functions import (
+    Bounds,
+    email_key,
+    from_year,
+    key_tag,
+    locale_country,
+    locale_language,
+    to_mst,
+)
 from mailfacts.operators.dedupe import keep_matching
 from mailfacts.operators.events import in_mst_range
 from mailfacts.sources.scans import SFMC_KEYS
@@ -13,9 +21,9 @@ TAG = "_tag"
 
 
 def sent_in_range(sent: DataFrame, bounds: Bounds) -> DataFrame:
-    """Sends within MST bounds, timed in MST."""
+    """Sends within MST bounds, timed in MST. They may be stored under any month of their year."""
     return (
-        in_mst_range(sent, bounds)
+        in_mst_range(sent, bounds, from_year(bounds.lo))
         .withColumn("email_send_mst_ts", to_mst("event_utc_ts"))
         .drop("event_utc_ts", "year", "month")
     )
@@ -23,7 +31,7 @@ def sent_in_range(sent: DataFrame, bounds: Bounds) -> DataFrame:
 
 def log_in_range(log: DataFrame, bounds: Bounds) -> DataFrame:
     """Log entries within MST bounds; the time of the send wins over theirs."""
-    return in_mst_range(log, bounds).drop("event_utc_ts", "year", "month")
+    return in_mst_range(log, bounds, from_year(bounds.lo)).drop("event_utc_ts", "year", "month")
 
 
 def join_send_log(sent: DataFrame, log: DataFrame) -> DataFrame:

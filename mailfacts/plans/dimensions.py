@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from mailfacts.functions import mst_date, to_mst
 from mailfacts.operators.conform import conform
-from mailfacts.operators.dedupe import latest_per_key
+from mailfacts.operators.dedupe import distinct_keys, keep_matching, latest_per_key
 from mailfacts.plans.build import build_time
 from mailfacts.sources import scans, schemas
 
@@ -37,7 +37,9 @@ CAMPAIGN_NAMES = {
     "message_classification_name": "campaign_message_classification",
     "send_type_name": "campaign_trigger_type_desc",
 }
-CAMPAIGN_ID, SEGMENT_ID, CHANNEL_ID = list(CAMPAIGN_NAMES)[:3]
+CAMPAIGN_ID = "cms_omni_campaign_id"
+SEGMENT_ID = "cms_omni_segment_id"
+CHANNEL_ID = "cms_omni_channel_id"
 
 
 def _built(build_ts: str) -> dict[str, Column]:
@@ -46,7 +48,9 @@ def _built(build_ts: str) -> dict[str, Column]:
 
 
 def _undated(df: DataFrame) -> DataFrame:
-    return df.drop("year", "month", "day")
+    """What any stored day says, once: joining repeated days would multiply them."""
+    wanted = [c for c in df.columns if CAMPAIGN_NAMES.get(c, c) in schemas.CAMPAIGN_DIM.fieldNames()]
+    return df.select(*wanted).distinct()
 
 
 def dim_campaign(
@@ -92,12 +96,14 @@ def dim_holdout(
     snapshot = (
         (F.col("year") == year) & (F.col("month") == month) & (F.col("day") == day)
     )
+    chosen = scans.holdouts(holdout).where(snapshot)
+    met = keep_matching(
+        scans.customers(customers), chosen.select("customer_id"), ["customer_id"]
+    )
     held_out = (
-        scans.holdouts(holdout)
-        .where(snapshot)
-        .withColumn("campaign_selection_mst_ts", to_mst("etl_build_utc_ts"))
+        chosen.withColumn("campaign_selection_mst_ts", to_mst("etl_build_utc_ts"))
         .withColumn("snap_date", mst_date("campaign_selection_mst_ts"))
-        .join(scans.customers(customers), "customer_id", "left")
+        .join(distinct_keys(met, met.columns), "customer_id", "left")
     )
     built = {"etl_build_mst_ts": build_time(build_ts)}
     return conform(held_out, schemas.HOLDOUT_DIM, constants=built, distinct=True)

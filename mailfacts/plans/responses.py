@@ -12,7 +12,6 @@ from mailfacts.functions import Bounds, email_key, locale_country, locale_langua
 from mailfacts.functions.labels import MASS_MAILER_IN_RESPONSES, SFMC_SYSTEM
 from mailfacts.operators.attribution import (
     click_attribution,
-    latest_stage,
     open_attribution,
     tracked_clicks,
 )
@@ -20,6 +19,7 @@ from mailfacts.operators.channels import channel_split
 from mailfacts.operators.conform import conform
 from mailfacts.operators.content import add_content, content_hierarchy
 from mailfacts.operators.customers import add_customer
+from mailfacts.operators.dedupe import keep_matching
 from mailfacts.operators.events import conform_events
 from mailfacts.operators.sfmc import (
     add_email_columns,
@@ -29,6 +29,7 @@ from mailfacts.operators.sfmc import (
 )
 from mailfacts.plans.build import build_time
 from mailfacts.sources import scans, schemas
+from mailfacts.sources.scans import SFMC_KEYS
 
 # Columns each world does not know.
 ABSENT_OCP = [
@@ -111,7 +112,7 @@ def ocp_responses(
             tracking.where(queued.within(tracking, "emailqueuecreatedate")),
             success.where(queued.within(success, "emailqueuecreatedate")),
         ),
-        latest_stage(stage.where(click_queue.within(stage, "email_queue_create_date"))),
+        stage.where(click_queue.within(stage, "email_queue_create_date")),
         sends.where(click_queue.within(sends, "sent_mst_ts")),
     )
     if content is not None:
@@ -195,14 +196,17 @@ def response_fact_sfmc(
     """
     responses = conform_events(events, Bounds(open_start, open_end), end)
     history = Bounds(send_start, end)
+    entries = log_in_range(scans.sfmc_send_log(log), history)
     joined = join_responses(
-        responses,
-        sent_in_range(scans.sfmc_sent(sent), history),
-        log_in_range(scans.sfmc_send_log(log), history),
+        responses, sent_in_range(scans.sfmc_sent(sent), history), entries
     )
     fact = add_email_columns(
         add_customer(
-            joined, exclusion_list, scans.customers(customers), scans.shoppers(shoppers)
+            joined,
+            exclusion_list,
+            scans.customers(customers),
+            scans.shoppers(shoppers),
+            wanted=keep_matching(entries, responses, SFMC_KEYS),
         )
     ).withColumns(
         {

@@ -10,6 +10,7 @@ from mailfacts.functions.labels import MASS_MAILER_IN_SENDS, SFMC_SYSTEM
 from mailfacts.operators.channels import channel_split
 from mailfacts.operators.conform import conform
 from mailfacts.operators.customers import add_customer
+from mailfacts.operators.dedupe import distinct_keys
 from mailfacts.operators.sfmc import (
     add_email_columns,
     join_send_log,
@@ -37,12 +38,17 @@ ABSENT_SFMC = [
 def queued_sends(
     sends: DataFrame, detail: DataFrame, success: DataFrame, start: str, queue_start: str, end: str
 ) -> DataFrame:
-    """Clean sends with the redpoint contact of their queue row."""
+    """Clean sends with the redpoint contact of their queue row.
+
+    The contacts of a message are made distinct first: joining a message sent many times with
+    as many equal queue rows would multiply them.
+    """
     queued = queued_emails(detail, success, queue_start, end).select(
         F.col("messageguid").alias("message_id"),
         F.col("templateid").alias("template_id"),
         "redpointcontactid",
     )
+    queued = distinct_keys(queued, queued.columns)
     in_range = Bounds(start, end, closed=False).within(sends, "sent_mst_date")
     return sends.where(in_range).join(queued, ["message_id", "template_id"])
 
@@ -112,13 +118,15 @@ def send_fact_sfmc(
     ``customers`` is one build of the customer table.
     """
     bounds = Bounds(start, end)
-    logged = join_send_log(
-        sent_in_range(scans.sfmc_sent(sent), bounds),
-        log_in_range(scans.sfmc_send_log(log), bounds),
-    )
+    entries = log_in_range(scans.sfmc_send_log(log), bounds)
+    logged = join_send_log(sent_in_range(scans.sfmc_sent(sent), bounds), entries)
     fact = add_email_columns(
         add_customer(
-            logged, exclusion_list, scans.customers(customers), scans.shoppers(shoppers)
+            logged,
+            exclusion_list,
+            scans.customers(customers),
+            scans.shoppers(shoppers),
+            wanted=entries,
         )
     ).withColumn("email_send_mst_date", mst_date("email_send_mst_ts"))
     constants = {

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings; everything else is left to Spark and to whoever runs the cluster.
 SETTINGS = {
@@ -20,6 +20,10 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     # Hash instead of sort where every partition of one side has been measured to fit.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
+    # A long tracking or send table meets a short run through a Bloom filter of the run's keys,
+    # which Spark adds by itself where the long side is large enough to be worth it.
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1GB",
     # Overwrites replace only the partitions present in the output.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
@@ -34,27 +38,41 @@ STATIC_SETTINGS = {
     "spark.sql.codegen.cache.maxEntries": "2000",
 }
 
-# Sizing of shuffles by expected volume.
+# Sizing of shuffles by the volume of the inputs.
 PARTITION_BYTES = 256 * 1024 * 1024
-MAX_PARTITIONS = 100_000
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
-def configure(spark: SparkSession, shuffle_bytes: int | None = None) -> SparkSession:
-    """Apply the runtime settings to a session somebody else created.
-
-    ``shuffle_bytes``, the volume of the largest shuffle expected, raises the number of
-    shuffle partitions so that each fits in memory. Smaller shuffles are then coalesced at
-    run time, while too few partitions could not be mended.
-    """
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the runtime settings to a session somebody else created."""
     for name, value in SETTINGS.items():
         spark.conf.set(name, value)
-    if shuffle_bytes is not None:
-        needed = min(-(-shuffle_bytes // PARTITION_BYTES), MAX_PARTITIONS)
-        present = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        spark.conf.set("spark.sql.shuffle.partitions", str(max(needed, present)))
     return spark
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the files and tables a plan reads, each as often as it reads it.
+
+    From what Spark knows of its sources when it analyses a plan; starts no job.
+    """
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    sizes = (leaves.apply(i).stats().sizeInBytes() for i in range(leaves.size()))
+    return sum(int(str(size)) for size in sizes)
+
+
+def size_shuffles(df: DataFrame) -> DataFrame:
+    """Let the shuffles of ``df`` start with so many partitions that each fits in memory, even if
+    one shuffle should move all that the plan reads.
+
+    Adaptive execution joins partitions that turn out small, while too few could not be mended.
+    """
+    spark = df.sparkSession
+    needed = -(-input_bytes(df) // PARTITION_BYTES)
+    present = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set(INITIAL_PARTITIONS, str(max(needed, present)))
+    return df
+
+
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder for written intermediate tables.
 

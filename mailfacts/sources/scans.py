@@ -167,11 +167,8 @@ def sfmc_send_log(df: DataFrame) -> DataFrame:
 
 
 def customers(df: DataFrame) -> DataFrame:
-    """Customer to shopper, one build of the table (see ``operators.builds``)."""
-    return df.select(
-        F.col("customerid").alias("customer_id"), F.col("id").alias("shopper_id")
-    ).distinct()
-
+    """Customer to shopper, one build of the table (see ``operators.builds``), repeats included."""
+    return df.select(F.col("customerid").alias("customer_id"), F.col("id").alias("shopper_id"))
 
 
 def exclusion_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -6,101 +6,225 @@ number in the other are text here.
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
-
-_TYPES = {
-    "text": T.StringType(),
-    "int": T.IntegerType(),
-    "long": T.LongType(),
-    "flag": T.BooleanType(),
-    "time": T.TimestampNTZType(),
-}
-
-
-def _schema(columns: str) -> T.StructType:
-    """``name:type`` words, text where no type is given."""
-    fields = []
-    for word in columns.split():
-        name, _, kind = word.partition(":")
-        fields.append(T.StructField(name, _TYPES[kind or "text"]))
-    return T.StructType(fields)
-
-
-CLEAN_SENDS = _schema("""
-    email_id:long sent_mst_ts:time customermap_id:long shopper_id shopper_email_domain_name
-    privatelabel_id:int isc_code emailsource_id:int emailsourcekey:long template_id:int
-    message_id language_code etl_build_mst_ts:time sent_mst_date
-""")
+from pyspark.sql.types import StructType
+
+
+def _table(columns: dict[str, str]) -> StructType:
+    """A schema from names and Spark's type names; DDL text would need a running session."""
+    out = StructType()
+    for name, kind in columns.items():
+        out = out.add(name, kind)
+    return out
+
+
+# Names, types and order of the columns of all result tables.
+CLEAN_SENDS = _table(
+    {
+        "email_id": "long",
+        "sent_mst_ts": "timestamp_ntz",
+        "customermap_id": "long",
+        "shopper_id": "string",
+        "shopper_email_domain_name": "string",
+        "privatelabel_id": "integer",
+        "isc_code": "string",
+        "emailsource_id": "integer",
+        "emailsourcekey": "long",
+        "template_id": "integer",
+        "message_id": "string",
+        "language_code": "string",
+        "etl_build_mst_ts": "timestamp_ntz",
+        "sent_mst_date": "string",
+    }
+)
 CLEAN_SENDS_PARTITIONS = ["sent_mst_date"]
 
-CLEAN_OPENS = _schema("""
-    email_open_id:long open_mst_ts:time customermap_id:long shopper_id
-    shopper_email_domain_name message_id template_id:int privatelabel_id:int isc_code
-    language_code etl_build_mst_ts:time open_mst_date
-""")
+CLEAN_OPENS = _table(
+    {
+        "email_open_id": "long",
+        "open_mst_ts": "timestamp_ntz",
+        "customermap_id": "long",
+        "shopper_id": "string",
+        "shopper_email_domain_name": "string",
+        "message_id": "string",
+        "template_id": "integer",
+        "privatelabel_id": "integer",
+        "isc_code": "string",
+        "language_code": "string",
+        "etl_build_mst_ts": "timestamp_ntz",
+        "open_mst_date": "string",
+    }
+)
 CLEAN_OPENS_PARTITIONS = ["open_mst_date"]
 
-QUEUE_STAGE = _schema("""
-    messageguid emailqueueid:long templateid:int redpointcontactid:long privatelabelid:int
-    email_queue_shopper_id email_queue_source_code emailqueuecreatedate_ts:time
-    email_queue_create_date
-""")
+QUEUE_STAGE = _table(
+    {
+        "messageguid": "string",
+        "emailqueueid": "long",
+        "templateid": "integer",
+        "redpointcontactid": "long",
+        "privatelabelid": "integer",
+        "email_queue_shopper_id": "string",
+        "email_queue_source_code": "string",
+        "emailqueuecreatedate_ts": "timestamp_ntz",
+        "email_queue_create_date": "string",
+    }
+)
 QUEUE_STAGE_PARTITIONS = ["email_queue_create_date"]
 
-SEND_FACT = _schema("""
-    email_send_id email_id email_message_guid email_send_mst_ts:time email_source_lead_id:long
-    email_source_key:long template_id template_name email_holdout_flag:flag
-    email_control_flag:flag email_sent_flag:flag email_language_code email_country_code
-    private_label_id:int shopper_id shopper_country_code shopper_email_domain_name
-    isc_source_code exclude_reason_desc etl_build_mst_ts:time campaign_id:int segment_id:int
-    channel_id:int email_name email_send_mst_date email_source_system_name
-""")
+SEND_FACT = _table(
+    {
+        "email_send_id": "string",
+        "email_id": "string",
+        "email_message_guid": "string",
+        "email_send_mst_ts": "timestamp_ntz",
+        "email_source_lead_id": "long",
+        "email_source_key": "long",
+        "template_id": "string",
+        "template_name": "string",
+        "email_holdout_flag": "boolean",
+        "email_control_flag": "boolean",
+        "email_sent_flag": "boolean",
+        "email_language_code": "string",
+        "email_country_code": "string",
+        "private_label_id": "integer",
+        "shopper_id": "string",
+        "shopper_country_code": "string",
+        "shopper_email_domain_name": "string",
+        "isc_source_code": "string",
+        "exclude_reason_desc": "string",
+        "etl_build_mst_ts": "timestamp_ntz",
+        "campaign_id": "integer",
+        "segment_id": "integer",
+        "channel_id": "integer",
+        "email_name": "string",
+        "email_send_mst_date": "string",
+        "email_source_system_name": "string",
+    }
+)
 SEND_FACT_PARTITIONS = ["email_send_mst_date", "email_source_system_name"]
 
-RESPONSE_FACT = _schema("""
-    email_send_id email_id email_message_guid email_response_mst_ts:time email_send_mst_ts:time
-    email_send_mst_date email_response_type email_response_code content_block_id
-    content_block_key_id content_block_key_name content_block_category_id
-    content_block_category_name content_block_subcategory_id content_block_subcategory_name
-    content_block_click_eid_text content_block_click_visit_guid
-    content_block_click_visitor_guid first_open_flag:flag first_click_flag:flag
-    first_complaint_flag:flag template_id template_name email_control_flag:flag
-    email_language_code email_country_code private_label_id:int shopper_id
-    shopper_country_code shopper_email_domain_name isc_source_code exclude_reason_desc
-    response_url_text response_link_context_text etl_build_mst_ts:time campaign_id:int
-    segment_id:int channel_id:int email_name response_link_name email_response_mst_date
-    email_source_system_name
-""")
+RESPONSE_FACT = _table(
+    {
+        "email_send_id": "string",
+        "email_id": "string",
+        "email_message_guid": "string",
+        "email_response_mst_ts": "timestamp_ntz",
+        "email_send_mst_ts": "timestamp_ntz",
+        "email_send_mst_date": "string",
+        "email_response_type": "string",
+        "email_response_code": "string",
+        "content_block_id": "string",
+        "content_block_key_id": "string",
+        "content_block_key_name": "string",
+        "content_block_category_id": "string",
+        "content_block_category_name": "string",
+        "content_block_subcategory_id": "string",
+        "content_block_subcategory_name": "string",
+        "content_block_click_eid_text": "string",
+        "content_block_click_visit_guid": "string",
+        "content_block_click_visitor_guid": "string",
+        "first_open_flag": "boolean",
+        "first_click_flag": "boolean",
+        "first_complaint_flag": "boolean",
+        "template_id": "string",
+        "template_name": "string",
+        "email_control_flag": "boolean",
+        "email_language_code": "string",
+        "email_country_code": "string",
+        "private_label_id": "integer",
+        "shopper_id": "string",
+        "shopper_country_code": "string",
+        "shopper_email_domain_name": "string",
+        "isc_source_code": "string",
+        "exclude_reason_desc": "string",
+        "response_url_text": "string",
+        "response_link_context_text": "string",
+        "etl_build_mst_ts": "timestamp_ntz",
+        "campaign_id": "integer",
+        "segment_id": "integer",
+        "channel_id": "integer",
+        "email_name": "string",
+        "response_link_name": "string",
+        "email_response_mst_date": "string",
+        "email_source_system_name": "string",
+    }
+)
 RESPONSE_FACT_PARTITIONS = ["email_response_mst_date", "email_source_system_name"]
 
-CONFORMED_EVENT = _schema("""
-    sfmc_job_id:long sfmc_list_id:long sfmc_batch_id:long sfmc_subscriber_id:long
-    email_response_type email_response_code first_open_flag:flag first_click_flag:flag
-    first_complaint_flag:flag response_url_text response_link_name
-    response_link_context_text email_response_mst_ts:time
-""")
-
-CAMPAIGN_DIM = _schema("""
-    campaign_id:int segment_id:int channel_id:int campaign_channel_name
-    campaign_internal_source_code campaign_optin_preference_desc campaign_control_flag:flag
-    campaign_test_flag:flag campaign_three_day_suppression_flag:flag campaign_test_type_desc
-    campaign_international_flag:flag campaign_product_desc campaign_product_content_desc
-    campaign_revenue_generating_flag:flag campaign_objective_desc campaign_subobjective_desc
-    campaign_category_name campaign_subcategory_name campaign_name campaign_friendly_name
-    campaign_classification_desc campaign_group_desc segment_name
-    campaign_message_classification campaign_trigger_type_desc
-    campaign_gho_filter_applied_flag:flag etl_build_mst_ts:time etl_build_mst_date
-""")
+CONFORMED_EVENT = _table(
+    {
+        "sfmc_job_id": "long",
+        "sfmc_list_id": "long",
+        "sfmc_batch_id": "long",
+        "sfmc_subscriber_id": "long",
+        "email_response_type": "string",
+        "email_response_code": "string",
+        "first_open_flag": "boolean",
+        "first_click_flag": "boolean",
+        "first_complaint_flag": "boolean",
+        "response_url_text": "string",
+        "response_link_name": "string",
+        "response_link_context_text": "string",
+        "email_response_mst_ts": "timestamp_ntz",
+    }
+)
+
+CAMPAIGN_DIM = _table(
+    {
+        "campaign_id": "integer",
+        "segment_id": "integer",
+        "channel_id": "integer",
+        "campaign_channel_name": "string",
+        "campaign_internal_source_code": "string",
+        "campaign_optin_preference_desc": "string",
+        "campaign_control_flag": "boolean",
+        "campaign_test_flag": "boolean",
+        "campaign_three_day_suppression_flag": "boolean",
+        "campaign_test_type_desc": "string",
+        "campaign_international_flag": "boolean",
+        "campaign_product_desc": "string",
+        "campaign_product_content_desc": "string",
+        "campaign_revenue_generating_flag": "boolean",
+        "campaign_objective_desc": "string",
+        "campaign_subobjective_desc": "string",
+        "campaign_category_name": "string",
+        "campaign_subcategory_name": "string",
+        "campaign_name": "string",
+        "campaign_friendly_name": "string",
+        "campaign_classification_desc": "string",
+        "campaign_group_desc": "string",
+        "segment_name": "string",
+        "campaign_message_classification": "string",
+        "campaign_trigger_type_desc": "string",
+        "campaign_gho_filter_applied_flag": "boolean",
+        "etl_build_mst_ts": "timestamp_ntz",
+        "etl_build_mst_date": "string",
+    }
+)
 CAMPAIGN_DIM_PARTITIONS = ["etl_build_mst_date"]
 
-TEMPLATE_DIM = _schema("""
-    email_id email_name service_ticket_number create_mst_ts:time etl_build_mst_ts:time
-    etl_build_mst_date
-""")
+TEMPLATE_DIM = _table(
+    {
+        "email_id": "string",
+        "email_name": "string",
+        "service_ticket_number": "string",
+        "create_mst_ts": "timestamp_ntz",
+        "etl_build_mst_ts": "timestamp_ntz",
+        "etl_build_mst_date": "string",
+    }
+)
 TEMPLATE_DIM_PARTITIONS = ["etl_build_mst_date"]
 
-HOLDOUT_DIM = _schema("""
-    customer_id campaign_selection_mst_ts:time channel_id:int shopper_id market_id
-    isc_source_code etl_build_mst_ts:time snap_date
-""")
+HOLDOUT_DIM = _table(
+    {
+        "customer_id": "string",
+        "campaign_selection_mst_ts": "timestamp_ntz",
+        "channel_id": "integer",
+        "shopper_id": "string",
+        "market_id": "string",
+        "isc_source_code": "string",
+        "etl_build_mst_ts": "timestamp_ntz",
+        "snap_date": "string",
+    }
+)
 HOLDOUT_DIM_PARTITIONS = ["snap_date"]

@@ -24,9 +24,11 @@ def replace_partitions(
 ) -> None:
     """Replace, in the Parquet table at ``path``, the partitions ``df`` has rows for.
 
-    All other partitions stay. A partition that no longer gets any row is not emptied. The
-    new files become visible only when the whole write has succeeded, so ``df`` may have been
-    read from the same table and a failed run can be repeated.
+    All other partitions stay. A partition that no longer gets any row is not emptied. All rows
+    are computed before any old file is removed, so ``df`` may have been read from the same
+    table. The partitions are then exchanged one after the other: a driver lost just then leaves
+    some replaced and some not. A run over other tables is simply repeated; one over its own
+    table should write to a staging table first and copy that.
     """
     (
         _sized_for_partitions(conform(df, schema), partitions)

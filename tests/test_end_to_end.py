@@ -7,7 +7,7 @@ from mailfacts import plans
 from mailfacts.operators.builds import latest_build
 from mailfacts.plans.responses import ResponseDates
 from mailfacts.sources import schemas
-from mailfacts.sources.fixtures import SNAPSHOT, Fixtures
+from mailfacts.catalogue.fixtures import SNAPSHOT, Fixtures
 from mailfacts.sources.sink import read_table, replace_partitions
 
 FOLDER = "/root/testdata/sf0.001"

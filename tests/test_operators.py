@@ -7,7 +7,6 @@ from helpers import at, frame, rows
 
 from mailfacts.operators.attribution import (
     click_attribution,
-    latest_stage,
     open_attribution,
     tracked_clicks,
 )
@@ -394,7 +393,7 @@ def test_click_chain(spark):
         send(4, "2024-01-01", "S", "M3"),
     )
     got = rows(
-        click_attribution(tracked_clicks(clicks, tracking, success), latest_stage(stage), sends),
+        click_attribution(tracked_clicks(clicks, tracking, success), stage, sends),
         "email_id",
         "message_id",
         "content_block_id",

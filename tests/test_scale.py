@@ -8,16 +8,20 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from mailfacts import catalogue, plans
-from mailfacts.functions import Bounds
-from mailfacts.operators import attribution
-from mailfacts.operators.attribution import open_sends, with_email_keys
+from mailfacts.functions import Bounds, from_year_month
+from mailfacts.operators.attribution import (
+    click_attribution,
+    open_sends,
+    tracked_clicks,
+    with_email_keys,
+)
 from mailfacts.operators.customers import add_customer
 from mailfacts.operators.dedupe import keep_matching, latest_per_key
 from mailfacts.operators.events import in_mst_range
 from mailfacts.operators.first_response import first_response_flags
 from mailfacts.operators.sfmc import join_responses
-from mailfacts.operators.sizing import broadcast_if_small, measured_bytes
-from mailfacts.session import configure
+from mailfacts.plans.sends import queued_sends
+from mailfacts.session import INITIAL_PARTITIONS, PARTITION_BYTES, input_bytes, size_shuffles
 from mailfacts.sources.scans import SFMC_KEYS
 
 N = 240_000
@@ -128,6 +132,7 @@ def test_unknown_customers_are_split(spark, like_a_cluster):
             some.select(F.col("c").alias("QaCustomerID")),
             some.select(F.col("c").alias("customer_id"), F.col("c").alias("shopper_id")),
             some.select(F.col("c").alias("shopper_id"), F.lit("US").alias("shopper_country_code")),
+            wanted=facts,
         ).agg(
             F.count("*"),
             F.count("exclude_reason_desc"),
@@ -186,35 +191,147 @@ def test_small_keys_are_broadcast_by_measured_size(spark):
     assert "BroadcastHashJoin" in ran(keep_matching(df, few, ["k"]))[1]
 
 
-def test_no_plan_forces_a_broadcast_or_a_cross_join(spark, like_a_cluster, monkeypatch):
-    """Not even of clicks, once they measure too large."""
-    monkeypatch.setattr(attribution, "broadcast_if_small", lambda df: broadcast_if_small(df, 1000))
+def writes_while_built(name):
+    return name.endswith("_sink") or name in ("insert_overwrite_partitions", "exclusion_flag")
+
+
+def test_plans_start_no_job_and_force_no_broadcast_or_cross_join(spark, like_a_cluster):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("building", "nothing may run")
     for name, query in catalogue.queries().items():
-        if name == "insert_overwrite_partitions":
-            continue  # writes while it is built
+        if writes_while_built(name):
+            continue
         plan = planned(query(spark, FOLDER))
         assert "Broadcast" not in plan, name
         assert "Cartesian" not in plan, name
+    assert list(tracker.getJobIdsForGroup("building")) == []
+    spark.sparkContext.setJobGroup(None, None)
+
+
+def click_sources(spark, tmp_path):
+    """A million links and stage rows, ten clicks; stored, as Spark filters scans at run time."""
+    number, day = F.col("id"), F.lit("2024-01-05").cast("timestamp_ntz")
+    frames = {
+        "clicks": spark.range(10).select(
+            (number * 7).cast("string").alias("trackingcode"),
+            number.cast("string").alias("content_block_id"),
+            day.alias("email_response_mst_ts"),
+            F.lit("v").alias("content_block_click_visit_guid"),
+            F.lit("w").alias("content_block_click_visitor_guid"),
+            F.lit("ocp.email.1").alias("content_block_click_eid_text"),
+        ),
+        "tracking": spark.range(N).select(
+            number.cast("string").alias("trackingcode"),
+            number.alias("emailqueuesuccessid"),
+            F.lit("b").alias("content_block_key_id"),
+        ),
+        "success": spark.range(N).select(
+            number.alias("emailqueuesuccessid"), number.alias("emailqueueid")
+        ),
+        "stage": spark.range(2 * N).select(
+            number.alias("emailqueueid"),
+            (number % N).cast("string").alias("messageguid"),
+            F.lit(1).alias("templateid"),
+            F.lit(5).cast("long").alias("redpointcontactid"),
+            F.lit("s").alias("email_queue_shopper_id"),
+            F.when(number < N, "2024-01-01").otherwise("2024-01-02").alias("email_queue_create_date"),
+        ),
+        "sends": spark.range(N).select(
+            F.lit("S").alias("shopper_id"),
+            number.cast("string").alias("message_id"),
+            F.lit("isc").alias("isc_code"),
+            F.lit(1).alias("template_id"),
+            F.lit("en").alias("language_code"),
+            F.lit(1).alias("privatelabel_id"),
+            number.alias("customermap_id"),
+            number.alias("email_id"),
+            day.alias("sent_mst_ts"),
+            number.alias("emailsourcekey"),
+            F.lit(7).alias("emailsource_id"),
+            F.lit("d").alias("shopper_email_domain_name"),
+        ),
+    }
+    for name, df in frames.items():
+        df.write.parquet(str(tmp_path / name))
+    return {name: spark.read.parquet(str(tmp_path / name)) for name in frames}
+
+
+def test_stage_and_sends_are_cut_to_the_clicks(spark, like_a_cluster, tmp_path):
+    """Semi joins stand below both dedupes, and a later stage row of a clicked message wins."""
+    t = click_sources(spark, tmp_path)
+    clicks = tracked_clicks(t["clicks"], t["tracking"], t["success"])
+    result = click_attribution(clicks, t["stage"], t["sends"])
+    assert result.count() == 0  # each clicked queue row is hidden by a later one
+    first = t["stage"].where(F.col("email_queue_create_date") == "2024-01-01")
+    found, plan = ran(click_attribution(clicks, first, t["sends"]))
+    assert sorted(row.email_id for row in found) == [7 * i for i in range(10)]
+    for window in plan.split("Window [")[1:]:
+        assert "LeftSemi" in window
+    assert count(r"LeftSemi", plan) >= 3
+
+
+def test_tracking_is_filtered_by_the_keys_of_the_clicks(spark, like_a_cluster, settings, tmp_path):
+    settings(
+        spark__sql__optimizer__runtime__bloomFilter__applicationSideScanSizeThreshold="1KB",
+    )
+    t = click_sources(spark, tmp_path)
+    clicks = tracked_clicks(t["clicks"], t["tracking"], t["success"])
+    assert "might_contain" in planned(clicks)
+    assert clicks.count() == 10
 
 
-def test_few_clicks_are_broadcast_to_the_tracking_table(spark, like_a_cluster):
-    plan = planned(entry.queries()["click_chain"](spark, FOLDER))
-    assert count("BroadcastHashJoin", plan) == 1
-    assert "BroadcastHashJoin [trackingcode" in plan
+def test_customers_and_shoppers_are_cut_to_the_facts(spark, like_a_cluster):
+    """Neither dimension is made distinct or joined before it is cut."""
+    for name in ("send_fact_sfmc", "response_fact_sfmc"):
+        plan = planned(entry.queries()[name](spark, FOLDER))
+        joins = [line for line in plan.splitlines() if "Join [" in line]
+        assert any("LeftSemi" in line and "[customer_id" in line for line in joins), name
+        assert any("LeftSemi" in line and "[shopper_id" in line for line in joins), name
 
 
-def test_size_is_measured_in_bytes(spark):
-    df = spark.createDataFrame([("aé", 1), (None, 2)], "s string, n long")
-    assert measured_bytes(df) == 4 * 8 + 3
-    assert measured_bytes(df.where("false")) == 0
+def test_queued_contacts_are_distinct_before_the_join(spark, like_a_cluster):
+    """Hundreds of sends and queue rows of one message give one row for each send and contact, and
+    a message that a third of all sends share is split."""
+    number = F.col("id")
+    day = F.lit("2024-01-05").cast("timestamp_ntz")
+    message = hot(number).cast("string")
+    sends = spark.range(0, N, 1, 16).select(
+        message.alias("message_id"),
+        F.lit(1).alias("template_id"),
+        F.lit("2024-01-05").alias("sent_mst_date"),
+        number.alias("email_id"),
+        F.sha2(number.cast("string"), 256).alias("payload"),
+    )
+    detail = spark.range(0, N // 4, 1, 8).select(
+        number.alias("emailqueueid"),
+        message.alias("messageguid"),
+        (number % 2).alias("redpointcontactid"),
+        F.lit(0).alias("isautomatedseedlist"),
+        F.lit(0).alias("istestsend"),
+        day.alias("emailqueuecreatedate"),
+        F.lit(1).alias("privatelabelid"),
+        F.lit("s").alias("shopperid"),
+        F.lit("c").alias("sourcecode"),
+    )
+    success = detail.select("emailqueueid", F.lit(1).alias("templateid"), "emailqueuecreatedate")
+    joined = queued_sends(sends, detail, success, "2024-01-01", "2024-01-01", "2024-02-01")
+    result, plan = ran(joined.agg(F.count("*"), F.countDistinct("email_id", "redpointcontactid"), F.max("payload")))
+    assert result[0][0] == result[0][1]
+    assert splits_hot_keys(plan)
 
 
-def test_shuffle_partitions_follow_the_volume(spark, settings):
-    settings(spark__sql__shuffle__partitions="8")
-    configure(spark, shuffle_bytes=10 * 2**40)
-    assert spark.conf.get("spark.sql.shuffle.partitions") == "40960"
-    configure(spark, shuffle_bytes=1)
-    assert spark.conf.get("spark.sql.shuffle.partitions") == "40960"
+def test_shuffles_start_with_partitions_for_all_inputs(spark, settings, tmp_path):
+    settings(**{INITIAL_PARTITIONS.replace(".", "__"): "1"}, spark__sql__shuffle__partitions="8")
+    path = str(tmp_path / "t")
+    spark.range(1000).write.parquet(path)
+    df = spark.read.parquet(path)
+    size = input_bytes(df)
+    assert 0 < size < 100_000 and input_bytes(df.union(df)) == 2 * size
+    size_shuffles(df.groupBy("id").count())
+    assert spark.conf.get(INITIAL_PARTITIONS) == "8"
+    large = spark.range(50 * PARTITION_BYTES // 8)
+    size_shuffles(large.union(large))
+    assert spark.conf.get(INITIAL_PARTITIONS) == "100"
 
 
 def test_flags_read_each_scan_narrow(spark, like_a_cluster):
@@ -240,7 +357,8 @@ def test_mst_bounds_reach_the_scan(spark):
     df = spark.read.parquet(f"{FOLDER}/events.parquet").select(
         F.col("ts").alias("event_utc_ts"), F.lit(2024).alias("year"), F.lit(1).alias("month")
     )
-    plan = planned(in_mst_range(df, Bounds("2024-01-08", "2024-01-22")))
+    bounds = Bounds("2024-01-08", "2024-01-22")
+    plan = planned(in_mst_range(df, bounds, from_year_month(bounds.lo)))
     assert "GreaterThanOrEqual(ts,2024-01-08T07:00)" in plan
     assert "LessThanOrEqual(ts,2024-01-22T07:00)" in plan
 
@@ -258,7 +376,8 @@ def test_partitions_are_pruned(spark, tmp_path):
         .parquet(path)
     )
     df = spark.read.schema("event_utc_ts timestamp_ntz, year string, month string").parquet(path)
-    cut = in_mst_range(df, Bounds("2023-12-31", "2024-01-01"))
+    bounds = Bounds("2023-12-31", "2024-01-01")
+    cut = in_mst_range(df, bounds, from_year_month(bounds.lo))
     assert cut.count() == 2
     plan = planned(cut)
     assert "PartitionFilters: []" not in plan and "year" in plan.split("PartitionFilters")[1]
@@ -272,6 +391,8 @@ def test_latest_build_prunes_partitions(spark, tmp_path):
         "build_ts"
     ).parquet(path)
     df = latest_build(spark.read.parquet(path))
+    # The newest build is a literal: no file is read to find it.
+    assert "Subquery" not in planned(df) and count("FileScan", planned(df)) == 1
     assert sorted(row.id for row in df.collect()) == [1, 3, 5, 7, 9]
     assert "build_ts" in planned(df).split("PartitionFilters")[1]
 
