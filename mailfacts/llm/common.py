@@ -9,8 +9,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
-from mailfacts.operators.sizing import broadcast_if_small
 from mailfacts.session import scratch_dir
 
 # The two kinds of words: runs without ASCII white space, and runs of letters and digits after
@@ -49,10 +49,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def measured_bytes(df: DataFrame) -> int:
+    """Size of the rows of ``df`` (texts by their length, all else eight bytes), by one aggregate."""
+    width = F.lit(0)
+    for field in df.schema:
+        long = isinstance(field.dataType, StringType | BinaryType)
+        width = width + 8 + (F.coalesce(F.octet_length(field.name), F.lit(0)) if long else 0)
+    return df.agg(F.sum(width.cast("long"))).first()[0] or 0
+
+
 def small_side(df: DataFrame) -> DataFrame:
     """A stored table, marked for broadcast if it measures at most ``BROADCAST_BYTES``. Beyond
     that Spark joins by shuffling, and splits hot keys."""
-    return broadcast_if_small(df, BROADCAST_BYTES)
+    return F.broadcast(df) if measured_bytes(df) <= BROADCAST_BYTES else df
 
 
 def fold(column: str, folds: int) -> Column:
