@@ -68,7 +68,10 @@ def with_statistics(docs: DataFrame, *keep: str) -> DataFrame:
         F.regexp_extract_all(text_or_empty(), F.lit(SPACED_WORD), F.lit(0)).alias("w"),
         F.split(text_or_empty(), "\n").alias("l"),
     )
-    return prepared.select(*keep, *(c.alias(k) for k, c in statistics(F.col("t")).items()))
+    # As the one row of an inline table: a filter on the score, which names each statistic many
+    # times, then stays above, where they are values, and is not merged with what computes them.
+    values = F.struct(*(c.alias(k) for k, c in statistics(F.col("t")).items()))
+    return prepared.select(*keep, F.inline(F.array(values)))
 
 
 @dataclass(frozen=True)
