@@ -247,3 +247,13 @@ def test_pages_rows(spark):
     assert len(got) == 5 and all(r.n_chars == len(r.text) for r in got)
     assert {(r.page_id, r.text) for r in got if r.page_id != 3 and r.page_id != 1} == {(2, ""), (None, "")}
     assert extraction.extract(pages.limit(0), extraction.fit(pages.limit(0))).count() == 0
+
+
+def test_small_sides_are_measured(spark, monkeypatch):
+    from mailfacts.llm import common
+
+    df = spark.createDataFrame([("aé", 1), (None, 2)], "s string, n long")
+    assert common.measured_bytes(df) == 4 * 8 + 3 and common.measured_bytes(df.where("false")) == 0
+    assert "ResolvedHint" in common.small_side(df)._jdf.queryExecution().analyzed().toString()
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 34)
+    assert "ResolvedHint" not in common.small_side(df)._jdf.queryExecution().analyzed().toString()
