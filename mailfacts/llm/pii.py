@@ -117,8 +117,19 @@ _SPELLED = re.compile(
 )
 _SPELLED_PART = re.compile(rf"{_NUMBER}|plus[\x20-]+|[0-9]|[\x20,-]", re.I)
 _DIGIT_HINTS = frozenset(w.encode() for w in DIGIT_WORDS if w != "oh")
-_BRACKETS = "([{<"
-_BRACKETED = re.compile(r"\x20?[\(\[{<]\x20?(at|dot|@|\.)\x20?[\)\]}>]\x20?", re.I)
+_BRACKETS = "([{<-_*"
+_BRACKETED = re.compile(
+    r"\x20?[\(\[{<]\x20?(?P<a>at|dot|@|\.)\x20?[\)\]}>]\x20?|\x20?[-_*]{1,2}(?P<b>at|dot)[-_*]{1,2}\x20?", re.I
+)
+# Between digits the word alone is a dot.
+_DOT_BETWEEN_DIGITS = re.compile(r"(?<=[0-9])\x20dot\x20(?=[0-9])", re.I)
+# Long numbers in which letters stand for the digits they look like.
+_LETTERED = re.compile(
+    r"(?<![A-Za-z0-9])\+?[0-9OolI](?:[\x20().-]{0,2}[0-9OolI]){7,}(?![A-Za-z0-9])"
+)
+_LETTER_BY_DIGIT = re.compile(r"[0-9][OolI]|[OolI][0-9]")
+_LETTER_DIGITS = {"O": "0", "o": "0", "l": "1", "I": "1"}
+_LEAST_DIGITS = 6
 # Bare words only inside a whole address: name at host dot suffix.
 _BARE = re.compile(
     r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]+(?:(?:\.|\x20dot\x20)[A-Za-z0-9_%+-]+)*"
@@ -170,11 +181,13 @@ def normalise(text: str) -> Normalised | None:
         out.rewrite([(m.start(), m.end(), CHARACTERS[m[0]]) for m in _ODD.finditer(text)])
     plain = out.text if out else text
     present = frozenset(plain_words(plain))
-    signs = b"at" in present or "@" in plain or b"dot" in present
+    signs = b"at" in present or "@" in plain or b"dot" in present or ".]" in plain or ".)" in plain
     bracketed = signs and any(b in plain for b in _BRACKETS) and _BRACKETED.search(plain)
     if b"dot" in present or bracketed:
         out = out or Normalised(text)
-        out.rewrite([(m.start(), m.end(), _SIGN[m[1].lower()]) for m in _BRACKETED.finditer(out.text)])
+        signs_at = [(m.start(), m.end(), _SIGN[(m["a"] or m["b"]).lower()]) for m in _BRACKETED.finditer(out.text)]
+        out.rewrite(signs_at)
+        out.rewrite([(m.start(), m.end(), ".") for m in _DOT_BETWEEN_DIGITS.finditer(out.text)])
         pieces = []
         for m in _BARE.finditer(out.text):
             if " dot " in m[0].lower():
@@ -192,6 +205,17 @@ def normalise(text: str) -> Normalised | None:
                 sign = "+" if word[0] == "p" else DIGIT_WORDS.get(word, word if word.isdigit() else "")
                 pieces.append((p.start(), p.end(), sign))
         out.rewrite(pieces)
+    if _LETTER_BY_DIGIT.search(out.text if out else text):
+        out = out or Normalised(text)
+        pieces = []
+        for m in _LETTERED.finditer(out.text):
+            if len(_digits(m[0])) >= _LEAST_DIGITS:
+                pieces += [
+                    (i, i + 1, _LETTER_DIGITS[out.text[i]])
+                    for i in range(m.start(), m.end())
+                    if out.text[i] in _LETTER_DIGITS
+                ]
+        out.rewrite(pieces)
     return None if out is None or out.text == text else out
 
 

@@ -122,6 +122,12 @@ def test_plain_spans(text):
         ("call plus one two three four five six seven eight nine zero ok", "phone", "plus one two three four five six seven eight nine zero"),
         ("ip １９２.１６８.０.１ here", "ip", "１９２.１６８.０.１"),
         ("card ４１１１ 1111 1111 1111 ok", "card", "４１１１ 1111 1111 1111"),
+        ("card 4l11 llll 1111 1111 ok", "card", "4l11 llll 1111 1111"),
+        ("dial +1 (O17) 555-77l3 now", "phone", "+1 (O17) 555-77l3"),
+        ("ip 10[.]0[.]0[.]1 up", "ip", "10[.]0[.]0[.]1"),
+        ("ip 10 dot 0 dot 0 dot 1 up", "ip", "10 dot 0 dot 0 dot 1"),
+        ("ask bob-at-site-dot-org", "email", "bob-at-site-dot-org"),
+        ("ask bob＠site．org", "email", "bob＠site．org"),
     ],
 )
 def test_disguises_are_found_at_their_place(text, kind, piece):
@@ -131,7 +137,7 @@ def test_disguises_are_found_at_their_place(text, kind, piece):
     assert piece not in pii.mask(text) and f"[{kind}]" in pii.mask(text)
 
 
-@pytest.mark.parametrize("text", ["look at site.org", "one of two", "at the dot", "meet me at noon (at last)", "one two three times", ""])
+@pytest.mark.parametrize("text", ["look at site.org", "one of two", "at the dot", "meet me at noon (at last)", "one two three times", "look-at-it", "Oo 10l0 lI", "see (1.) and [2.]", ""])
 def test_ordinary_words_are_no_disguise(text):
     assert pii.added_spans(text, pii.plain_spans(text)) == []
 
