@@ -1 +1,11 @@
-"""Operators of a training-data pipeline. Nothing else in the library imports this subpackage."""
+"""Operators of a training-data pipeline. Nothing else in the library imports this subpackage.
+
+Functions of this subpackage travel to Python workers by value, so that executors need not have
+the package installed.
+"""
+
+import sys
+
+from pyspark import cloudpickle
+
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
