@@ -181,8 +181,9 @@ def fit(x: np.ndarray, y: np.ndarray, penalty: float = 5e-4) -> RuleEnsemble:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, training: Column, size: int) -> DataFrame:
-    """(doc_id, text, y) of at most ``size`` labelled training rows, chosen by a hash of the id.
-    The chosen ids are broadcast; ``size`` bounds them. A doubly labelled id takes the larger."""
+    """(doc_id, text, y) of the documents of at most ``size`` labelled training ids, chosen by a
+    hash of the id. The chosen ids are broadcast; ``size`` bounds them. A doubly labelled id takes
+    the larger label. Whoever collects must bound the rows too, as ids may repeat."""
     chosen = (
         labels.where(training & F.col(label).isNotNull() & F.col("doc_id").isNotNull())
         .groupBy("doc_id")
@@ -190,13 +191,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, training: Co
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(size)
     )
-    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").limit(size)
+    return docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
 
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> RuleEnsemble:
     """Fit on at most ``sample`` labelled rows outside the held-out fold."""
     rows = labelled_sample(docs, labels, "quality", fold("doc_id", FOLDS) != HELD_OUT, sample)
-    table = with_statistics(rows, "doc_id", "y").orderBy("doc_id").toPandas()
+    # Bounded after the statistics: these are computed where the texts are, numbers travel.
+    table = with_statistics(rows, "doc_id", "y").limit(sample).toPandas().sort_values("doc_id")
     return fit(table[list(NAMES)].to_numpy(float), table["y"].to_numpy(float))
 
 

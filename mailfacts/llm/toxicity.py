@@ -270,7 +270,8 @@ def fit(docs: DataFrame, labels: DataFrame, toxic: int = TOXIC_SAMPLE, clean: in
     parts = []
     for value, size in ((1, toxic), (0, clean)):
         of = labels.where(F.col("toxic") == value)
-        rows = labelled_sample(docs, of, "toxic", training, size).orderBy("doc_id", "text").toPandas()
+        rows = labelled_sample(docs, of, "toxic", training, size).limit(size).toPandas()
+        rows = rows.sort_values(["doc_id", "text"])
         parts.append((rows["text"].fillna("").tolist(), of.where(training).count()))
     if not parts[0][0] or not parts[1][0]:
         return None
