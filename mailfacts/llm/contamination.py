@@ -163,9 +163,11 @@ def _find(docs: DataFrame, benchmark: DataFrame, window: int) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` in which no window of an item occurs; all columns as they are."""
-    hit = _find(docs, benchmark, window).where("contaminated").select(F.col("doc_id").alias("hit_id"), F.col("text_hash").alias("hit_hash")).distinct()
-    same = docs["doc_id"].eqNullSafe(F.col("hit_id")) & (F.xxhash64(text_or_empty()) == F.col("hit_hash"))
-    return docs.join(stored(hit, "op9-hit-texts"), same, "left_anti")
+    hit = _find(docs, benchmark, window).where("contaminated").select("doc_id", "text_hash").distinct()
+    hit = stored(hit, "op9-hit-texts")
+    text = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    same = docs["doc_id"].eqNullSafe(hit["doc_id"]) & (text == hit["text_hash"])
+    return docs.join(hit, same, "left_anti")
 
 
 _SQL_WORDS = f"regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{PLAIN_WORD}')"

@@ -358,5 +358,5 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stand for their group; all columns as they are."""
-    gone = near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(stored(gone, "op5-dropped"), docs["doc_id"] == F.col("gone"), "left_anti")
+    gone = stored(near_duplicates(docs).where("not kept").select("doc_id").distinct(), "op5-dropped")
+    return docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")

@@ -42,7 +42,7 @@ def edge(documents):
 @pytest.fixture
 def clashing(edge):
     """The same rows with extra columns named like those the operators work with."""
-    names = "id h w t l s n key size text_hash score kept n_words rep component bucket held_out label y ids row".split()
+    names = "id h w t l s n key size text_hash gone hit_id score kept n_words rep component bucket held_out label y ids row".split()
     return edge.select("*", *(F.lit(f"clash {n}").alias(n) for n in names))
 
 
