@@ -18,7 +18,9 @@ SETTINGS = {
     # Split a hot join key even where a later distinct reuses the join's partitioning.
     # Costs one exchange, and only when a hot key has been measured.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # Hash instead of sort where every partition of one side has been measured to fit.
+    # Hash instead of sort where every partition of one side has been measured to fit. Measured is
+    # the compressed shuffle; the hash table, which cannot spill, takes several times as much of
+    # a task's memory: allow 512 MB for each task.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     # A long tracking or send table meets a short run through a Bloom filter of the run's keys,
     # which Spark adds by itself where the long side is large enough to be worth it.

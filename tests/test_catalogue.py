@@ -1,10 +1,16 @@
 """Every query against its SQL on the smallest test tables."""
 
+from datetime import date, timedelta
+
 import check
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from mailfacts import catalogue
+from mailfacts.catalogue.parameters import WINDOW
+from mailfacts.functions import Bounds
+from mailfacts.plans.responses import ResponseDates
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -51,3 +57,47 @@ def test_one_pass_and_two_branch_split_agree(spark):
     one, other = (queries[name](spark, FOLDER) for name in ("channel_split", "channel_split_union"))
     assert one.exceptAll(other.select(*one.columns)).count() == 0
     assert one.count() == other.count()
+
+
+# --- Every bound of a run counts --------------------------------------------------------------
+
+WINDOW_FOLDER = "/root/testdata/sf0.01"
+
+
+def window_rows(spark, dates):
+    from mailfacts.catalogue.fixtures import Fixtures
+    from mailfacts.catalogue.queries import _ocp_sources
+    from mailfacts.plans.responses import ocp_responses
+
+    df = ocp_responses(*_ocp_sources(Fixtures(spark, WINDOW_FOLDER)), dates)
+    whole = F.sum(F.xxhash64(*df.columns).cast("decimal(30)"))
+    return tuple(df.agg(F.count("*"), whole).first())
+
+
+@pytest.fixture(scope="module")
+def window_result(spark):
+    return window_rows(spark, ResponseDates(**WINDOW))
+
+
+@pytest.mark.parametrize("name", list(WINDOW))
+def test_each_date_of_a_response_run_counts(spark, window_result, name):
+    """A day's move of any one of the six dates changes the responses."""
+    moved = (date.fromisoformat(WINDOW[name]) + timedelta(days=1)).isoformat()
+    assert window_rows(spark, ResponseDates(**WINDOW | {name: moved})) != window_result
+
+
+@pytest.mark.parametrize("number", range(6))
+def test_each_closed_or_open_end_counts(spark, window_result, monkeypatch, number):
+    """Turning any one of the ranges of a response run from closed to half-open or back changes
+    the responses. Numbered as they are built: history, stage, opens, queue, clicks, click queue."""
+    from mailfacts.plans import responses
+
+    built = []
+
+    def turned(lo, hi, closed=True):
+        built.append(lo)
+        return Bounds(lo, hi, closed != (len(built) - 1 == number))
+
+    monkeypatch.setattr(responses, "Bounds", turned)
+    assert window_rows(spark, ResponseDates(**WINDOW)) != window_result
+    assert len(built) == 6

@@ -4,6 +4,7 @@ from helpers import at, frame, rows
 
 from mailfacts import plans
 from mailfacts.functions import Bounds
+from mailfacts.operators.sfmc import log_in_range, sent_in_range
 from mailfacts.operators.events import EVENT_KINDS, conform_events
 from mailfacts.sources import schemas
 
@@ -181,3 +182,20 @@ def test_holdout_reads_one_snapshot_and_one_row_per_customer(spark):
         ("1", "s1", "2024-01-01"): 1,
         ("2", None, "2024-01-01"): 1,
     }
+
+
+def test_events_stored_under_their_mst_month_are_kept(spark):
+    """19:00 on 31 January in MST is 1 February in UTC; either month may be the stored one."""
+    stored = [(1, 1, 1, 1, at("2024-02-01 02:00:00"), "2024", m, "Open", True) for m in ("01", "02")]
+    window = Bounds("2024-01-31 18:00:00", "2024-02-10")
+    df = conform_events(event_tables(spark, open=stored), window, "2024-02-10")
+    assert rows(df, "email_response_mst_ts") == {(at("2024-01-31 19:00:00"),): 2}
+
+
+def test_sends_and_log_are_kept_under_any_month_of_their_year(spark):
+    schema = f"{KEYS}, event_utc_ts timestamp_ntz, year string, month string"
+    months = ("01", "02", "03")
+    sent = frame(spark, schema, *((i, 1, 1, 1, at("2024-02-05"), "2024", m) for i, m in enumerate(months)))
+    bounds = Bounds("2024-02-01", "2024-02-10")
+    assert sent_in_range(sent, bounds).count() == log_in_range(sent, bounds).count() == 3
+    assert sent_in_range(sent, Bounds("2024-02-06", "2024-02-10")).count() == 0
