@@ -44,6 +44,11 @@ def _template_id(order_key: str) -> Column:
     return (F.col(order_key) % 200).cast("int")
 
 
+def _noted_late() -> Column:
+    """None to five days."""
+    return F.make_dt_interval(days=F.greatest(F.col("o_orderkey") % 10 - 4, F.lit(0)).cast("int"))
+
+
 def _label_id(order_key: str) -> Column:
     return (F.col(order_key) % 5).cast("int")
 
@@ -170,12 +175,12 @@ class Fixtures:
         )
 
     def queue_success(self) -> DataFrame:
-        """Cheap orders failed."""
+        """Cheap orders failed; half of the others were noted up to five days later."""
         return self._queued().where(F.col("o_totalprice") >= 20000).select(
             F.col("queue_id").alias("emailqueueid"),
             (F.col("queue_id") + 1000000000).alias("emailqueuesuccessid"),
             _template_id("o_orderkey").alias("templateid"),
-            F.col("queued").alias("emailqueuecreatedate"),
+            (F.col("queued") + _noted_late()).alias("emailqueuecreatedate"),
         )
 
     def _tracking_code(self) -> Column:
@@ -190,7 +195,7 @@ class Fixtures:
                 (F.col("l_orderkey") + 1000000000).alias("emailqueuesuccessid"),
                 self._tracking_code().alias("trackingcode"),
                 F.col("l_suppkey").alias("contentblockkeyid"),
-                F.col("o_orderdate").alias("emailqueuecreatedate"),
+                (F.col("o_orderdate") + _noted_late()).alias("emailqueuecreatedate"),
             )
             .distinct()
         )

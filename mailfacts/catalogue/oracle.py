@@ -70,6 +70,7 @@ SOURCE = (
     " ELSE 7 END"
 )
 TRACKING = "concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
+NOTED_LATE = "to_days(CAST(greatest(o_orderkey % 10 - 4, 0) AS INTEGER))"
 REDPOINT = "coalesce(redpointcontactid, 0) <> 0"
 
 
@@ -137,14 +138,15 @@ def _definitions(d: dict[str, str], e: tuple[str, str, str]) -> dict[str, str]:
             CAST(o_orderkey % 5 AS INTEGER) AS privatelabelid, {SHOPPER} AS shopperid,
             o_orderstatus AS sourcecode
         FROM queued JOIN customer ON o_custkey = c_custkey""",
-    "src_queue_success": """
+    "src_queue_success": f"""
         SELECT queue_id AS emailqueueid, queue_id + 1000000000 AS emailqueuesuccessid,
-            CAST(o_orderkey % 200 AS INTEGER) AS templateid, queued_at AS emailqueuecreatedate
+            CAST(o_orderkey % 200 AS INTEGER) AS templateid,
+            queued_at + {NOTED_LATE} AS emailqueuecreatedate
         FROM queued WHERE o_totalprice >= 20000""",
     "src_tracking": f"""
         SELECT DISTINCT l_orderkey + 1000000000 AS emailqueuesuccessid,
             {TRACKING} AS trackingcode, CAST(l_suppkey AS VARCHAR) AS content_block_key_id,
-            o_orderdate AS emailqueuecreatedate
+            o_orderdate + {NOTED_LATE} AS emailqueuecreatedate
         FROM lines_r""",
     "src_clicks": f"""
         SELECT {TRACKING} AS trackingcode, 'k' || {TRACKING} AS content_block_id,
