@@ -640,9 +640,6 @@ STATEMENTS = {
                     ELSE '{'-'.join(SNAPSHOT)}' END AS snapshot
             FROM orders) LEFT JOIN build ON customer_id = customerid
         WHERE snapshot = '{'-'.join(SNAPSHOT)}'""",
-    "clean_sends_sink": "SELECT * FROM clean_sends",
-    "clean_opens_sink": "SELECT * FROM clean_opens",
-    "queue_stage_sink": "SELECT * FROM queue_stage",
     "insert_overwrite_partitions": """
         SELECT CAST(o_orderkey AS VARCHAR) AS email_send_id, o_orderdate AS email_send_mst_ts,
             CASE WHEN year(o_orderdate) <= 1997 THEN 'second' ELSE 'first' END AS template_name,
@@ -652,10 +649,25 @@ STATEMENTS = {
 }
 
 
-# What a sink query reads back is what it was given.
-for _name in ("send_fact_ocp", "dim_campaign", "dim_template_latest", "dim_holdout"):
-    STATEMENTS[f"{_name}_sink"] = STATEMENTS[_name]
-STATEMENTS["response_fact_ocp_sink"] = STATEMENTS["flagged_response_fact_ocp"]
+# What a sink query reads back is what it was given, with years for days.
+_DAY_OF = {
+    "clean_sends": "sent_mst_date",
+    "clean_opens": "open_mst_date",
+    "queue_stage": "email_queue_create_date",
+    "send_fact_ocp": "email_send_mst_date",
+    "dim_campaign": "etl_build_mst_date",
+    "dim_template_latest": "etl_build_mst_date",
+    "dim_holdout": "snap_date",
+}
+for _name, _day_column in _DAY_OF.items():
+    STATEMENTS[f"{_name}_sink"] = (
+        f"SELECT * REPLACE (substr({_day_column}, 1, 4) AS {_day_column})"
+        f" FROM ({STATEMENTS[_name]})"
+    )
+STATEMENTS["response_fact_ocp_sink"] = (
+    "SELECT * REPLACE (substr(email_response_mst_date, 1, 4) AS email_response_mst_date)"
+    f" FROM ({STATEMENTS['flagged_response_fact_ocp']})"
+)
 
 WHOLE_EVENTS = (EVENTS_FIRST_DAY, RESPONSES_END_DAY, EVENTS_END_DAY)
 # Runs whose ranges cut.
