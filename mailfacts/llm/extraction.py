@@ -12,7 +12,7 @@ Blocks outside both stay unlabelled and are summed over. Weights start from, and
 fixed prior values, so features that the sample does not show keep a sensible meaning.
 
 Defined results: null, empty and text-free pages give an empty text. Broken markup is closed at
-the end of the page or of an enclosing element. Equal rows give equal results, one row each. Extra
+the end of the page or of an enclosing element, an open head where its page's body begins. Equal rows give equal results, one row each. Extra
 columns are ignored.
 """
 
@@ -34,6 +34,8 @@ EPOCHS, RATE, PULL = 30, 0.1, 0.02
 # Kinds of elements, and words of class, id and role with their usual meaning.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 DROPPED = frozenset("script style noscript template head title svg math iframe object select textarea button canvas video audio".split())
+# What can stand in a head; anything else, text included, ends one that is still open.
+HEAD = frozenset("html head base link meta title script style noscript template".split())
 RAW = frozenset("script style textarea title noscript iframe".split())
 BLOCKS = frozenset(
     "html body article main section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th "
@@ -102,7 +104,13 @@ def parse(source: str) -> Page:
                 blocks[stack[-1][1]].text.append(text)
             piece.clear()
 
+    def end_head() -> None:
+        if stack[-1][0] == "head":
+            close(len(stack) - 1)
+
     def say(text: str) -> None:
+        if dropped and text.strip(" \t\n\f\r"):
+            end_head()
         if text and not dropped:
             piece.append(text)
             if links:
@@ -137,6 +145,8 @@ def parse(source: str) -> Page:
             if i is not None:
                 close(i)
             continue
+        if tag not in HEAD:
+            end_head()
         if tag in VOID or tag == "html":
             say(" " if tag in ("br", "hr", "img") else "")
             continue

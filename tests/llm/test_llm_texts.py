@@ -232,6 +232,26 @@ def test_broken_pages(source):
     assert isinstance(extraction.main_text(source, extraction.Potentials({}, {})), str)
 
 
+@pytest.mark.parametrize(
+    "begin",
+    [
+        "<head><title>T</title>", "<head><title>T</title><body>", "<head><meta a=b><script>x</script><link c=d>", "<HEAD>\n<BODY>",
+        "<head><template><div>no</div></template>",
+    ],
+)
+def test_a_head_need_not_be_closed(begin):
+    page = f"<html>{begin}{PAGE.split('<body>')[1]}"
+    assert [t for _, t in extraction.parse(page).runs] == [t for _, t in extraction.parse(PAGE).runs]
+    expected = extraction.main_text(PAGE, extraction.train([PAGE]))
+    assert expected and extraction.main_text(page, extraction.train([page])) == expected
+
+
+def test_text_and_inline_elements_end_a_head():
+    for body in ("Plain words", "<b>Plain</b> words", "<br>Plain words"):
+        assert [t for _, t in extraction.parse(f"<head><title>T</title> {body}").runs] == ["Plain words"]
+    assert extraction.parse("<head><title>T</title> <style>x</style> </head>").runs == []
+
+
 def test_marginals_equal_enumeration():
     rng = np.random.default_rng(0)
     parents = [-1, 0, 0, 1, 1, 4]
