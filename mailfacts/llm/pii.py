@@ -117,7 +117,7 @@ _SPELLED = re.compile(
 )
 _SPELLED_PART = re.compile(rf"{_NUMBER}|plus[\x20-]+|[0-9]|[\x20,-]", re.I)
 _DIGIT_HINTS = frozenset(w.encode() for w in DIGIT_WORDS if w != "oh")
-_BRACKETS = "([{<-_*"
+_BRACKETS = "([{<"
 _BRACKETED = re.compile(
     r"\x20?[\(\[{<]\x20?(?P<a>at|dot|@|\.)\x20?[\)\]}>]\x20?|\x20?[-_*]{1,2}(?P<b>at|dot)[-_*]{1,2}\x20?", re.I
 )
@@ -136,6 +136,13 @@ _BARE = re.compile(
     r"(?:\x20at\x20|@)[A-Za-z0-9-]+(?:(?:\.|\x20dot\x20)[A-Za-z0-9-]+)+",
     re.I,
 )
+# With ordinary dots only names that are no plain word count: those with a letter and a dot, digit or
+# underscore. The suffix begins with a letter, so times and prices are none.
+_NAMED = re.compile(
+    r"(?<![A-Za-z0-9._%+-])(?=[A-Za-z%+-]*[0-9._])(?=[0-9._%+-]*[A-Za-z])[A-Za-z0-9_%+-]+(?:\.[A-Za-z0-9_%+-]+)*"
+    r"(?P<at>\x20at\x20)(?:[A-Za-z0-9-]+\.)+[A-Za-z]",
+    re.I,
+)
 _BARE_PART = re.compile(r"\x20(at|dot)\x20", re.I)
 _SIGN = {"at": "@", "dot": ".", "@": "@", ".": "."}
 
@@ -181,9 +188,10 @@ def normalise(text: str) -> Normalised | None:
         out.rewrite([(m.start(), m.end(), CHARACTERS[m[0]]) for m in _ODD.finditer(text)])
     plain = out.text if out else text
     present = frozenset(plain_words(plain))
-    signs = b"at" in present or "@" in plain or b"dot" in present or ".]" in plain or ".)" in plain
-    bracketed = signs and any(b in plain for b in _BRACKETS) and _BRACKETED.search(plain)
-    if b"dot" in present or bracketed:
+    at_or_dot = b"at" in present or b"dot" in present
+    bracketed = (at_or_dot or any(b in plain for b in _BRACKETS)) and _BRACKETED.search(plain)
+    named = b"at" in present and _NAMED.search(plain)
+    if b"dot" in present or bracketed or named:
         out = out or Normalised(text)
         signs_at = [(m.start(), m.end(), _SIGN[(m["a"] or m["b"]).lower()]) for m in _BRACKETED.finditer(out.text)]
         out.rewrite(signs_at)
@@ -194,6 +202,7 @@ def normalise(text: str) -> Normalised | None:
                 for p in _BARE_PART.finditer(out.text, m.start(), m.end()):
                     pieces.append((p.start(), p.end(), _SIGN[p[1].lower()]))
         out.rewrite(pieces)
+        out.rewrite([(*m.span("at"), "@") for m in _NAMED.finditer(out.text)])
     if not _DIGIT_HINTS.isdisjoint(present):
         out = out or Normalised(text)
         pieces = []

@@ -142,6 +142,26 @@ def test_ordinary_words_are_no_disguise(text):
     assert pii.added_spans(text, pii.plain_spans(text)) == []
 
 
+@pytest.mark.parametrize("dot", [a + b + "." + c + d for a, d in ("()", "[]", "{}", "<>") for b in ("", " ") for c in ("", " ")])
+def test_every_bracketed_dot_is_found_alone(dot):
+    """No sign of another disguise stands in the text."""
+    piece = dot.join(("10", "0", "0", "1"))
+    assert pii._joined(pii.added_spans(f"ip {piece} up", [])) == f"ip:3:{3 + len(piece)}"
+    assert pii.mask(f"ip {piece} up") == "ip [ip] up"
+
+
+@pytest.mark.parametrize("name", ["jane.doe", "jane_doe", "jane2", "2jane", "J.Doe+x", "Jane.van.Doe"])
+def test_names_that_are_no_words_need_no_spelled_dot(name):
+    piece = f"{name} at example.com"
+    for text in (f"write {piece}", f"look at {piece}.", f"({piece})", f"ask {name} At mail.example.com"):
+        assert pii.mask(text).count("[email]") == 1 and name not in pii.mask(text)
+
+
+@pytest.mark.parametrize("text", ["open in 2020 at site.org", "part 3.2 at site.org", "jane_doe at 10.30", "jane at site.org", "the U.S. at un.org", "room2 at noon.", "end. at site.org"])
+def test_numbers_and_words_at_a_host_are_no_disguise(text):
+    assert pii.added_spans(text, pii.plain_spans(text)) == []
+
+
 def test_personal_data_rows(documents, edge):
     rows = [tuple(r) for r in edge.select("doc_id", "text").collect()] + [(100 + i, t) for i, t in enumerate(PII_TEXTS)]
     for r in pii.find_personal_data(documents(rows)).collect():
