@@ -580,37 +580,49 @@ def _by_year(df: DataFrame, day: str) -> DataFrame:
     return df.withColumn(day, F.substring(day, 1, 4))
 
 
-def _sink_query(name: str, build: Callable[[Fixtures], DataFrame], target: Target) -> None:
-    """``name_sink`` writes the table twice, the second time over the first, and reads it back.
-    The test data spread few rows over thousands of days, so years stand for the days here.
+def _stored_twice(fx: Fixtures, name: str) -> DataFrame:
+    """The table ``name``, written by its days, the second time over the first, and read back."""
+    build, target = _TARGETS[name]
+    path = _scratch(fx, f"{name}_sink")
+    for _ in range(2):
+        replace_partitions(build(fx), path, *target)
+    return read_table(fx.spark, path, target[0])
+
+
+def _sink_query(name: str, day: str) -> None:
+    """``name_sink`` is the stored table with years for days, as its SQL has them.
 
     The table is written while the query is built and stays in the scratch folder."""
 
     @_query(f"{name}_sink")
     def run(fx: Fixtures) -> DataFrame:
-        path = _scratch(fx, f"{name}_sink")
-        for _ in range(2):
-            replace_partitions(_by_year(build(fx), target[1][0]), path, *target)
-        return read_table(fx.spark, path, target[0])
+        return _by_year(_stored_twice(fx, name), day)
 
 
-for _name, (_build, _target) in _TARGETS.items():
-    _sink_query(_name, _build, _target)
+for _name, (_, _target) in _TARGETS.items():
+    _sink_query(_name, _target[1][0])
 
 
-@_query("response_fact_ocp_sink")
-def response_fact_ocp_sink(fx: Fixtures) -> DataFrame:
-    """The flagged response fact, written over the unflagged one by way of a staging table."""
+def _stored_flagged(fx: Fixtures) -> DataFrame:
+    """The response fact through its table and the flag job, which rewrites that table from
+    itself by way of a staging table."""
     schema, partitions = schemas.RESPONSE_FACT, schemas.RESPONSE_FACT_PARTITIONS
     path, staging = (_scratch(fx, f"response_fact_ocp_{n}") for n in ("sink", "staging"))
-    fact = _response_fact_ocp(fx)
-    replace_partitions(_by_year(fact, partitions[0]), path, schema, partitions)
-    flagged = plans.flag_first_response(fact, FIRST_DAY, FIRST_DAY, END_DAY)
-    replace_partitions(_by_year(flagged, partitions[0]), staging, schema, partitions)
+    replace_partitions(_response_fact_ocp(fx), path, schema, partitions)
+    flagged = plans.flag_first_response(
+        read_table(fx.spark, path, schema), FIRST_DAY, FIRST_DAY, END_DAY
+    )
+    replace_partitions(flagged, staging, schema, partitions)
     replace_partitions(read_table(fx.spark, staging, schema), path, schema, partitions)
     return read_table(fx.spark, path, schema)
 
 
+@_query("response_fact_ocp_sink")
+def response_fact_ocp_sink(fx: Fixtures) -> DataFrame:
+    """The stored flagged response fact with years for days, as its SQL has them."""
+    return _by_year(_stored_flagged(fx), schemas.RESPONSE_FACT_PARTITIONS[0])
+
+
 
 @_query("insert_overwrite_partitions")
 def insert_overwrite_partitions(fx: Fixtures) -> DataFrame:

@@ -1,5 +1,7 @@
 """Replacing partitions of stored tables."""
 
+from importlib import import_module
+
 import pytest
 from helpers import at, frame, rows
 from pyspark.sql import functions as F
@@ -155,3 +157,38 @@ def test_flag_job_keeps_sfmc_partitions(spark, tmp_path):
 
 def test_scratch_folder_is_the_one_the_session_names(spark):
     assert scratch_dir(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+@pytest.mark.parametrize("name", [
+    "clean_sends", "clean_opens", "queue_stage", "send_fact_ocp", "response_fact_ocp",
+    "dim_campaign", "dim_template_latest", "dim_holdout",
+])
+def test_sink_queries_store_whole_days(spark, monkeypatch, name):
+    """What each write of a sink query is given; nothing is written. The flag job reads the stored
+    response fact before the staging table is written."""
+    queries = import_module("mailfacts.catalogue.queries")
+    tables, written, steps = {}, [], []
+
+    def write(df, path, schema, partitions):
+        tables[path] = df
+        steps.append(("write", path))
+        written.append(df.select(F.length(partitions[0]).alias("n")))
+
+    def read(spark, path, schema):
+        steps.append(("read", path))
+        return tables[path]
+
+    monkeypatch.setattr(queries, "replace_partitions", write)
+    monkeypatch.setattr(queries, "read_table", read)
+    queries.queries()[f"{name}_sink"](spark, "/root/testdata/sf0.001")
+    for lengths in written:
+        assert {r.n for r in lengths.distinct().collect()} == {10}
+    if name == "response_fact_ocp":
+        (_, sink), (_, staging) = steps[0], steps[2]
+        assert steps == [
+            ("write", sink), ("read", sink), ("write", staging),
+            ("read", staging), ("write", sink), ("read", sink),
+        ]
+    else:
+        assert [kind for kind, _ in steps] == ["write", "write", "read"]
+        assert len(set(tables)) == 1
