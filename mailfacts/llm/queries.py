@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from mailfacts.llm import contamination, extraction, hmm, mixing, neardup, quality, toxicity
+from mailfacts.llm import bpe, contamination, extraction, hmm, mixing, neardup, quality, toxicity
 from mailfacts.llm.common import table
 from mailfacts.llm.license import scan_licenses
 from mailfacts.llm.pii import find_personal_data
@@ -60,10 +62,23 @@ def op10_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("ngram_shares", "line_share")
 
 
+def op13_byte_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    vocabulary = bpe.Vocabulary.read(path, public_tokenizers.PATTERN)
+    ids = F.col("ids")
+    return bpe.encode(table(spark, sf_dir, "documents"), vocabulary).select(
+        "doc_id",
+        F.size(ids).cast("long").alias("n_tokens"),
+        F.sha2(bpe.packed(ids, vocabulary), 256).alias("ids_sha256"),
+        F.sha2(bpe.decode(ids, vocabulary), 256).alias("decoded_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     named = (
         op1_hidden_markov, op2_source_mix, op3_main_text, op4_toxicity, op5_near_duplicates,
         op6_personal_data, op7_license_templates, op8_quality_rules, op9_decontamination, op10_repetition,
+        op13_byte_pairs,
     )
     return {f.__name__: f for f in named}
 
