@@ -10,10 +10,12 @@
 3. First round: each class proposes the hub of the deepest region it is not alone in and the hub
    of its widest region, those that most trees name. Proposals are confirmed on full sets.
 4. Second round, for the regions that still hold several components: all members are compared
-   with the hub of the region's largest component, and by what they lack of the hub and add to it
-   it is decided which members of different components can be linked at all (``candidates``).
-   Those are confirmed on full sets. So every pair that shares a region is either in one
-   component already or confirmed or refuted, and no group is expanded into all its pairs.
+   with the hub of the region's largest component. What several of them add in common makes one of
+   them a hub for the others, as long as that joins components. By what members lack of the hub and
+   add to it, in bitmaps and then in full, it is decided which members of components still apart can
+   be linked at all (``candidates``). Those are confirmed on full sets. So every pair that shares a
+   region is either in one component already or confirmed or refuted, and no group is expanded into
+   all its pairs.
 
 A pair at the threshold shares no region with probability (1 - 0.75**4)**32, about 5e-6; one
 at 0.85 with 3e-11. Nothing is capped: hot regions and classes are rows of ordinary joins.
@@ -25,11 +27,11 @@ take no part: their component is null and they are kept. Extra columns are ignor
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mailfacts.llm.common import chunks, stored, text_or_empty
@@ -43,6 +45,10 @@ DEPTHS = (4, 8, 16)
 # Pairs below this share of equal MinHash values are not confirmed: more than five standard
 # deviations under the threshold.
 LEAST_ESTIMATE = 0.55
+# Length of the bitmaps of what a member lacks and adds, in words of 64 bits.
+MARK_WORDS = 4
+_LACK_MARKS = tuple(f"lacks_{i}" for i in range(MARK_WORDS))
+_ADD_MARKS = tuple(f"adds_{i}" for i in range(MARK_WORDS))
 
 _MULTIPLIERS = mix(np.arange(1, HASHES + 1, dtype=np.uint64)) | np.uint64(1)
 _ORDERS = np.array([np.roll(np.arange(HASHES), -t * DEPTHS[0]) for t in range(TREES)])
@@ -192,61 +198,150 @@ def unresolved(regions: DataFrame, found: DataFrame) -> DataFrame:
 
 def deltas(members: DataFrame, sets: DataFrame) -> DataFrame:
     """Members with ``n``, ``hub_n``, ``lacks`` (elements of the hub that the member has not), ``adds``
-    (those it has beyond) and the added elements."""
+    (those it has beyond), the added elements, and a bitmap of each of both kinds (``marks``)."""
+
+    def marks(elements: np.ndarray) -> np.ndarray:
+        words = np.zeros(MARK_WORDS, np.uint64)
+        bit = elements % np.uint64(64 * MARK_WORDS)
+        np.bitwise_or.at(words, (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
+        return words.view(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n, hub_n, lacks, added = [], [], [], []
+            n, hub_n, lacks, added, maps = [], [], [], [], []
             for x, h in zip(batch.column("s"), batch.column("s_hub"), strict=True):
                 x, h = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(h.as_py(), np.uint64)
                 known = h[np.minimum(np.searchsorted(h, x), len(h) - 1)] == x
                 n.append(len(x))
                 hub_n.append(len(h))
-                lacks.append(len(h) - int(known.sum()))
+                at = np.searchsorted(x, h)
+                lacked = h[x[np.minimum(at, len(x) - 1)] != h]
+                lacks.append(len(lacked))
                 added.append(x[~known].view(np.int64))
+                maps.append(np.concatenate([marks(lacked), marks(x[~known])]))
             yield pa.RecordBatch.from_arrays(
                 [
                     *(batch.column(c) for c in ("hub", "m", "c", "hub_c")),
                     *(pa.array(v, pa.int64()) for v in (n, hub_n, lacks, list(map(len, added)))),
                     pa.array(added, pa.list_(pa.int64())),
+                    *(pa.array(column) for column in np.array(maps, np.int64).reshape(-1, 2 * MARK_WORDS).T),
                 ],
-                names=["hub", "m", "c", "hub_c", "n", "hub_n", "lacks", "adds", "added"],
+                names=["hub", "m", "c", "hub_c", "n", "hub_n", "lacks", "adds", "added", *_LACK_MARKS, *_ADD_MARKS],
             )
 
     return (
         members.join(sets.toDF("m", "s"), "m")
         .join(sets.toDF("hub", "s_hub"), "hub")
         .select("hub", "m", "c", "hub_c", "s", "s_hub")
-        .mapInArrow(run, "hub long, m long, c long, hub_c long, n long, hub_n long, lacks long, adds long, added array<long>")
+        .mapInArrow(
+            run,
+            "hub long, m long, c long, hub_c long, n long, hub_n long, lacks long, adds long, added array<long>, "
+            + ", ".join(f"{name} long" for name in (*_LACK_MARKS, *_ADD_MARKS)),
+        )
+    )
+
+
+def recoloured(known: DataFrame, found: DataFrame) -> DataFrame:
+    """Compared members with the components of member and hub as they are now."""
+    rows = known.drop("c", "hub_c")
+    for node, name in (("m", "c"), ("hub", "hub_c")):
+        now = found.select(F.col("node").alias(node), F.col("component").alias(name))
+        rows = rows.join(now, node, "left").withColumn(name, F.coalesce(name, node))
+    cost = 4 * F.col("lacks") + 3 * F.col("adds")
+    return rows.withColumn("cost", cost).withColumn(
+        "apart", (F.col("c") != F.col("hub_c")) & (F.col("cost") > F.col("hub_n"))
+    )
+
+
+def passages(rows: DataFrame) -> DataFrame:
+    """(hub, e, weight, and the columns of its holders): what members of one hub add in common, as far as it
+    can link different components.
+
+    Elements that the same members add are one passage, named by its smallest element ``e``, with
+    their number as ``weight``: a passage of many words is one row of a member, not one for each of its
+    shingles. The members are told by their number and two exclusive ors of hashes of them.
+    """
+    held = rows.withColumn("e", F.explode("added")).drop("added")
+    holders = (
+        held.groupBy("hub", "e")
+        .agg(
+            F.count("*").alias("k"),
+            F.bit_xor(F.xxhash64("m")).alias("f1"),
+            F.bit_xor(F.xxhash64(F.lit(1), "m")).alias("f2"),
+            F.min("c").alias("low"),
+            F.max("c").alias("high"),
+            F.bool_or("apart").alias("any_apart"),
+        )
+        .where("low <> high and any_apart")
     )
+    named = holders.groupBy("hub", "k", "f1", "f2").agg(F.min("e").alias("e"), F.count("*").alias("weight"))
+    return held.join(stored(named.select("hub", "e", "weight"), "op5-passages"), ["hub", "e"])
+
+
+def _in_common(kind: str, names: tuple[str, ...]) -> Column:
+    """At most so many of the elements that two members lack, or add, can be the same: those that share
+    a bit, and as many of the rest as the member with fewer elements beside their bits has."""
+
+    def bits(mark: Callable[[str], Column]) -> Column:
+        return sum((F.bit_count(mark(name)) for name in names[1:]), F.bit_count(mark(names[0]))).cast("long")
+
+    shared = bits(lambda name: F.col(f"x_{name}").bitwiseAND(F.col(name)))
+    beside = F.least(F.col(f"x_{kind}") - bits(lambda name: F.col(f"x_{name}")), F.col(kind) - bits(F.col))
+    return F.least(shared + beside, F.col(f"x_{kind}"), F.col(kind))
+
+
+def _needed() -> Column:
+    """How many added elements two members (x_... and the other) must share, at least, to be linked."""
+    return F.ceil((F.col("x_cost") + F.col("cost") - F.col("hub_n")) / 7) - _in_common("lacks", _LACK_MARKS)
 
 
-def candidates(known: DataFrame) -> DataFrame:
+def _possible() -> Column:
+    """Whether two members of different components can be linked, as far as sizes and bitmaps tell."""
+    apart = F.col("x_apart") | F.col("apart")
+    return (
+        (F.col("x_c") != F.col("c")) & apart & _may_link("x_n", "n") & (_needed() <= _in_common("adds", _ADD_MARKS))
+    )
+
+
+_MEMBER = ("cost", "m", "c", "n", "lacks", "adds", "apart", *_LACK_MARKS, *_ADD_MARKS)
+
+
+def _other(rows: DataFrame, *keys: str) -> DataFrame:
+    return rows.select(*keys, *(F.col(k).alias(f"x_{k}") for k in _MEMBER))
+
+
+def _pair() -> list[Column]:
+    return [F.least("x_m", "m").alias("a"), F.greatest("x_m", "m").alias("b")]
+
+
+def new_hub_pairs(held: DataFrame) -> DataFrame:
+    """(a, b): of each passage one member of the component most of its holders are in, with the holders in
+    other components that it can be linked with. As many pairs as holders at most."""
+    by_component = held.groupBy("hub", "e", "c").agg(F.count("*").alias("k"), F.min(F.struct(*_MEMBER)).alias("best"))
+    first = by_component.groupBy("hub", "e").agg(F.max_by("best", F.struct("k", -F.col("c"))).alias("best"))
+    chosen = stored(first.select("hub", "e", *(F.col(f"best.{k}").alias(f"x_{k}") for k in _MEMBER)), "op5-new-hubs")
+    return held.join(chosen, ["hub", "e"]).where(_possible()).select(*_pair()).distinct()
+
+
+def candidates(rows: DataFrame, held: DataFrame) -> DataFrame:
     """(a, b): members of one hub in different components that can be linked.
 
     With ``cost = 4 * lacks + 3 * adds``, members x and y reach the threshold exactly if
     ``cost(x) + cost(y) <= hub_n + 7 * s``, where s counts what both lack and what both add. A
     member is linked with the hub itself if its cost is at most ``hub_n``. Of a pair with different
-    components at least one, x, is not; both lack at most ``least(lacks)``, so the pair must either add
-    ``needed`` common elements, or meet the bound without any. In a group of near copies with edits
-    of their own hardly any pair does either.
+    components at least one, x, is not. The bitmaps bound what both can lack, so the pair must either
+    add ``needed`` common elements, of which the bitmaps bound the number too, or meet the bound
+    without any. In a group of near copies with edits of their own hardly any pair does either.
     """
-    cost = 4 * F.col("lacks") + 3 * F.col("adds")
-    rows = known.withColumn("cost", cost).withColumn("apart", (F.col("c") != F.col("hub_c")) & (cost > F.col("hub_n")))
-    plain = ["hub", "m", "c", "n", "hub_n", "lacks", "cost", "apart"]
-    x = rows.where("apart").select("hub", "hub_n", *(F.col(k).alias(f"x_{k}") for k in ("m", "c", "n", "lacks", "cost")), F.col("added").alias("x_added"))
-    y = rows.select(*plain, "added")
-    needed = F.ceil((F.col("x_cost") + F.col("cost") - F.col("hub_n")) / 7) - F.least("x_lacks", "lacks")
-    differ = (F.col("x_c") != F.col("c")) & (~F.col("apart") | (F.col("x_m") < F.col("m"))) & _may_link("x_n", "n")
-    pair = [F.least("x_m", "m").alias("a"), F.greatest("x_m", "m").alias("b")]
+    once = F.col("x_apart") & (~F.col("apart") | (F.col("x_m") < F.col("m"))) & _possible()
     # Only a member smaller than the hub can lack enough of what x lacks.
-    smaller = y.where("n < hub_n").drop("added", "hub_n")
-    bare = x.drop("x_added").join(smaller, "hub").where(differ & (needed <= 0)).select(*pair)
+    smaller = rows.where("n < hub_n").drop("added")
+    bare = _other(rows.where("apart"), "hub").join(smaller, "hub").where(once & (_needed() <= 0)).select(*_pair())
     shared = (
-        x.withColumn("e", F.explode("x_added")).drop("x_added")
-        .join(y.withColumn("e", F.explode("added")).drop("added", "hub_n"), ["hub", "e"])
-        .where(differ & (needed > 0))
-        .groupBy("hub", *pair, needed.alias("needed")).agg(F.count("*").alias("seen"))
+        _other(held.where("apart"), "hub", "e")
+        .join(held, ["hub", "e"])
+        .where(once & (_needed() > 0))
+        .groupBy("hub", *_pair(), _needed().alias("needed")).agg(F.sum("weight").alias("seen"))
         .where("seen >= needed").select("a", "b")
     )
     return bare.unionAll(shared).distinct()
@@ -321,6 +416,19 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.explode(F.array("a", "b")).alias("id"))
 
 
+def _joined(found: DataFrame, links: DataFrame) -> DataFrame:
+    """The components after more links: components of components, and what they are called now."""
+    edges = links
+    for end in ("a", "b"):
+        now = found.select(F.col("node").alias(end), F.col("component").alias(f"c_{end}"))
+        edges = edges.join(now, end, "left").withColumn(f"c_{end}", F.coalesce(f"c_{end}", end))
+    linked = components(stored(edges.select(F.col("c_a").alias("a"), F.col("c_b").alias("b")), "op5-links"))
+    now = linked.select(F.col("node").alias("component"), F.col("component").alias("smallest"))
+    known = found.select("node", "component").unionAll(linked.select("node", F.col("node").alias("component")))
+    joined = known.distinct().join(now, "component", "left")
+    return stored(joined.select("node", F.coalesce("smallest", "component").alias("component")).distinct(), "op5-joined")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Set size, component and verdict of each row of ``docs`` (doc_id, text)."""
     signed = stored(signatures(docs), "op5-signatures")
@@ -336,10 +444,18 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = stored(unresolved(regions, first), "op5-unresolved")
     sets = sets_of(members.select(F.explode(F.array("hub", "m")).alias("id")), docs)
     compared = stored(deltas(members, sets), "op5-deltas")
-    likely = stored(_likely(candidates(compared), classes), "op5-candidates")
-    links = direct_links(compared).unionAll(confirm(likely, sets))
-    stars = first.select(F.col("node").alias("a"), F.col("component").alias("b"))
-    found = components(stored(stars.unionAll(links), "op5-links2"))
+    found = _joined(first, direct_links(compared))
+    # Passages that members add in common get hubs of their own, as long as that joins components.
+    while True:
+        held = passages(stored(recoloured(compared, found), "op5-coloured"))
+        likely = stored(_likely(new_hub_pairs(held), classes), "op5-candidates")
+        links = stored(confirm(likely, sets), "op5-new-links")
+        if links.isEmpty():
+            break
+        found = _joined(found, links)
+    rows = stored(recoloured(compared, found), "op5-coloured")
+    likely = stored(_likely(candidates(rows, stored(passages(rows), "op5-held")), classes), "op5-candidates")
+    found = _joined(found, confirm(likely, sets))
     known = stored(
         classes.join(found, classes["rep"] == found["node"], "left").select(
             "s1", "s2", "n", F.coalesce("component", "rep").alias("component")
