@@ -48,13 +48,15 @@ def luhn(number: str) -> bool:
 
 
 def emails(text: str) -> list[Span]:
-    """Leftmost matches in linear time: each @ with a domain is extended to the left."""
+    """Leftmost matches in linear time: each @ with a domain is extended to the left, as far as the match
+    before. What lies between two of them is looked at once."""
     out, taken = [], 0
     if "@" not in text:
         return out
     for m in _DOMAIN.finditer(text):
-        head = text[taken : m.start()]
-        start = taken + len(head.rstrip(_LOCAL))
+        start = m.start()
+        while start > taken and text[start - 1] in _LOCAL:
+            start -= 1
         if start < m.start():
             out.append((start, m.end(), "email"))
             taken = m.end()
@@ -130,12 +132,10 @@ _LETTERED = re.compile(
 _LETTER_BY_DIGIT = re.compile(r"[0-9][OolI]|[OolI][0-9]")
 _LETTER_DIGITS = {"O": "0", "o": "0", "l": "1", "I": "1"}
 _LEAST_DIGITS = 6
-# Bare words only inside a whole address: name at host dot suffix.
-_BARE = re.compile(
-    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]+(?:(?:\.|\x20dot\x20)[A-Za-z0-9_%+-]+)*"
-    r"(?:\x20at\x20|@)[A-Za-z0-9-]+(?:(?:\.|\x20dot\x20)[A-Za-z0-9-]+)+",
-    re.I,
-)
+# Bare words only inside a whole address: name at host dot suffix. Matched from the "at" on, and from there
+# to the left, so that a chain of "dot" without an "at" is not tried from each of its words.
+_AT_HOST = re.compile(r"(?:\x20at\x20|@)[A-Za-z0-9-]+(?:(?:\.|\x20dot\x20)[A-Za-z0-9-]+)+", re.I)
+_NAME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_%+-")
 # With ordinary dots only names that are no plain word count: those with a letter and a dot, digit or
 # underscore. The suffix begins with a letter, so times and prices are none.
 _NAMED = re.compile(
@@ -147,6 +147,43 @@ _BARE_PART = re.compile(r"\x20(at|dot)\x20", re.I)
 _SIGN = {"at": "@", "dot": ".", "@": "@", ".": "."}
 
 
+def _name_before(text: str, end: int, least: int) -> int | None:
+    """Where the longest chain of names begins that ends at ``end``, not before ``least``: names joined by
+    dots or by the word. It must not follow an ordinary dot."""
+    start, at = None, end
+    while True:
+        first = at
+        while first > least and text[first - 1] in _NAME:
+            first -= 1
+        if first == at:
+            return start
+        if first == 0 or text[first - 1] not in _LOCAL:
+            start = first
+        if first > least and text[first - 1] == ".":
+            at = first - 1
+        elif first - 5 >= least and text[first - 5 : first].lower() == " dot ":
+            at = first - 5
+        else:
+            return start
+
+
+def bare_addresses(text: str) -> Iterator[tuple[int, int]]:
+    """Ranges of addresses with a bare "at" or an @, leftmost first."""
+    taken, m = 0, _AT_HOST.search(text)
+    while m:
+        start, last = _name_before(text, m.start(), taken), m
+        # In "at at" the first may be a name too, or the end of one that begins further left.
+        while follows := _AT_HOST.match(text, last.start() + 3):
+            before = _name_before(text, follows.start(), taken)
+            if before is not None and (start is None or before < start):
+                start, m = before, follows
+            last = follows
+        if start is not None:
+            yield start, m.end()
+            taken = m.end()
+        m = _AT_HOST.search(text, last.start() + 1 if start is None else taken)
+
+
 class Normalised:
     """A text in which rewritten pieces remember the source range they stand for."""
 
@@ -197,9 +234,9 @@ def normalise(text: str) -> Normalised | None:
         out.rewrite(signs_at)
         out.rewrite([(m.start(), m.end(), ".") for m in _DOT_BETWEEN_DIGITS.finditer(out.text)])
         pieces = []
-        for m in _BARE.finditer(out.text):
-            if " dot " in m[0].lower():
-                for p in _BARE_PART.finditer(out.text, m.start(), m.end()):
+        for first, last in bare_addresses(out.text):
+            if " dot " in out.text[first:last].lower():
+                for p in _BARE_PART.finditer(out.text, first, last):
                     pieces.append((p.start(), p.end(), _SIGN[p[1].lower()]))
         out.rewrite(pieces)
         out.rewrite([(*m.span("at"), "@") for m in _NAMED.finditer(out.text)])
