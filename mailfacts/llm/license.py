@@ -22,6 +22,10 @@ from mailfacts.llm.common import plain_words, text_or_empty
 # Phrases and their labels.
 PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
+# Share of its mandatory words from which a notice that breaks off counts. Fewer words, like "under the
+# terms", stand in any text.
+LEAST_SHARE = 0.5
+
 # Label and template.
 TEMPLATES = (
     ("mit", "[released | licensed | distributed] under the [terms of the] mit license"),
@@ -136,14 +140,11 @@ class Scanner:
         self.first = [
             {w for s in a.close({0}) for w, _ in a.moves[s]} for a in self.automata
         ]  # a template never begins with a replaceable stretch
-        self.rare = {next(iter(sorted(a.needed, key=len, reverse=True))) for a in self.automata}
-        self.hints = sorted({max(a.needed, key=lambda w: (len(w), w)) for a in self.automata})
 
-    def scan(self, words: list[bytes], joined: bytes) -> tuple[list[tuple[str, int, int]], float]:
-        """Accepted (label, start, end) places, and the best share of mandatory wording."""
+    def scan(self, words: list[bytes]) -> tuple[list[tuple[str, int, int]], float]:
+        """Accepted (label, start, end) places, and the best share of a template's mandatory wording that
+        stands in a row from its beginning, if that is ``LEAST_SHARE`` or more."""
         places, best = [], 0.0
-        if not any(h in joined for h in self.hints):
-            return places, best
         present = set(words)
         index: dict[bytes, list[int]] = {}
         starts = set().union(*self.first)
@@ -160,7 +161,7 @@ class Scanner:
                 if end is not None and i >= at_end:
                     places.append((a.label, i, end))
                     at_end = end
-        return places, best
+        return places, best if best >= LEAST_SHARE else 0.0
 
 
 def base_places(joined: bytes, phrase: bytes) -> list[int]:
@@ -181,7 +182,7 @@ def describe(scanner: Scanner, text: str) -> tuple:
     base = {p: base_places(joined, p.encode()) for p in PHRASES}
     at = sorted(i for places in base.values() for i in places)
     base_labels = {PHRASES[p] for p, places in base.items() if places}
-    places, share = scanner.scan(words, joined)
+    places, share = scanner.scan(words)
     labels = base_labels | {label for label, _, _ in places}
     score = 1.0 if places else max(share, 0.5 if base_labels else 0.0)
     return (
