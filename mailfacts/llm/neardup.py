@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mailfacts.llm.common import chunks, stored, text_or_empty
+from mailfacts.llm.common import LOWER, UPPER, chunks, stored, text_or_empty
 from mailfacts.llm.components import components
 from mailfacts.llm.words import mix, ngrams, words_of
 
@@ -476,3 +476,29 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stand for their group; all columns as they are."""
     gone = stored(near_duplicates(docs).where("not kept").select("doc_id").distinct(), "op5-dropped")
     return docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
+
+
+# The query in DuckDB's SQL, for ids that do not repeat: all pairs with a common shingle, and all that is
+# reachable from each document.
+SQL = f"""
+WITH RECURSIVE texts AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x20\\x09-\\x0D]+') AS ws
+    FROM documents),
+shingles AS (
+    SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) < {SHINGLE} THEN [array_to_string(ws, ' ')] ELSE list_transform(
+        range(1, len(ws) - {SHINGLE} + 2), lambda i: array_to_string(ws[i:i + {SHINGLE} - 1], ' ')) END) AS shingle
+    FROM texts WHERE len(ws) > 0),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+links AS (
+    SELECT a, b FROM (
+        SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common
+        FROM shingles x JOIN shingles y USING (shingle) WHERE x.doc_id <> y.doc_id GROUP BY ALL)
+        JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+    WHERE 100 * common >= 75 * (p.n + q.n - common)),
+reached AS (
+    SELECT doc_id AS a, doc_id AS b FROM documents
+    UNION
+    SELECT reached.a, links.b FROM reached JOIN links ON reached.b = links.a),
+smallest AS (SELECT a AS doc_id, min(b) AS component_id FROM reached GROUP BY a)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM smallest LEFT JOIN sizes USING (doc_id)"""

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailfacts.llm import bpe, contamination, extraction, hmm, mixing, neardup, quality, spelling, toxicity
+from mailfacts.llm import bpe, contamination, extraction, hmm, mixing, neardup, quality, repetition, spelling, toxicity
 from mailfacts.llm.common import SPACED_WORD, table
 from mailfacts.llm.license import scan_licenses
 from mailfacts.llm.pii import find_personal_data
@@ -128,4 +128,8 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_decontamination": contamination.SQL}
+    return {
+        "op5_near_duplicates": neardup.SQL,
+        "op9_decontamination": contamination.SQL,
+        "op10_repetition": repetition.sql(),
+    }

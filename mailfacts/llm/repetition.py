@@ -27,10 +27,11 @@ SPACES = " \t\n\x0b\x0c\r"
 @dataclass(frozen=True)
 class Limits:
     """Largest shares of a text's word characters inside repeated n-grams (first occurrence
-    included) and inside repeated lines (first occurrence left out), and smallest word count."""
+    included) and inside repeated lines (first occurrence left out), and smallest word count. The
+    shares are the usual published ones of filters of this kind."""
 
-    ngram_share: dict[int, float] = field(default_factory=lambda: {5: 0.40, 8: 0.36, 10: 0.32})
-    line_share: float = 0.40
+    ngram_share: dict[int, float] = field(default_factory=lambda: {5: 0.15, 8: 0.12, 10: 0.10})
+    line_share: float = 0.20
     min_words: int = 50
 
 
@@ -124,3 +125,49 @@ def repetition_coverage(docs: DataFrame, limits: Limits | None = None) -> DataFr
 
     rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text_or_empty().alias("text"))
     return rows.mapInArrow(run, SCHEMA)
+
+
+def _covered_sql(n: int) -> str:
+    """CTEs: the words of each text that lie in an n-word window found twice or more in it."""
+    return f"""
+grams_{n} AS (
+    SELECT doc_id, unnest(list_transform(range(1, len(ws) - {n} + 2), lambda i: array_to_string(ws[i:i + {n} - 1], ' '))) AS gram,
+        unnest(range(1, len(ws) - {n} + 2)) AS at
+    FROM texts WHERE len(ws) >= {n}),
+covered_{n} AS (
+    SELECT doc_id, count(*) AS n_words, sum(chars) AS chars
+    FROM (SELECT DISTINCT doc_id, unnest(range(at, at + {n})) AS i
+        FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, gram) AS times FROM grams_{n}) WHERE times > 1)
+        JOIN words USING (doc_id, i)
+    GROUP BY doc_id)"""
+
+
+def sql(limits: Limits | None = None) -> str:
+    """The query in DuckDB's SQL, for ids that do not repeat."""
+    limits = limits or Limits()
+    sizes = sorted({3, *limits.ngram_share})
+    shares = " AND ".join(
+        f"coalesce(c{n}.chars, 0) / greatest(word_chars, 1) <= {most}" for n, most in limits.ngram_share.items()
+    )
+    return f"""
+WITH texts AS (
+    SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws
+    FROM documents),
+words AS (SELECT doc_id, unnest(range(1, len(ws) + 1)) AS i, length(unnest(ws)) AS chars FROM texts),
+{",".join(map(_covered_sql, sizes))},
+lines AS (
+    SELECT doc_id, sum(times - 1) AS again, sum((times - 1) * chars) AS chars
+    FROM (SELECT doc_id, line, count(*) AS times, length(regexp_replace(line, '[\x20\x09-\x0D]', '', 'g')) AS chars
+        FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM texts) GROUP BY ALL)
+    WHERE chars > 0 GROUP BY doc_id),
+measured AS (
+    SELECT doc_id, len(ws) AS n_words, CAST(coalesce((SELECT sum(chars) FROM words w WHERE w.doc_id = t.doc_id), 0) AS BIGINT) AS word_chars,
+        CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols
+    FROM texts t)
+SELECT doc_id, m.n_words, word_chars, n_symbols, CAST(coalesce(l.again, 0) AS BIGINT) AS n_dup_lines,
+    coalesce(c3.n_words, 0) AS n_repeat_words,
+    m.n_words < {limits.min_words} OR 100 * coalesce(c3.n_words, 0) > 50 * m.n_words AS base_failed,
+    NOT (m.n_words < {limits.min_words} OR 100 * coalesce(c3.n_words, 0) > 50 * m.n_words)
+        AND coalesce(l.chars, 0) / greatest(word_chars, 1) <= {limits.line_share} AND {shares} AS kept
+FROM measured m LEFT JOIN lines l USING (doc_id)
+{" ".join(f"LEFT JOIN covered_{n} c{n} USING (doc_id)" for n in sizes)}"""

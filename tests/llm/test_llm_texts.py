@@ -3,7 +3,9 @@
 import hashlib
 import itertools
 import math
+import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -73,6 +75,35 @@ def test_repetition_verdict(documents):
     assert got[3].n_repeat_words == 100 and got[3].base_failed
 
 
+def test_each_measure_rejects_by_itself(documents):
+    """Texts that pass the base rule, of which one measure alone is over its limit."""
+
+    def fresh(name, n):
+        return [f"{name}{i}" for i in range(n)]
+
+    # Passages of six words repeated: five-word windows, but none of eight words.
+    five = fresh("a", 200)
+    for i in range(6):
+        five[20 + 30 * i : 20 + 30 * i] = fresh("p", 6)
+    # One passage of 12 words, twice in 180: under the limit of five words, over that of ten.
+    ten = fresh("b", 180)
+    ten[90:90] = ten[10:22]
+    # Lines of two words, of which no window is longer.
+    lines = "\n".join(x for i in range(75) for x in (f"{i} x{i} y{i} z{i}", "aaaaaaaa bbbbbbbb") if i % 2 or x[0] != "a")
+    clean = " ".join(fresh("d", 300)) + "\nonce more\nonce more"
+    texts = [" ".join(five), " ".join(ten), lines, clean]
+    got = {r.doc_id: r for r in repetition_coverage(documents(list(enumerate(texts)))).collect()}
+    limits = repetition.Limits()
+    over = {
+        i: {n for n, most in limits.ngram_share.items() if r.ngram_shares[n] > most}
+        | ({"line"} if r.line_share > limits.line_share else set())
+        for i, r in got.items()
+    }
+    assert over == {0: {5}, 1: {10}, 2: {"line"}, 3: set()}
+    assert [got[i].kept for i in range(4)] == [False, False, False, True]
+    assert not any(r.base_failed for r in got.values())
+
+
 def test_covered_words_are_per_text():
     found = words.words_of(pa.array(["a b c", "a b c", "a b c a b c"]))
     assert repetition.covered(found, found.hashes(), 3).tolist() == [False] * 6 + [True] * 6
@@ -180,6 +211,37 @@ def test_masking_keeps_other_columns(clashing):
 # --- Licences ---------------------------------------------------------------------------------
 
 
+# The definition of an address with bare words, which tries a chain from each of its words.
+BARE = re.compile(
+    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]+(?:(?:\.|\x20dot\x20)[A-Za-z0-9_%+-]+)*"
+    r"(?:\x20at\x20|@)[A-Za-z0-9-]+(?:(?:\.|\x20dot\x20)[A-Za-z0-9-]+)+",
+    re.I,
+)
+
+
+def test_bare_addresses_equal_their_definition():
+    rng = random.Random(1)
+    parts = ["a", " dot ", " at ", "@", ".", " ", "b-", "_", "x1", "(", "dot", "at", " DOT "]
+    found = 0
+    for _ in range(30_000):
+        text = "".join(rng.choices(parts, k=rng.randint(0, 14)))
+        expected = [m.span() for m in BARE.finditer(text)]
+        assert list(pii.bare_addresses(text)) == expected, text
+        found += len(expected)
+    assert found > 200
+
+
+@pytest.mark.parametrize("piece", ["a dot ", "@a.b ", "at a.b ", "one ", "a at b dot "])
+def test_long_hostile_texts_take_linear_time(piece):
+    def seconds(size):
+        text = piece * (size // len(piece))
+        started = time.process_time()
+        pii.added_spans(text, pii.plain_spans(text))
+        return time.process_time() - started
+
+    assert min(seconds(400_000) for _ in range(2)) < 12 * max(min(seconds(50_000) for _ in range(3)), 0.01)
+
+
 def plain_license(text):
     ws = PLAIN.findall(lowered(text))
     at = []
@@ -227,6 +289,19 @@ def test_mandatory_wording_is_exact():
     assert found[5] == "" and 0 <= found[6] < 1
 
 
+def test_a_notice_that_breaks_off_scores_by_its_own_words():
+    grant = (
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software to deal"
+        " in the software without"
+    )
+    score = license.describe(Scanner(), grant)[6]
+    assert 0.9 < score < 1 and license.describe(Scanner(), grant)[5] == ""
+    for other in (" x license", " copyright y", " of nothing else"):
+        assert license.describe(Scanner(), grant + other)[6] == score
+    assert license.describe(Scanner(), grant + " restriction")[5:7] == ("mit", 1.0)
+    assert license.describe(Scanner(), "a walk under the terms of the winter")[6] == 0.0
+
+
 # --- Main text --------------------------------------------------------------------------------
 
 PAGE = (
