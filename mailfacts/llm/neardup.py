@@ -45,6 +45,8 @@ DEPTHS = (4, 8, 16)
 # Pairs below this share of equal MinHash values are not confirmed: more than five standard
 # deviations under the threshold.
 LEAST_ESTIMATE = 0.55
+# New hubs are given again as long as one in so many holders of passages was linked by them.
+WORTH_A_ROUND = 50
 # Length of the bitmaps of what a member lacks and adds, in words of 64 bits.
 MARK_WORDS = 4
 _LACK_MARKS = tuple(f"lacks_{i}" for i in range(MARK_WORDS))
@@ -242,15 +244,15 @@ def deltas(members: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def recoloured(known: DataFrame, found: DataFrame) -> DataFrame:
-    """Compared members with the components of member and hub as they are now."""
+    """Compared members with the components of member and hub as they are now. Members linked with their
+    hub count to its component already."""
     rows = known.drop("c", "hub_c")
     for node, name in (("m", "c"), ("hub", "hub_c")):
         now = found.select(F.col("node").alias(node), F.col("component").alias(name))
         rows = rows.join(now, node, "left").withColumn(name, F.coalesce(name, node))
-    cost = 4 * F.col("lacks") + 3 * F.col("adds")
-    return rows.withColumn("cost", cost).withColumn(
-        "apart", (F.col("c") != F.col("hub_c")) & (F.col("cost") > F.col("hub_n"))
-    )
+    rows = rows.withColumn("cost", 4 * F.col("lacks") + 3 * F.col("adds"))
+    rows = rows.withColumn("c", F.when(F.col("cost") <= F.col("hub_n"), F.col("hub_c")).otherwise(F.col("c")))
+    return rows.withColumn("apart", F.col("c") != F.col("hub_c"))
 
 
 def passages(rows: DataFrame) -> DataFrame:
@@ -444,18 +446,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     members = stored(unresolved(regions, first), "op5-unresolved")
     sets = sets_of(members.select(F.explode(F.array("hub", "m")).alias("id")), docs)
     compared = stored(deltas(members, sets), "op5-deltas")
-    found = _joined(first, direct_links(compared))
-    # Passages that members add in common get hubs of their own, as long as that joins components.
+    links, found = direct_links(compared), first
+    # Passages that members add in common get hubs of their own, as long as that joins many of them.
     while True:
-        held = passages(stored(recoloured(compared, found), "op5-coloured"))
+        rows = stored(recoloured(compared, found), "op5-coloured")
+        held = stored(passages(rows), "op5-held")
         likely = stored(_likely(new_hub_pairs(held), classes), "op5-candidates")
-        links = stored(confirm(likely, sets), "op5-new-links")
-        if links.isEmpty():
+        new = stored(confirm(likely, sets), "op5-new-links")
+        links = links.unionAll(new)
+        if new.count() * WORTH_A_ROUND < held.count():
             break
-        found = _joined(found, links)
-    rows = stored(recoloured(compared, found), "op5-coloured")
-    likely = stored(_likely(candidates(rows, stored(passages(rows), "op5-held")), classes), "op5-candidates")
-    found = _joined(found, confirm(likely, sets))
+        found, links = _joined(found, links), new.limit(0)
+    likely = stored(_likely(candidates(rows, held), classes), "op5-candidates")
+    found = _joined(found, links.unionAll(confirm(likely, sets)))
     known = stored(
         classes.join(found, classes["rep"] == found["node"], "left").select(
             "s1", "s2", "n", F.coalesce("component", "rep").alias("component")
