@@ -3,35 +3,54 @@
 from __future__ import annotations
 
 import re
-from urllib.parse import unquote
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+# Fixed value: the folder name of a partition whose value is null.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 
-def stored_builds(df: DataFrame, build_column: str) -> set[str]:
-    """The builds that a table partitioned by them has files of, from the names of its folders.
 
-    Only the file listing that Spark holds of the table is looked at; no file is opened.
+def stored_builds(df: DataFrame, build_column: str) -> DataFrame | None:
+    """(build): the builds that a table partitioned by them has files of, null builds left out, or
+    None for other tables.
+
+    They are taken from the file listing that Spark holds of the table, within the JVM: no file is
+    opened, and of the names one comes to Python.
     """
-    named = re.compile(rf"/{re.escape(build_column)}=([^/]+)/")
-    found = {m[1] for m in map(named.search, df.inputFiles()) if m}
-    return {unquote(value) for value in found}
+    folder = rf"/{re.escape(build_column)}=([^/]+)/"
+    files = df._jdf.inputFiles()
+    if not len(files) or not re.search(folder, files[0]):
+        return None
+    spark = df.sparkSession
+    jvm = spark.sparkContext._jvm
+    names = jvm.scala.collection.immutable.ArraySeq.unsafeWrapArray(files)
+    listed = spark._jsparkSession.createDataset(names, jvm.org.apache.spark.sql.Encoders.STRING())
+    # Folder names escape characters, and the addresses of files escape once more.
+    value = _unescaped(_unescaped(F.regexp_extract("value", folder, 1)))
+    kind = df.schema[build_column].dataType
+    builds = DataFrame(listed, spark).select(value.alias("build")).where(F.col("build") != NULL_PARTITION)
+    return builds.select(F.col("build").cast(kind).alias("build")).distinct()
+
+
+def _unescaped(value: Column) -> Column:
+    """Undo escapes like %3A. A plus stands for itself, other than in forms."""
+    return F.url_decode(F.replace(value, F.lit("+"), F.lit("%2B")))
+
+
+def _newest(df: DataFrame, build_column: str) -> Column:
+    builds = stored_builds(df, build_column)
+    if builds is None:
+        return df.select(F.max(build_column)).scalar()
+    return builds.select(F.max("build")).scalar()
 
 
 def latest_build(df: DataFrame, build_column: str = "build_ts") -> DataFrame:
-    """Rows of the newest build; an empty table gives an empty result.
+    """Rows of the newest build; an empty table gives an empty result, and a null build is never
+    the newest.
 
     On a table partitioned by the build the newest one is known from its folders and prunes the
     scan. On other tables it is a scalar subquery over the build column alone, which reads that
     column of all builds.
     """
-    builds = stored_builds(df, build_column)
-    if builds:
-        kind = df.schema[build_column].dataType
-        number = isinstance(kind, T.NumericType)
-        newest = F.lit(max(builds, key=float if number else str)).cast(kind)
-    else:
-        newest = df.select(F.max(build_column)).scalar()
-    return df.where(F.col(build_column) == newest)
+    return df.where(F.col(build_column) == _newest(df, build_column))
