@@ -24,19 +24,20 @@ def flag_excluded(df: DataFrame, exclusion_list: DataFrame) -> DataFrame:
 
 
 def customer_shoppers(
-    customers: DataFrame, shoppers: DataFrame, wanted: DataFrame
+    customers: DataFrame, shoppers: DataFrame, wanted: DataFrame | None
 ) -> DataFrame:
-    """Customer to shopper with the shopper's country, of the customers in ``wanted``.
+    """Customer to shopper with the shopper's country, of the customers in ``wanted`` if it is given.
 
-    A run meets few customers, the dimensions have all: customers are cut to the run before they
-    are made distinct, shoppers to those customers. Both are joined among themselves first, so
-    that the facts are shuffled by customer only.
+    A run that meets few of all customers gives ``wanted``: customers are cut to them before they are
+    made distinct, shoppers to those customers. Both are joined among themselves first, so that the
+    facts are shuffled by customer only.
     """
-    met = keep_matching(customers, wanted.select("customer_id"), ["customer_id"])
-    known = distinct_keys(met, ["customer_id", "shopper_id"])
-    return known.join(
-        keep_matching(shoppers, known.select("shopper_id"), ["shopper_id"]), "shopper_id", "left"
-    )
+    if wanted is not None:
+        customers = keep_matching(customers, wanted.select("customer_id"), ["customer_id"])
+    known = distinct_keys(customers, ["customer_id", "shopper_id"])
+    if wanted is not None:
+        shoppers = keep_matching(shoppers, known.select("shopper_id"), ["shopper_id"])
+    return known.join(shoppers, "shopper_id", "left")
 
 
 def add_customer(
@@ -44,12 +45,12 @@ def add_customer(
     exclusion_list: DataFrame,
     customers: DataFrame,
     shoppers: DataFrame,
-    wanted: DataFrame,
+    wanted: DataFrame | None = None,
 ) -> DataFrame:
     """Exclusion reason, shopper and shopper country by ``customer_id``.
 
-    ``wanted`` has at least the customers of ``df``; a log is cheaper to read twice than the facts
-    that were joined with it.
+    ``wanted``, if given, has at least the customers of ``df``, and is cheaper to read than what it
+    cuts from the dimensions.
     """
     return flag_excluded(df, exclusion_list).join(
         customer_shoppers(customers, shoppers, wanted), "customer_id", "left"

@@ -42,17 +42,15 @@ def join_send_log(sent: DataFrame, log: DataFrame) -> DataFrame:
 def join_responses(events: DataFrame, sent: DataFrame, log: DataFrame) -> DataFrame:
     """Every event, with the send it answers and that send's log entry where known.
 
-    Sends and log are cut to the emails answered in this run. The tag lets that cut and the
-    join of the two share one shuffle, and makes the join with the events use another that
-    can split an email with very many responses.
+    Sends are cut to the emails answered in this run, and meet the log thereafter, so the events are
+    read once for that. The tag lets cut and join share one shuffle, and makes the join with the
+    events use another that can split an email with very many responses.
     """
     answered = events.select(*SFMC_KEYS).withColumn(TAG, key_tag(*SFMC_KEYS))
     tagged = [*SFMC_KEYS, TAG]
-    sent, log = (
-        keep_matching(df.withColumn(TAG, key_tag(*SFMC_KEYS)), answered, tagged)
-        for df in (sent, log)
-    )
-    return events.join(sent.join(log, tagged, "left").drop(TAG), SFMC_KEYS, "left")
+    sent, log = (df.withColumn(TAG, key_tag(*SFMC_KEYS)) for df in (sent, log))
+    logged = keep_matching(sent, answered, tagged).join(log, tagged, "left")
+    return events.join(logged.drop(TAG), SFMC_KEYS, "left")
 
 
 def add_email_columns(df: DataFrame) -> DataFrame:

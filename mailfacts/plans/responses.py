@@ -19,7 +19,6 @@ from mailfacts.operators.channels import channel_split
 from mailfacts.operators.conform import conform
 from mailfacts.operators.content import add_content, content_hierarchy
 from mailfacts.operators.customers import add_customer
-from mailfacts.operators.dedupe import keep_matching
 from mailfacts.operators.events import conform_events
 from mailfacts.operators.sfmc import (
     add_email_columns,
@@ -29,7 +28,6 @@ from mailfacts.operators.sfmc import (
 )
 from mailfacts.plans.build import build_time
 from mailfacts.sources import scans, schemas
-from mailfacts.sources.scans import SFMC_KEYS
 
 # Columns each world does not know.
 ABSENT_OCP = [
@@ -206,7 +204,7 @@ def response_fact_sfmc(
             exclusion_list,
             scans.customers(customers),
             scans.shoppers(shoppers),
-            wanted=keep_matching(entries, responses, SFMC_KEYS),
+            wanted=entries,
         )
     ).withColumns(
         {
