@@ -4,9 +4,14 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Keys that are looked up in a stored table as a list.
+MOST_LOOKED_UP = 10_000
+
 # Runtime SQL settings; everything else is left to Spark and to whoever runs the cluster.
 SETTINGS = {
     # Wall-clock values are stored without a zone, so nothing may depend on the local one.
@@ -26,6 +31,8 @@ SETTINGS = {
     # which Spark adds by itself where the long side is large enough to be worth it.
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1GB",
+    # Lists of keys reach the row groups of Parquet as they are, not as one range.
+    "spark.sql.parquet.pushdown.inFilterThreshold": str(MOST_LOOKED_UP),
     # Overwrites replace only the partitions present in the output.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
@@ -42,6 +49,7 @@ STATIC_SETTINGS = {
 
 # Sizing of shuffles by the volume of the inputs.
 PARTITION_BYTES = 256 * 1024 * 1024
+UNKNOWN_BYTES = 1 << 62
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
@@ -52,26 +60,45 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def during(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
+    """Runtime settings for the actions started within, and as they were before after that."""
+    before = {name: spark.conf.get(name, None) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
+
+
 def input_bytes(df: DataFrame) -> int:
     """Bytes of the files and tables a plan reads, each as often as it reads it.
 
-    From what Spark knows of its sources when it analyses a plan; starts no job.
+    From what Spark knows of its sources when it analyses a plan; starts no job. Sources whose size it
+    does not know count nothing.
     """
     leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-    sizes = (leaves.apply(i).stats().sizeInBytes() for i in range(leaves.size()))
-    return sum(int(str(size)) for size in sizes)
+    sizes = (int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return sum(size for size in sizes if size < UNKNOWN_BYTES)
 
 
 def size_shuffles(df: DataFrame) -> DataFrame:
     """Let the shuffles of ``df`` start with so many partitions that each fits in memory, even if
     one shuffle should move all that the plan reads.
 
-    Adaptive execution joins partitions that turn out small, while too few could not be mended.
+    Adaptive execution joins partitions that turn out small, while too few could not be mended. So the
+    number is never lowered: a plan built before another and run after it keeps enough.
     """
     spark = df.sparkSession
     needed = -(-input_bytes(df) // PARTITION_BYTES)
     present = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spark.conf.set(INITIAL_PARTITIONS, str(max(needed, present)))
+    before = int(spark.conf.get(INITIAL_PARTITIONS, None) or 0)
+    spark.conf.set(INITIAL_PARTITIONS, str(max(needed, present, before)))
     return df
 
 

@@ -8,6 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from mailfacts.operators.conform import conform
+from mailfacts.session import during
+
+# A task writes its partitions one after the other, each for some milliseconds at least. Thousands of
+# nearly empty ones must not be gathered in one task just because together they are small.
+_WRITE_SETTINGS = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "32KB"}
 
 
 def _sized_for_partitions(df: DataFrame, partitions: Sequence[str]) -> DataFrame:
@@ -19,6 +24,20 @@ def _sized_for_partitions(df: DataFrame, partitions: Sequence[str]) -> DataFrame
     return df.hint("rebalance", *partitions)
 
 
+def write_partitioned(
+    df: DataFrame, path: str, partitions: Sequence[str], mode: str, **options: str
+) -> None:
+    """Write ``df`` below ``path``, a folder for each value of the partition columns."""
+    with during(df.sparkSession, _WRITE_SETTINGS):
+        (
+            _sized_for_partitions(df, partitions)
+            .write.mode(mode)
+            .options(**options)
+            .partitionBy(*partitions)
+            .parquet(path)
+        )
+
+
 def replace_partitions(
     df: DataFrame, path: str, schema: T.StructType, partitions: Sequence[str]
 ) -> None:
@@ -27,15 +46,10 @@ def replace_partitions(
     All other partitions stay. A partition that no longer gets any row is not emptied. All rows
     are computed before any old file is removed, so ``df`` may have been read from the same
     table. The partitions are then exchanged one after the other: a driver lost just then leaves
-    some replaced and some not. A run over other tables is simply repeated; one over its own
-    table should write to a staging table first and copy that.
+    some replaced and some not. ``sources.versions`` has tables without that step.
     """
-    (
-        _sized_for_partitions(conform(df, schema), partitions)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions)
-        .parquet(path)
+    write_partitioned(
+        conform(df, schema), path, partitions, "overwrite", partitionOverwriteMode="dynamic"
     )
 
 
