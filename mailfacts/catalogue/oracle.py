@@ -11,6 +11,9 @@ from mailfacts.catalogue.parameters import (
     EVENTS_END_DAY,
     EVENTS_FIRST_DAY,
     FIRST_DAY,
+    FLAG_FROM,
+    LOOKUP_FROM,
+    LOOKUP_TO,
     MOVED_DAYS,
     MOVED_FROM,
     MOVED_TO,
@@ -649,25 +652,68 @@ STATEMENTS = {
 }
 
 
-# What a sink query reads back is what it was given, with years for days.
-_DAY_OF = {
-    "clean_sends": "sent_mst_date",
-    "clean_opens": "open_mst_date",
-    "queue_stage": "email_queue_create_date",
-    "send_fact_ocp": "email_send_mst_date",
-    "dim_campaign": "etl_build_mst_date",
-    "dim_template_latest": "etl_build_mst_date",
-    "dim_holdout": "snap_date",
-}
-for _name, _day_column in _DAY_OF.items():
-    STATEMENTS[f"{_name}_sink"] = (
-        f"SELECT * REPLACE (substr({_day_column}, 1, 4) AS {_day_column})"
-        f" FROM ({STATEMENTS[_name]})"
-    )
-STATEMENTS["response_fact_ocp_sink"] = (
-    "SELECT * REPLACE (substr(email_response_mst_date, 1, 4) AS email_response_mst_date)"
-    f" FROM ({STATEMENTS['flagged_response_fact_ocp']})"
-)
+# What a sink query reads back is what it was given.
+for _name in (
+    "clean_sends", "clean_opens", "queue_stage", "send_fact_ocp", "send_fact_sfmc",
+    "response_fact_sfmc", "dim_campaign", "dim_template_latest", "dim_holdout",
+):
+    STATEMENTS[f"{_name}_sink"] = STATEMENTS[_name]
+for _name, _same in {
+    "first_response_flags_kept": "first_response_flags",
+    "stage_dedupe_aggregate": "stage_dedupe_keyed",
+    "bucketed_open_send": "norm_join_open_send",
+    "latest_build_null": "latest_build",
+}.items():
+    STATEMENTS[_name] = STATEMENTS[_same]
+_ORDER_TEXTS = """
+    SELECT CAST(o_orderkey AS VARCHAR) AS order_id,
+        CASE WHEN o_orderkey % 7 = 0 THEN o_custkey || ' USD' WHEN o_orderkey % 5 <> 0
+            THEN CAST(o_custkey AS VARCHAR) END AS customer,
+        CASE WHEN o_orderkey % 11 = 0 THEN 'no day'
+            ELSE strftime(o_orderdate, '%Y-%m-%d') END AS day
+    FROM orders"""
+STATEMENTS["tolerant_casts"] = f"""
+    SELECT CAST(order_id AS INTEGER) AS order_id, TRY_CAST(customer AS BIGINT) AS customer,
+        CAST(TRY_CAST(day AS DATE) AS VARCHAR) AS day,
+        nullif(concat_ws('; ',
+            CASE WHEN customer IS NOT NULL AND TRY_CAST(customer AS BIGINT) IS NULL
+                THEN 'customer is no bigint: ' || customer END,
+            CASE WHEN TRY_CAST(day AS DATE) IS NULL THEN 'day is no date: ' || day END), '')
+            AS reject_reason
+    FROM ({_ORDER_TEXTS})"""
+STATEMENTS["attribution_counts"] = f"""
+    SELECT 'opens' AS point, count(*) AS rows FROM ({STATEMENTS['clean_opens']})
+    UNION ALL
+    SELECT 'opens with sends', count(*) FROM ({STATEMENTS['norm_join_open_send']})
+    UNION ALL
+    SELECT 'opens with queue rows', count(*) FROM ({STATEMENTS['open_queue_fanout']})"""
+STATEMENTS["click_lookup"] = f"""
+    SELECT u.emailqueueid, c.createdate AS email_response_mst_ts, c.content_block_id,
+        c.visit AS content_block_click_visit_guid, c.visitor AS content_block_click_visitor_guid,
+        c.eid AS content_block_click_eid_text, t.content_block_key_id
+    FROM src_clicks c JOIN src_tracking t ON c.trackingcode = t.trackingcode
+        JOIN src_queue_success u ON t.emailqueuesuccessid = u.emailqueuesuccessid
+    WHERE starts_with(c.eid, 'ocp.email.')
+        AND c.createdate BETWEEN TIMESTAMP '{LOOKUP_FROM}' AND TIMESTAMP '{LOOKUP_TO}'"""
+STATEMENTS["csv_rejects"] = f"""
+    SELECT CAST(order_id AS INTEGER) AS order_id,
+        concat_ws(',', order_id, coalesce(customer, ''), day) AS reject_record,
+        'malformed line' AS reject_reason
+    FROM ({_ORDER_TEXTS})
+    WHERE TRY_CAST(day AS DATE) IS NULL
+        OR customer IS NOT NULL AND TRY_CAST(customer AS BIGINT) IS NULL"""
+STATEMENTS["response_fact_ocp_sink"] = f"""
+    SELECT * FROM ({STATEMENTS['flagged_response_fact_ocp']})
+    WHERE email_response_mst_date >= '{FLAG_FROM}'
+    UNION ALL BY NAME
+    SELECT * FROM ({STATEMENTS['response_fact_ocp']})
+    WHERE email_response_mst_date < '{FLAG_FROM}' OR email_response_mst_date IS NULL"""
+STATEMENTS["versioned_partitions"] = f"""
+    SELECT *, 'newest' AS state FROM ({STATEMENTS['insert_overwrite_partitions']})
+    WHERE email_send_mst_date <> '1992'
+    UNION ALL BY NAME
+    SELECT * REPLACE ('first' AS template_name), 'run 1' AS state
+    FROM ({STATEMENTS['insert_overwrite_partitions']})"""
 
 WHOLE_EVENTS = (EVENTS_FIRST_DAY, RESPONSES_END_DAY, EVENTS_END_DAY)
 # Runs whose ranges cut.

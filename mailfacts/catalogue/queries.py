@@ -12,11 +12,16 @@ from pyspark.sql.types import StructType
 
 from mailfacts import plans
 from mailfacts.catalogue.parameters import (
+    BUCKETS,
     BUILD_TS,
+    DAY_BEFORE_REFLAG,
     END_DAY,
     EVENTS_END_DAY,
     EVENTS_FIRST_DAY,
     FIRST_DAY,
+    FLAG_FROM,
+    LOOKUP_FROM,
+    LOOKUP_TO,
     MOVED_DAYS,
     MOVED_FROM,
     MOVED_TO,
@@ -45,31 +50,42 @@ from mailfacts.functions import (
 )
 from mailfacts.functions.labels import MASS_MAILER_IN_SENDS
 from mailfacts.operators.attribution import (
+    SEND_KEYS,
     click_attribution,
     latest_sends,
+    open_attribution,
     open_queue,
     open_sends,
+    open_sends_bucketed,
     tracked_clicks,
     with_email_keys,
 )
 from mailfacts.operators.builds import latest_build
 from mailfacts.operators.channels import channel_split, channel_split_union
 from mailfacts.operators.content import add_content, content_hierarchy
+from mailfacts.operators.counts import Counts
 from mailfacts.operators.customers import flag_excluded
-from mailfacts.operators.dedupe import latest_per_key
+from mailfacts.operators.dedupe import latest_per_key, latest_per_key_aggregate
 from mailfacts.operators.events import conform_events
 from mailfacts.operators.first_response import (
+    DATE,
     FLAG_CODES,
     first_response_flags,
     first_response_flags_join,
+    own_responses,
 )
+from mailfacts.operators.kept_minima import flag_with_minima, minima_of
+from mailfacts.operators.lookups import tracked_clicks_looked_up, write_for_lookups
+from mailfacts.operators.rejects import cast_with_rejects, csv_with_rejects, rejected_rows
 from mailfacts.operators.sfmc import join_send_log, log_in_range, sent_in_range
 from mailfacts.plans.responses import ResponseDates, ocp_responses
 from mailfacts.session import configure, scratch_dir, size_shuffles
 from mailfacts.sources import scans, schemas
 from mailfacts.catalogue.fixtures import SNAPSHOT, Fixtures
+from mailfacts.sources.buckets import write_bucketed
 from mailfacts.sources.schemas import SEND_FACT
-from mailfacts.sources.sink import read_table, replace_partitions
+from mailfacts.sources.sink import read_table, replace_partitions, write_partitioned
+from mailfacts.sources.versions import add_run, read_newest
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -126,6 +142,28 @@ def first_response_flags_marker_join(fx: Fixtures) -> DataFrame:
     return _flagged_events(fx, first_response_flags_join, REFLAG_FROM)
 
 
+@_query("first_response_flags_kept")
+def first_response_flags_by_kept_minima(fx: Fixtures) -> DataFrame:
+    """Two flag runs over a stored fact, the later days first, then the earlier ones as late arrivals. Each
+    reads its own days and the kept minima; the second lowers minima of the first."""
+    responses = _unflagged(fx.responses())
+    partitions = [DATE, "email_source_system_name"]
+    path, kept_path = (_scratch(fx, f"first_response_{name}") for name in ("fact", "kept"))
+    target = path, responses.schema, partitions
+    late_days = F.col(DATE) >= REFLAG_FROM
+    kept = minima_of(responses.limit(0))
+    for days, start, end in (
+        (late_days, REFLAG_FROM, EVENTS_END_DAY),
+        (~late_days, EVENTS_FIRST_DAY, DAY_BEFORE_REFLAG),
+    ):
+        add_run(responses.where(days), *target)
+        run = flag_with_minima(read_newest(fx.spark, *target), kept, start, end)
+        add_run(run.rows, *target)
+        run.minima.write.mode("append").parquet(kept_path)
+        kept = fx.spark.read.schema(kept.schema).parquet(kept_path)
+    return own_responses(read_newest(fx.spark, *target))
+
+
 @_query("first_response_ties")
 def first_response_ties(fx: Fixtures) -> DataFrame:
     """Line items as responses: many share the earliest day of their order and flag."""
@@ -201,6 +239,17 @@ def send_dedupe_latest(fx: Fixtures) -> DataFrame:
     )
 
 
+@_query("stage_dedupe_aggregate")
+def stage_dedupe_aggregate(fx: Fixtures) -> DataFrame:
+    """The same by an aggregate."""
+    lines = fx.table("lineitem").select(
+        "l_orderkey", "l_returnflag", "l_shipdate", "l_linenumber", "l_partkey", "l_suppkey"
+    )
+    return latest_per_key_aggregate(
+        lines, ["l_orderkey", "l_returnflag"], ["l_shipdate", "l_linenumber"]
+    )
+
+
 @_query("parameterised_sql")
 def parameterised_sql(fx: Fixtures) -> DataFrame:
     """A range bound as SQL parameters rather than as formatted text."""
@@ -332,14 +381,15 @@ def send_fact_ocp_window(fx: Fixtures) -> DataFrame:
     return _send_fact_ocp(fx, WINDOW_DATES)
 
 
-@_query("norm_join_open_send")
-def norm_join_open_send(fx: Fixtures) -> DataFrame:
-    opens = with_email_keys(
+def _keyed_opens(fx: Fixtures) -> DataFrame:
+    return with_email_keys(
         _clean_opens(fx).select(
             "email_open_id", "open_mst_ts", "shopper_id", "message_id", "isc_code", "template_id"
         )
     )
-    joined = open_sends(opens, with_email_keys(_clean_sends(fx)))
+
+
+def _opened(joined: DataFrame) -> DataFrame:
     return joined.select(
         "email_open_id",
         "open_mst_ts",
@@ -352,6 +402,20 @@ def norm_join_open_send(fx: Fixtures) -> DataFrame:
     )
 
 
+@_query("norm_join_open_send")
+def norm_join_open_send(fx: Fixtures) -> DataFrame:
+    return _opened(open_sends(_keyed_opens(fx), with_email_keys(_clean_sends(fx))))
+
+
+@_query("bucketed_open_send")
+def bucketed_open_send(fx: Fixtures) -> DataFrame:
+    """The same with sends that are stored in buckets of the normalised keys."""
+    table = f"bucketed_sends_{uuid4().hex}"
+    sends = with_email_keys(_clean_sends(fx))
+    write_bucketed(sends, table, _scratch(fx, table), SEND_KEYS, BUCKETS)
+    return _opened(open_sends_bucketed(_keyed_opens(fx), fx.spark.table(table)))
+
+
 @_query("open_queue_fanout")
 def open_queue_fanout(fx: Fixtures) -> DataFrame:
     opens = with_email_keys(_clean_opens(fx))
@@ -360,6 +424,15 @@ def open_queue_fanout(fx: Fixtures) -> DataFrame:
     )
 
 
+@_query("attribution_counts")
+def attribution_counts(fx: Fixtures) -> DataFrame:
+    """Rows before and after the joins of opens with sends and queue rows, told by the job that writes them."""
+    counts = Counts()
+    opened = open_attribution(_clean_opens(fx), _clean_sends(fx), _queue_stage(fx), counts)
+    opened.write.parquet(_scratch(fx, "attributed_opens"))
+    return fx.spark.createDataFrame(list(counts.rows().items()), "point string, rows bigint")
+
+
 @_query("click_chain")
 def click_chain(fx: Fixtures) -> DataFrame:
     clicks = tracked_clicks(
@@ -370,6 +443,21 @@ def click_chain(fx: Fixtures) -> DataFrame:
     return click_attribution(clicks, _queue_stage(fx), _clean_sends(fx))
 
 
+@_query("click_lookup")
+def click_lookup(fx: Fixtures) -> DataFrame:
+    """The tracked clicks of a few days, with links and queue rows stored for look-ups and found by them."""
+    tracking, success = (_scratch(fx, name) for name in ("click_links", "click_queue"))
+    write_for_lookups(fx.success_tracking(), tracking, "trackingcode")
+    write_for_lookups(fx.queue_success(), success, "emailqueuesuccessid")
+    clicks = scans.click_tracking(fx.click_tracking())
+    stored = fx.spark.read.parquet
+    return tracked_clicks_looked_up(
+        clicks.where(Bounds(LOOKUP_FROM, LOOKUP_TO).within(clicks, "email_response_mst_ts")),
+        scans.success_tracking(stored(tracking)),
+        scans.queue_success_ids(stored(success)),
+    )
+
+
 def _ocp_sources(fx: Fixtures) -> list[DataFrame]:
     return [
         _clean_sends(fx),
@@ -489,8 +577,46 @@ def latest_customer_build(fx: Fixtures) -> DataFrame:
     return scans.customers(latest_build(fx.customer_ids())).distinct()
 
 
-@_query("send_fact_sfmc")
-def send_fact_sfmc(fx: Fixtures) -> DataFrame:
+@_query("latest_build_null")
+def latest_build_beside_null(fx: Fixtures) -> DataFrame:
+    """From a stored table that has a null build besides: rows of an unknown build are never the newest."""
+    path = _scratch(fx, "customer_builds")
+    unknown = fx.customer_ids().withColumn("build_ts", F.lit(None).cast("string"))
+    fx.customer_ids().unionByName(unknown).write.partitionBy("build_ts").parquet(path)
+    schema = fx.customer_ids().schema
+    stored = fx.spark.read.schema(schema).parquet(path)
+    return scans.customers(latest_build(stored)).distinct()
+
+
+def _order_texts(fx: Fixtures) -> DataFrame:
+    """Orders as text, in which some prices and dates are malformed or missing."""
+    key = F.col("o_orderkey")
+    price, day = (F.col(c).cast("string") for c in ("o_custkey", "o_orderdate"))
+    return fx.table("orders").select(
+        key.cast("string").alias("order_id"),
+        F.when(key % 7 == 0, F.concat(price, F.lit(" USD"))).when(key % 5 == 0, None).otherwise(price).alias("customer"),
+        F.when(key % 11 == 0, F.lit("no day")).otherwise(F.substring(day, 1, 10)).alias("day"),
+    )
+
+
+@_query("tolerant_casts")
+def tolerant_casts(fx: Fixtures) -> DataFrame:
+    """Good rows and rejects with their reasons, from one pass."""
+    marked = cast_with_rejects(_order_texts(fx), {"order_id": "int", "customer": "bigint", "day": "date"})
+    return marked.withColumn("day", F.col("day").cast("string"))
+
+
+@_query("csv_rejects")
+def csv_rejects(fx: Fixtures) -> DataFrame:
+    """The same rows through a headed text file, read in a typed schema: the rejected lines."""
+    path = _scratch(fx, "order_texts")
+    _order_texts(fx).write.option("emptyValue", "").csv(path, header=True)
+    kinds = StructType.fromDDL("order_id int, customer bigint, day date")
+    rejected = rejected_rows(csv_with_rejects(fx.spark, path, kinds))
+    return rejected.select("order_id", "reject_record", "reject_reason")
+
+
+def _send_fact_sfmc(fx: Fixtures) -> DataFrame:
     return plans.send_fact_sfmc(
         fx.sfmc_sent(),
         fx.sfmc_send_log(),
@@ -503,8 +629,7 @@ def send_fact_sfmc(fx: Fixtures) -> DataFrame:
     )
 
 
-@_query("response_fact_sfmc")
-def response_fact_sfmc(fx: Fixtures) -> DataFrame:
+def _response_fact_sfmc(fx: Fixtures) -> DataFrame:
     return plans.response_fact_sfmc(
         fx.sfmc_events(),
         fx.sfmc_sent(),
@@ -520,6 +645,16 @@ def response_fact_sfmc(fx: Fixtures) -> DataFrame:
     )
 
 
+@_query("send_fact_sfmc")
+def send_fact_sfmc(fx: Fixtures) -> DataFrame:
+    return _send_fact_sfmc(fx)
+
+
+@_query("response_fact_sfmc")
+def response_fact_sfmc(fx: Fixtures) -> DataFrame:
+    return _response_fact_sfmc(fx)
+
+
 # --- Dimensions -----------------------------------------------------------------------------
 
 
@@ -570,59 +705,89 @@ _TARGETS: dict[str, tuple[Callable[[Fixtures], DataFrame], Target]] = {
         lambda fx: _send_fact_ocp(fx, OCP_DATES),
         (schemas.SEND_FACT, schemas.SEND_FACT_PARTITIONS),
     ),
+    "send_fact_sfmc": (
+        _send_fact_sfmc,
+        (schemas.SEND_FACT, schemas.SEND_FACT_PARTITIONS),
+    ),
+    "response_fact_sfmc": (
+        _response_fact_sfmc,
+        (schemas.RESPONSE_FACT, schemas.RESPONSE_FACT_PARTITIONS),
+    ),
     "dim_campaign": (_dim_campaign, (schemas.CAMPAIGN_DIM, schemas.CAMPAIGN_DIM_PARTITIONS)),
     "dim_template_latest": (_dim_template, (schemas.TEMPLATE_DIM, schemas.TEMPLATE_DIM_PARTITIONS)),
     "dim_holdout": (_dim_holdout, (schemas.HOLDOUT_DIM, schemas.HOLDOUT_DIM_PARTITIONS)),
 }
 
 
-def _by_year(df: DataFrame, day: str) -> DataFrame:
-    return df.withColumn(day, F.substring(day, 1, 4))
-
-
 def _stored_twice(fx: Fixtures, name: str) -> DataFrame:
-    """The table ``name``, written by its days, the second time over the first, and read back."""
-    build, target = _TARGETS[name]
+    """The table ``name``, written by its days, the last days a second time in place of the first, and read
+    back. The tables are written while the query is built and stay in the scratch folder."""
+    build, (schema, partitions) = _TARGETS[name]
     path = _scratch(fx, f"{name}_sink")
-    for _ in range(2):
-        replace_partitions(build(fx), path, *target)
-    return read_table(fx.spark, path, target[0])
-
-
-def _sink_query(name: str, day: str) -> None:
-    """``name_sink`` is the stored table with years for days, as its SQL has them.
+    add_run(build(fx), path, schema, partitions, "1")
+    add_run(build(fx).where(F.col(partitions[0]) >= FLAG_FROM), path, schema, partitions, "2")
+    return read_newest(fx.spark, path, schema, partitions)
 
-    The table is written while the query is built and stays in the scratch folder."""
 
+def _sink_query(name: str) -> None:
     @_query(f"{name}_sink")
     def run(fx: Fixtures) -> DataFrame:
-        return _by_year(_stored_twice(fx, name), day)
+        return _stored_twice(fx, name)
 
 
-for _name, (_, _target) in _TARGETS.items():
-    _sink_query(_name, _target[1][0])
+for _name in _TARGETS:
+    _sink_query(_name)
 
 
-def _stored_flagged(fx: Fixtures) -> DataFrame:
-    """The response fact through its table and the flag job, which rewrites that table from
-    itself by way of a staging table."""
-    schema, partitions = schemas.RESPONSE_FACT, schemas.RESPONSE_FACT_PARTITIONS
-    path, staging = (_scratch(fx, f"response_fact_ocp_{n}") for n in ("sink", "staging"))
-    replace_partitions(_response_fact_ocp(fx), path, schema, partitions)
-    flagged = plans.flag_first_response(
-        read_table(fx.spark, path, schema), FIRST_DAY, FIRST_DAY, END_DAY
+@_query("response_fact_ocp_sink")
+def response_fact_ocp_sink(fx: Fixtures) -> DataFrame:
+    """The response fact through its table and the flag job, which reads that table from its first day
+    on and adds its later days to it again."""
+    target = schemas.RESPONSE_FACT, schemas.RESPONSE_FACT_PARTITIONS
+    path = _scratch(fx, "response_fact_ocp_sink")
+    add_run(_response_fact_ocp(fx), path, *target, run="1")
+    stored = read_newest(fx.spark, path, *target)
+    flagged = plans.flag_first_response(stored, FLAG_FROM, FIRST_DAY, END_DAY)
+    add_run(flagged, path, *target, run="2")
+    return read_newest(fx.spark, path, *target)
+
+
+def _order_rows(fx: Fixtures) -> tuple[DataFrame, StructType, list[str]]:
+    """Orders as a small table by year and status."""
+    orders = fx.table("orders").select(
+        F.col("o_orderkey").cast("string").alias("email_send_id"),
+        F.col("o_orderdate").alias("email_send_mst_ts"),
+        F.lit("first").alias("template_name"),
+        F.year("o_orderdate").cast("string").alias("email_send_mst_date"),
+        F.col("o_orderstatus").alias("email_source_system_name"),
     )
-    replace_partitions(flagged, staging, schema, partitions)
-    replace_partitions(read_table(fx.spark, staging, schema), path, schema, partitions)
-    return read_table(fx.spark, path, schema)
+    schema = StructType([field for field in SEND_FACT if field.name in orders.columns])
+    return orders, schema, ["email_send_mst_date", "email_source_system_name"]
 
 
-@_query("response_fact_ocp_sink")
-def response_fact_ocp_sink(fx: Fixtures) -> DataFrame:
-    """The stored flagged response fact with years for days, as its SQL has them."""
-    return _by_year(_stored_flagged(fx), schemas.RESPONSE_FACT_PARTITIONS[0])
+def _early_again(stored: DataFrame, name: str) -> DataFrame:
+    early = stored.where(F.col("email_send_mst_date") <= "1997")
+    return early.withColumn("template_name", F.lit(name))
 
 
+@_query("versioned_partitions")
+def versioned_partitions(fx: Fixtures) -> DataFrame:
+    """Three runs: all orders, the years up to 1997 anew from the stored table, with 1992 emptied, and one
+    that is killed before it is finished. The state after the first run is read too."""
+    orders, schema, partitions = _order_rows(fx)
+    path = _scratch(fx, "versioned_partitions")
+    target = path, schema, partitions
+    add_run(orders, *target, run="1")
+    again = _early_again(read_newest(fx.spark, *target), "second")
+    first_year = F.col("email_send_mst_date") == "1992"
+    gone = orders.where(first_year).select(*partitions).distinct()
+    add_run(again.where(~first_year), *target, run="2", emptied=gone)
+    write_partitioned(_early_again(orders, "killed"), f"{path}/data/run=3", partitions, "overwrite")
+    now, before = read_newest(fx.spark, *target), read_newest(fx.spark, *target, as_of="1")
+    return now.withColumn("state", F.lit("newest")).unionByName(
+        before.withColumn("state", F.lit("run 1"))
+    )
+
 
 @_query("insert_overwrite_partitions")
 def insert_overwrite_partitions(fx: Fixtures) -> DataFrame:
@@ -631,20 +796,8 @@ def insert_overwrite_partitions(fx: Fixtures) -> DataFrame:
     The second write reads the table it overwrites, and leaves the other partitions alone.
     """
     path = _scratch(fx, "insert_overwrite_partitions")
-    orders = fx.table("orders").select(
-        F.col("o_orderkey").cast("string").alias("email_send_id"),
-        F.col("o_orderdate").alias("email_send_mst_ts"),
-        F.lit("first").alias("template_name"),
-        F.year("o_orderdate").cast("string").alias("email_send_mst_date"),
-        F.col("o_orderstatus").alias("email_source_system_name"),
-    )
-    names = orders.columns
-    schema = type(SEND_FACT)([field for field in SEND_FACT if field.name in names])
-    partitions = ["email_send_mst_date", "email_source_system_name"]
+    orders, schema, partitions = _order_rows(fx)
     replace_partitions(orders, path, schema, partitions)
-    stored = read_table(fx.spark, path, schema)
-    again = stored.where(F.col("email_send_mst_date") <= "1997").withColumn(
-        "template_name", F.lit("second")
-    )
+    again = _early_again(read_table(fx.spark, path, schema), "second")
     replace_partitions(again, path, schema, partitions)
     return read_table(fx.spark, path, schema)
