@@ -24,7 +24,7 @@ PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserv
 
 # Share of its mandatory words from which a notice that breaks off counts. Fewer words, like "under the
 # terms", stand in any text.
-LEAST_SHARE = 0.5
+LEAST_SHARE = 0.6
 
 # Label and template.
 TEMPLATES = (

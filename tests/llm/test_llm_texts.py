@@ -84,7 +84,7 @@ def test_each_measure_rejects_by_itself(documents):
     # Passages of six words repeated: five-word windows, but none of eight words.
     five = fresh("a", 200)
     for i in range(6):
-        five[20 + 30 * i : 20 + 30 * i] = fresh("p", 6)
+        five[20 + 30 * i : 20 + 30 * i] = fresh("passage", 6)
     # One passage of 12 words, twice in 180: under the limit of five words, over that of ten.
     ten = fresh("b", 180)
     ten[90:90] = ten[10:22]

@@ -180,7 +180,8 @@ def misspelt(count, seed):
 def test_variants_equal_plain_ones(documents, monkeypatch, block):
     """Also where nearly every group is cut into blocks."""
     monkeypatch.setattr(spelling, "BLOCK", block)
-    texts = list(misspelt(120, 7))
+    chain = "quietword " * 300 + "quietwore " * 25 + "quietwoe " * 2
+    texts = [*misspelt(120, 7), (1000, chain)]
     expected = plain_variants(texts)
     assert sum(v[3] for v in expected.values()) > 500
     assert any(v[1] not in (w, v[0]) for w, v in expected.items()), "a chain of forms"
