@@ -42,15 +42,16 @@ def _newest(df: DataFrame, build_column: str) -> Column:
     builds = stored_builds(df, build_column)
     if builds is None:
         return df.select(F.max(build_column)).scalar()
-    return builds.select(F.max("build")).scalar()
+    newest = builds.select(F.max("build").cast("string")).first()[0]
+    return F.lit(newest).cast(df.schema[build_column].dataType)
 
 
 def latest_build(df: DataFrame, build_column: str = "build_ts") -> DataFrame:
     """Rows of the newest build; an empty table gives an empty result, and a null build is never
     the newest.
 
-    On a table partitioned by the build the newest one is known from its folders and prunes the
-    scan. On other tables it is a scalar subquery over the build column alone, which reads that
+    On a table partitioned by the build the newest one is known from its folders, by a job over their
+    names alone, and prunes the scan as a literal. On other tables it is a scalar subquery over the build column alone, which reads that
     column of all builds.
     """
     return df.where(F.col(build_column) == _newest(df, build_column))

@@ -126,6 +126,7 @@ def send_fact_sfmc(
             exclusion_list,
             scans.customers(customers),
             scans.shoppers(shoppers),
+            wanted=entries,
         )
     ).withColumn("email_send_mst_date", mst_date("email_send_mst_ts"))
     constants = {
