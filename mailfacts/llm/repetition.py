@@ -132,11 +132,11 @@ def _covered_sql(n: int) -> str:
     return f"""
 grams_{n} AS (
     SELECT doc_id, unnest(list_transform(range(1, len(ws) - {n} + 2), lambda i: array_to_string(ws[i:i + {n} - 1], ' '))) AS gram,
-        unnest(range(1, len(ws) - {n} + 2)) AS at
+        unnest(range(1, len(ws) - {n} + 2)) AS pos
     FROM texts WHERE len(ws) >= {n}),
 covered_{n} AS (
     SELECT doc_id, count(*) AS n_words, sum(chars) AS chars
-    FROM (SELECT DISTINCT doc_id, unnest(range(at, at + {n})) AS i
+    FROM (SELECT DISTINCT doc_id, unnest(range(pos, pos + {n})) AS i
         FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, gram) AS times FROM grams_{n}) WHERE times > 1)
         JOIN words USING (doc_id, i)
     GROUP BY doc_id)"""
