@@ -52,6 +52,11 @@ def test_incremental_flags_are_the_full_ones(spark):
     assert part.exceptAll(full).count() == 0
 
 
+def test_the_stored_fact_is_flagged_on_all_days(spark, connection):
+    df = entry.queries()["response_fact_ocp_sink"](spark, FOLDER)
+    assert check.differences(df, connection, entry.oracle_sql()["flagged_response_fact_ocp"]) == []
+
+
 def test_one_pass_and_two_branch_split_agree(spark):
     queries = entry.queries()
     one, other = (queries[name](spark, FOLDER) for name in ("channel_split", "channel_split_union"))
