@@ -4,20 +4,21 @@
    rank of that token, which is its id. It is an array of short buckets, for a large map would be
    searched from end to end.
 2. A word (a match of the tokenizer's pattern) becomes the array of its bytes' ids. A fold merges, step by
-   step, the neighbours of lowest rank, the leftmost first. In words of more than ``LONG_WORD`` bytes all
-   places of the lowest rank merge in one step where they are many, unless one of these merges
-   would bring up a pair of still lower rank. So both do what single merges in order of rank do,
-   and a long run of equal characters takes few steps.
-3. The ``FREQUENT`` most frequent distinct words of all texts that are no tokens themselves are folded
-   once and become a second literal. Every other word is folded where it stands. The number bounds
-   memory only; the ids are the same with any.
+   step, the neighbours of lowest rank, the leftmost first. A part is one number: the rank of its pair with
+   the next part, its place and its id, so that the least number is the pair to merge. In words of
+   more than ``LONG_WORD`` bytes all places of the lowest rank merge in one step where they are many,
+   unless one of these merges would bring up a pair of still lower rank. So both do what single merges
+   in order of rank do, and a long run of equal characters takes few steps.
+3. The most frequent distinct words of all texts, ``FREQUENT`` at most, are folded once, in tasks. Those that
+   are no tokens become a second literal, the only rows that reach the driver. Every other word is folded
+   where it stands. The number bounds memory only; the ids are the same with any.
 4. Decoding looks up the bytes of each id in a literal array and concatenates the pieces.
 
 All of it is one map over the texts, apart from counting words: no text is shuffled.
 
 Defined results: a null or empty text has no ids and decodes to no bytes. Equal rows give equal results,
 one row each; an empty table gives none. Rows without an id are encoded like others. Very long
-texts and words are encoded whole. Equally frequent words are taken in code-point order. An id that
+texts and words are encoded whole. Equally frequent words are all taken or none. An id that
 is no token decodes to nothing. Extra columns are ignored. A vocabulary must contain every byte and
 fewer than two million tokens. Letters and digits are those of the JVM's Unicode version; white space
 is Unicode's.
@@ -35,9 +36,12 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mailfacts.llm.common import text_or_empty
+from mailfacts.llm.common import stored, text_or_empty
 
 FREQUENT = 100_000
+# Bytes that frequent words have on average at most; with more there are fewer of them.
+FREQUENT_BYTES = 40
+# At most 1,000, for a place must fit into its bits.
 LONG_WORD = 1_000
 # In long words, parts for each place of the lowest rank from which on all places merge at once.
 SPARSE = 32
@@ -46,6 +50,10 @@ PER_BUCKET = 2
 # A pair of ids is one number. NONE is the rank of a pair that is no token.
 WIDTH = 1 << 21
 NONE = (1 << 31) - 1
+# Bits of a part of a short word: 31 of its rank, 10 of its place, 21 of its id.
+PLACE_AT, RANK_AT = 21, 31
+ID_BITS, BELOW_RANK = (1 << PLACE_AT) - 1, (1 << RANK_AT) - 1
+LAST_PLACE = (1 << RANK_AT - PLACE_AT) - 1
 
 
 @dataclass(frozen=True)
@@ -118,7 +126,13 @@ class Ranks:
             key = (a + 1) * WIDTH + b
             buckets[key % self.count] += (key, rank)
         self.table = _literal(buckets, "array<array<bigint>>")
-        self.bytes = _literal([vocabulary.ranks[bytes([i])] for i in range(256)], "array<int>")
+        single = [vocabulary.ranks[bytes([i])] for i in range(256)]
+        self.bytes = _literal(single, "array<int>")
+        # Of each two bytes, the part that the first is at place 0, and of each last byte.
+        starts = [
+            vocabulary.ranks.get(bytes([a, b]), NONE) << RANK_AT | single[a] for a in range(256) for b in range(256)
+        ]
+        self.starts = _literal(starts + [NONE << RANK_AT | i for i in single], "array<bigint>")
         self.edge = max(vocabulary.ranks.values()) + 1
 
     def within(self, table: Column) -> Callable[[Column, Column], Column]:
@@ -209,61 +223,136 @@ def merge_many(state: Column, lowest: Column, rank: Rank) -> Column:
     return F.when(places * SPARSE >= F.size(ranks), merge_all(state, lowest, rank)).otherwise(one)
 
 
-def fold_merges(word: Column, byte_ids: Column, edge: int, rank: Rank) -> Column:
-    """The ids of a word that is no token itself."""
-    # Each byte as a character of the same code.
-    single = F.split(F.decode(F.encode(word, "utf-8"), "iso-8859-1"), "")
-    ids = F.transform(F.filter(single, lambda c: c != ""), lambda c: F.get(byte_ids, F.ascii(c)))
+def _single(word: Column) -> Column:
+    """Each byte as a character of the same code."""
+    return F.filter(F.split(F.decode(word.cast("binary"), "iso-8859-1"), ""), lambda c: c != "")
+
+
+def _steps(word: Column) -> Column:
+    return F.sequence(F.lit(2), F.greatest(F.octet_length(word), F.lit(2)))
+
+
+def merge_least(parts: Column, least: Column, rank: Rank) -> Column:
+    """The part of least number becomes one with the next; only its rank and that before are new."""
+    lowest = F.shiftright(least, RANK_AT)
+
+    def ranked(a: Column, b: Column) -> Column:
+        return F.shiftleft(rank(a, b).cast("bigint"), RANK_AT)
+
+    def merged(i: Column) -> Column:  # i: from 1; an edge precedes and follows
+        before, following, after = F.get(parts, i - 2), F.get(parts, i), F.get(parts, i + 1)
+        rest = F.array_remove(F.array_remove(F.array_remove(parts, following), least), before)
+        left = ranked(before.bitwiseAND(ID_BITS), lowest).bitwiseOR(before.bitwiseAND(BELOW_RANK))
+        place = least.bitwiseAND(LAST_PLACE << PLACE_AT)
+        new = ranked(lowest, after.bitwiseAND(ID_BITS)).bitwiseOR(place).bitwiseOR(lowest)
+        return F.array_insert(F.array_insert(rest, i - 1, left), i, new)
+
+    return _let(F.array_position(parts, least).cast("int"), merged)
+
+
+def fold_short(word: Column, starts: Column, edge: int, rank: Rank) -> Column:
+    """The ids of a word of ``LONG_WORD`` bytes at most."""
+    none = NONE << RANK_AT
+    ends = [F.array(F.lit(none | place << PLACE_AT | edge)) for place in (0, LAST_PLACE)]
+
+    def parts(codes: Column) -> Column:
+        def part(code: Column, i: Column) -> Column:
+            following = F.coalesce(code * 256 + F.get(codes, i + 1), code + 65_536)
+            return F.get(starts, following).bitwiseOR(F.shiftleft((i + 1).cast("bigint"), PLACE_AT))
+
+        return F.concat(ends[0], F.transform(codes, part), ends[1])
+
+    return F.aggregate(
+        _steps(word),
+        _let(F.transform(_single(word), F.ascii), parts),
+        lambda s, _: _let(F.array_min(s), lambda least: F.when(least < none, merge_least(s, least, rank)).otherwise(s)),
+        lambda s: F.transform(F.slice(s, 2, F.size(s) - 2), lambda part: part.bitwiseAND(ID_BITS).cast("int")),
+    )
+
+
+def fold_long(word: Column, byte_ids: Column, edge: int, rank: Rank) -> Column:
+    """The ids of a longer word."""
+    ids = F.transform(_single(word), lambda c: F.get(byte_ids, F.ascii(c)))
     ends = F.array(F.lit(edge))
-    end = F.struct(F.array().cast("array<int>").alias("parts"), F.array().cast("array<int>").alias("ranks"))
+    none = F.array().cast("array<int>")
+
+    def one_step(s: Column, lowest: Column) -> Column:
+        return F.when(lowest < NONE, merge_many(s, lowest, rank)).otherwise(
+            F.struct(s["parts"].alias("parts"), none.alias("ranks"))
+        )
+
+    return F.aggregate(
+        _steps(word),
+        _let(F.concat(ends, ids, ends), lambda p: _state(p, rank)),
+        lambda s, _: _let(F.coalesce(F.array_min(s["ranks"]), F.lit(NONE)), lambda lowest: one_step(s, lowest)),
+        lambda s: F.slice(s["parts"], 2, F.size(s["parts"]) - 2),
+    )
+
+
+def _folding(ranks: Ranks, body: Callable[[Callable[[Column], Column]], Column]) -> Column:
+    """``body`` of the function that gives the ids of a word by merging its bytes."""
 
-    def fold(step: Callable[[Column, Column, Rank], Column]) -> Column:
-        def one_step(s: Column, lowest: Column) -> Column:
-            return F.when(lowest < NONE, step(s, lowest, rank)).otherwise(
-                F.struct(s["parts"].alias("parts"), end["ranks"].alias("ranks"))
+    def bound(table: Column, starts: Column, byte_ids: Column) -> Column:
+        rank = ranks.within(table)
+
+        def fold(word: Column) -> Column:
+            short = fold_short(word, starts, ranks.edge, rank)
+            return F.when(F.octet_length(word) <= LONG_WORD, short).otherwise(
+                fold_long(word, byte_ids, ranks.edge, rank)
             )
 
-        return F.aggregate(
-            F.sequence(F.lit(2), F.greatest(F.octet_length(word), F.lit(2))),
-            _let(F.concat(ends, ids, ends), lambda p: _state(p, rank)),
-            lambda s, _: _let(F.coalesce(F.array_min(s["ranks"]), F.lit(NONE)), lambda lowest: one_step(s, lowest)),
-            lambda s: F.slice(s["parts"], 2, F.size(s["parts"]) - 2),
-        )
+        return body(fold)
 
-    return F.when(F.octet_length(word) <= LONG_WORD, fold(merge_first)).otherwise(fold(merge_many))
+    return _let(ranks.table, lambda t: _let(ranks.starts, lambda s: _let(ranks.bytes, lambda b: bound(t, s, b))))
 
 
-def frequent_words(docs: DataFrame, vocabulary: Vocabulary, frequent: int = FREQUENT) -> DataFrame:
-    """(word, ids): the most frequent distinct words of ``docs`` that are no tokens, each folded once."""
-    tokens, ranks = Words(vocabulary.whole_words), Ranks(vocabulary)
-    words = words_of(text_or_empty(), vocabulary.pattern)
-    other = _let(tokens.table, lambda t: F.filter(words, lambda w: tokens.within(t)(w).isNull()))
-    return (
-        docs.select(F.explode(other).alias("word"))
-        .groupBy("word").count()
-        .where("count > 1").orderBy(F.desc("count"), "word").limit(frequent)
-        .select("word", _folding(ranks, lambda fold: fold(F.col("word"))).alias("ids"))
-    )
+def counted_words(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """(word, count): the distinct words that occur more than once."""
+    words = docs.select(F.explode(words_of(text_or_empty(), vocabulary.pattern)).alias("word"))
+    return words.groupBy("word").count().where("count > 1")
 
 
-def _folding(ranks: Ranks, body: Callable[[Callable[[Column], Column]], Column]) -> Column:
-    return _let(
-        ranks.table,
-        lambda t: _let(ranks.bytes, lambda b: body(lambda w: fold_merges(w, b, ranks.edge, ranks.within(t)))),
+def least_count(counted: DataFrame, frequent: int) -> int | None:
+    """The least count from which on words are frequent, or None if none are."""
+    sizes = (
+        counted.groupBy("count")
+        .agg(F.count("*").alias("words"), F.sum(F.octet_length("word")).alias("bytes"))
+        .orderBy(F.desc("count")).limit(frequent)
+    )
+    least, words, size = None, 0, 0
+    for row in sizes.collect():
+        words, size = words + row["words"], size + row["bytes"]
+        if words > frequent or size > frequent * FREQUENT_BYTES:
+            break
+        least = row["count"]
+    return least
+
+
+def frequent_words(docs: DataFrame, vocabulary: Vocabulary, ranks: Ranks, frequent: int = FREQUENT) -> dict[str, list]:
+    """The most frequent distinct words of ``docs`` that are no tokens, with their ids."""
+    counted = stored(counted_words(docs, vocabulary), "words")
+    least = least_count(counted, frequent)
+    if least is None:
+        return {}
+    words = counted.where(F.col("count") >= least).select(
+        "word", _folding(ranks, lambda fold: fold(F.col("word"))).alias("ids")
     )
+    # Not filtered by Spark, which would fold twice for it.
+    return {row["word"]: row["ids"] for row in words.collect() if len(row["ids"]) > 1}
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, frequent: int = FREQUENT) -> DataFrame:
     """(doc_id, ids): the token ids of each text of ``docs`` (doc_id, text)."""
+    ranks = Ranks(vocabulary)
     known = dict(vocabulary.whole_words)
     if frequent:
-        known |= {row["word"]: row["ids"] for row in frequent_words(docs, vocabulary, frequent).collect()}
+        known |= frequent_words(docs, vocabulary, ranks, frequent)
     ready = Words(known)
     words = words_of(text_or_empty(), vocabulary.pattern)
     ids = _let(
         ready.table,
         lambda t: _folding(
-            Ranks(vocabulary),
+            ranks,
             lambda fold: F.transform(words, lambda w: F.coalesce(ready.within(t)(w), fold(w))),
         ),
     )
