@@ -1,6 +1,6 @@
 """Operator 13: byte-level BPE encoding and decoding with Spark's higher-order functions.
 
-1. The rank map is a literal of the plan: of each pair of tokens that together are a token, the
+1. The rank map is a constant of the plan: of each pair of tokens that together are a token, the
    rank of that token, which is its id. It is an array of short buckets, for a large map would be
    searched from end to end.
 2. A word (a match of the tokenizer's pattern) becomes the array of its bytes' ids. A fold merges, step by
@@ -10,7 +10,7 @@
    unless one of these merges would bring up a pair of still lower rank. So both do what single merges
    in order of rank do, and a long run of equal characters takes few steps.
 3. The most frequent distinct words of all texts, ``FREQUENT`` at most, are folded once, in tasks. Those that
-   are no tokens become a second literal, the only rows that reach the driver. Every other word is folded
+   are no tokens become a second constant, the only rows that reach the driver. Every other word is folded
    where it stands. The number bounds memory only; the ids are the same with any.
 4. Decoding looks up the bytes of each id in a literal array and concatenates the pieces.
 
@@ -33,7 +33,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mailfacts.llm.common import stored, text_or_empty
@@ -45,7 +45,7 @@ FREQUENT_BYTES = 40
 LONG_WORD = 1_000
 # In long words, parts for each place of the lowest rank from which on all places merge at once.
 SPARSE = 32
-# Entries of a literal's bucket, on average.
+# Entries of a constant's bucket, on average.
 PER_BUCKET = 2
 # A pair of ids is one number. NONE is the rank of a pair that is no token.
 WIDTH = 1 << 21
@@ -98,16 +98,26 @@ def _literal(value: object, kind: str) -> Column:
     return F.from_json(F.lit(json.dumps(value, separators=(",", ":"))), kind)
 
 
+def _large(value: object, kind: str) -> Column:
+    """A large constant: a subquery that is run once before the query. Unlike a literal's, its value is one
+    block of memory, which is not spelled out in plans; the driver keeps those of every query, and tasks
+    would build the value's objects one by one. Subqueries must not stand in higher-order functions:
+    they are selected beside the text, each used once, and Spark puts them in place."""
+    text = json.dumps(value, separators=(",", ":"))
+    row = SparkSession.getActiveSession().createDataFrame([(text,)], "value string")
+    return row.select(F.from_json("value", kind)).scalar()
+
+
 class Words:
-    """A constant map from words to ids. ``table`` is its literal, to be bound once by ``_let``: a plan
-    that held it at every use would be folded and compared for minutes."""
+    """A constant map from words to ids. ``table`` is to be bound once by ``_let``: a plan that held it at
+    every use would be compared for minutes."""
 
     def __init__(self, entries: dict[str, list[int]]):
         self.count = max(1, len(entries) // PER_BUCKET)
         buckets: list[dict] = [{} for _ in range(self.count)]
         for key, value in entries.items():
             buckets[zlib.crc32(key.encode()) % self.count][key] = value
-        self.table = _literal(buckets, "array<map<string, array<int>>>")
+        self.table = _large(buckets, "array<map<string, array<int>>>")
 
     def within(self, table: Column) -> Callable[[Column], Column]:
         """A function of a word: its ids, or null."""
@@ -125,14 +135,14 @@ class Ranks:
         for (a, b), rank in vocabulary.pairs.items():
             key = (a + 1) * WIDTH + b
             buckets[key % self.count] += (key, rank)
-        self.table = _literal(buckets, "array<array<bigint>>")
+        self.table = _large(buckets, "array<array<bigint>>")
         single = [vocabulary.ranks[bytes([i])] for i in range(256)]
         self.bytes = _literal(single, "array<int>")
         # Of each two bytes, the part that the first is at place 0, and of each last byte.
         starts = [
             vocabulary.ranks.get(bytes([a, b]), NONE) << RANK_AT | single[a] for a in range(256) for b in range(256)
         ]
-        self.starts = _literal(starts + [NONE << RANK_AT | i for i in single], "array<bigint>")
+        self.starts = _large(starts + [NONE << RANK_AT | i for i in single], "array<bigint>")
         self.edge = max(vocabulary.ranks.values()) + 1
 
     def within(self, table: Column) -> Callable[[Column, Column], Column]:
@@ -290,7 +300,8 @@ def fold_long(word: Column, byte_ids: Column, edge: int, rank: Rank) -> Column:
 
 
 def _folding(ranks: Ranks, body: Callable[[Callable[[Column], Column]], Column]) -> Column:
-    """``body`` of the function that gives the ids of a word by merging its bytes."""
+    """``body`` of the function that gives the ids of a word by merging its bytes, over rows that hold the
+    constants of ``ranks`` beside them."""
 
     def bound(table: Column, starts: Column, byte_ids: Column) -> Column:
         rank = ranks.within(table)
@@ -303,7 +314,8 @@ def _folding(ranks: Ranks, body: Callable[[Callable[[Column], Column]], Column])
 
         return body(fold)
 
-    return _let(ranks.table, lambda t: _let(ranks.starts, lambda s: _let(ranks.bytes, lambda b: bound(t, s, b))))
+    table, starts = F.col("ranks"), F.col("starts")
+    return _let(table, lambda t: _let(starts, lambda s: _let(ranks.bytes, lambda b: bound(t, s, b))))
 
 
 def counted_words(docs: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -334,8 +346,10 @@ def frequent_words(docs: DataFrame, vocabulary: Vocabulary, ranks: Ranks, freque
     least = least_count(counted, frequent)
     if least is None:
         return {}
-    words = counted.where(F.col("count") >= least).select(
-        "word", _folding(ranks, lambda fold: fold(F.col("word"))).alias("ids")
+    words = (
+        counted.where(F.col("count") >= least)
+        .select("word", ranks.table.alias("ranks"), ranks.starts.alias("starts"))
+        .select("word", _folding(ranks, lambda fold: fold(F.col("word"))).alias("ids"))
     )
     # Not filtered by Spark, which would fold twice for it.
     return {row["word"]: row["ids"] for row in words.collect() if len(row["ids"]) > 1}
@@ -348,15 +362,21 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, frequent: int = FREQUENT) ->
     if frequent:
         known |= frequent_words(docs, vocabulary, ranks, frequent)
     ready = Words(known)
-    words = words_of(text_or_empty(), vocabulary.pattern)
+    words = words_of(F.col("text"), vocabulary.pattern)
     ids = _let(
-        ready.table,
+        F.col("words"),
         lambda t: _folding(
             ranks,
             lambda fold: F.transform(words, lambda w: F.coalesce(ready.within(t)(w), fold(w))),
         ),
     )
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.flatten(ids).alias("ids"))
+    return docs.select(
+        docs["doc_id"].cast("long").alias("doc_id"),
+        text_or_empty().alias("text"),
+        ready.table.alias("words"),
+        ranks.table.alias("ranks"),
+        ranks.starts.alias("starts"),
+    ).select("doc_id", F.flatten(ids).alias("ids"))
 
 
 def _by_id(vocabulary: Vocabulary, piece: Callable[[int, bytes], str]) -> Column:

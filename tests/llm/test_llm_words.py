@@ -276,6 +276,22 @@ def test_merges_that_bring_up_a_lower_rank(spark):
         assert row.ids == plain.encode_ordinary(text)
 
 
+def test_large_constants_are_not_spelled_out(spark, tokenizer):
+    """The driver keeps the plans of all queries: one must not hold a map's entries, nor rows a map."""
+    vocabulary, _ = tokenizer
+    df = bpe.encode(spark.createDataFrame([(1, "a text"), (2, "a text")], EMPTY), vocabulary)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert len(plan) < 100_000
+    assert not any(f"AS {name}#" in plan for name in ("words", "ranks", "starts"))
+
+
+def test_frequent_words_are_bounded(spark):
+    counted = spark.createDataFrame([("a", 5), ("b", 4), ("c", 4), ("d" * 100, 2)], "word string, count long")
+    assert [bpe.least_count(counted, n) for n in (1, 2, 3, 4)] == [5, 5, 4, 2]
+    assert bpe.least_count(counted.where("count = 4"), 1) is None
+    assert bpe.least_count(counted.where("count = 2"), 1) is None
+
+
 def test_byte_pairs_edges(spark, tokenizer, clashing):
     vocabulary, plain = tokenizer
     texts = [(r.doc_id, r.text) for r in clashing.where("doc_id is null or doc_id not in (6, 8)").collect()]
