@@ -9,9 +9,10 @@
    more than ``LONG_WORD`` bytes all places of the lowest rank merge in one step where they are many,
    unless one of these merges would bring up a pair of still lower rank. So both do what single merges
    in order of rank do, and a long run of equal characters takes few steps.
-3. The most frequent distinct words of all texts, ``FREQUENT`` at most, are folded once, in tasks. Those that
-   are no tokens become a second constant, the only rows that reach the driver. Every other word is folded
-   where it stands. The number bounds memory only; the ids are the same with any.
+3. The most frequent distinct words of all texts, ``FREQUENT`` at most, are folded once, in tasks, unless they
+   are tokens. With the tokens they become a second constant, which tasks put together too: it reaches the driver
+   as one block of at most some 60 MB. Every other word is folded where it stands. The number bounds memory
+   only; the ids are the same with any.
 4. Decoding looks up the bytes of each id in a literal array and concatenates the pieces.
 
 All of it is one map over the texts, apart from counting words: no text is shuffled.
@@ -28,7 +29,6 @@ from __future__ import annotations
 
 import base64
 import json
-import zlib
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cached_property
@@ -38,22 +38,24 @@ from pyspark.sql import functions as F
 
 from mailfacts.llm.common import stored, text_or_empty
 
-FREQUENT = 100_000
+FREQUENT = 500_000
 # Bytes that frequent words have on average at most; with more there are fewer of them.
 FREQUENT_BYTES = 40
 # At most 1,000, for a place must fit into its bits.
 LONG_WORD = 1_000
 # In long words, parts for each place of the lowest rank from which on all places merge at once.
 SPARSE = 32
-# Entries of a constant's bucket, on average.
+# Entries of a constant's bucket, on average, and buckets of the words that are collected at once.
 PER_BUCKET = 2
-# A pair of ids is one number. NONE is the rank of a pair that is no token.
+PER_GROUP = 4_096
+# A pair of tokens is one number. NONE is the rank of a pair that is no token.
 WIDTH = 1 << 21
 NONE = (1 << 31) - 1
-# Bits of a part of a short word: 31 of its rank, 10 of its place, 21 of its id.
+# Bits of a part of a short word: 31 of its rank, 10 of its place, 21 of its token's number.
 PLACE_AT, RANK_AT = 21, 31
-ID_BITS, BELOW_RANK = (1 << PLACE_AT) - 1, (1 << RANK_AT) - 1
+NUMBER_BITS, BELOW_RANK = (1 << PLACE_AT) - 1, (1 << RANK_AT) - 1
 LAST_PLACE = (1 << RANK_AT - PLACE_AT) - 1
+NO_PAIR = NONE << RANK_AT
 
 
 @dataclass(frozen=True)
@@ -109,54 +111,64 @@ def _large(value: object, kind: str) -> Column:
 
 
 class Words:
-    """A constant map from words to ids. ``table`` is to be bound once by ``_let``: a plan that held it at
-    every use would be compared for minutes."""
+    """A constant map from words to ids, from stored ``entries`` (word, ids) of different words. ``table`` is to be
+    bound once by ``_let``: a plan that held it at every use would be compared for minutes."""
+
+    def __init__(self, entries: DataFrame):
+        self.count = max(1, entries.count() // PER_BUCKET)
+        entry = F.struct("word", "ids")
+        kind = entries.select(entry.alias("entry")).schema["entry"].dataType
+        every = entries.sparkSession.range(self.count).select(
+            F.col("id").cast("int").alias("bucket"), F.lit(None).cast(kind).alias("entry")
+        )
+        buckets = (
+            entries.select(self._bucket(F.col("word")).alias("bucket"), entry.alias("entry")).unionByName(every)
+            .groupBy("bucket").agg(F.collect_list("entry").alias("entries"))
+        )
+        groups = buckets.groupBy(F.floor(F.col("bucket") / PER_GROUP).alias("group")).agg(
+            F.sort_array(F.collect_list(F.struct("bucket", "entries"))).alias("buckets")
+        )
+        ordered = F.flatten(F.sort_array(F.collect_list(F.struct("group", "buckets")))["buckets"])
+        self.table = groups.agg(F.transform(ordered, lambda b: F.map_from_entries(b["entries"]))).scalar()
 
-    def __init__(self, entries: dict[str, list[int]]):
-        self.count = max(1, len(entries) // PER_BUCKET)
-        buckets: list[dict] = [{} for _ in range(self.count)]
-        for key, value in entries.items():
-            buckets[zlib.crc32(key.encode()) % self.count][key] = value
-        self.table = _large(buckets, "array<map<string, array<int>>>")
+    def _bucket(self, word: Column) -> Column:
+        return F.pmod(F.hash(word), F.lit(self.count))
 
     def within(self, table: Column) -> Callable[[Column], Column]:
         """A function of a word: its ids, or null."""
-        return lambda word: F.element_at(table, (F.crc32(word.cast("binary")) % self.count + 1).cast("int"))[word]
+        return lambda word: F.get(table, self._bucket(word))[word]
 
 
 class Ranks:
-    """The constant rank map, with the ids of the single bytes. Buckets are NONE and then keys, each
-    followed by its rank."""
+    """The constant rank map, with the numbers of the single bytes. A token's number is its id and one, which
+    is also the rank of the pair that it is made of. Buckets are the rank NONE and then keys, each followed
+    by its rank, all ranks in their place within a part; no key equals one of those, as no number is 0."""
 
     def __init__(self, vocabulary: Vocabulary):
-        self.size = len(vocabulary.ranks)
         self.count = max(1, len(vocabulary.pairs) // PER_BUCKET)
-        buckets: list[list[int]] = [[NONE] for _ in range(self.count)]
+        buckets: list[list[int]] = [[NO_PAIR] for _ in range(self.count)]
         for (a, b), rank in vocabulary.pairs.items():
-            key = (a + 1) * WIDTH + b
-            buckets[key % self.count] += (key, rank)
+            key = (a + 1) * WIDTH + b + 1
+            buckets[key % self.count] += (key, rank + 1 << RANK_AT)
         self.table = _large(buckets, "array<array<bigint>>")
-        single = [vocabulary.ranks[bytes([i])] for i in range(256)]
-        self.bytes = _literal(single, "array<int>")
+        single = [vocabulary.ranks[bytes([i])] + 1 for i in range(256)]
+        self.bytes = _literal(single, "array<bigint>")
         # Of each two bytes, the part that the first is at place 0, and of each last byte.
-        starts = [
-            vocabulary.ranks.get(bytes([a, b]), NONE) << RANK_AT | single[a] for a in range(256) for b in range(256)
-        ]
-        self.starts = _large(starts + [NONE << RANK_AT | i for i in single], "array<bigint>")
-        self.edge = max(vocabulary.ranks.values()) + 1
+        pairs = [vocabulary.ranks.get(bytes([a, b])) for a in range(256) for b in range(256)]
+        ranks = [NO_PAIR if rank is None else rank + 1 << RANK_AT for rank in pairs]
+        starts = [rank | single[i >> 8] for i, rank in enumerate(ranks)]
+        self.starts = _large(starts + [NO_PAIR | i for i in single], "array<bigint>")
+        self.edge = max(vocabulary.ranks.values()) + 2
 
     def within(self, table: Column) -> Callable[[Column, Column], Column]:
-        """A function of two ids: the rank of their pair."""
+        """A function of two numbers: the rank of their pair, in its place within a part."""
 
         def rank(a: Column, b: Column) -> Column:
-            key = (a.cast("bigint") + 1) * WIDTH + b
-            return _let(
-                key,
-                lambda k: _let(
-                    F.get(table, (k % self.count).cast("int")),
-                    lambda bucket: F.get(bucket, F.array_position(bucket, k).cast("int")).cast("int"),
-                ),
-            )
+            def found(key: Column) -> Column:
+                bucket = F.get(table, key % self.count)
+                return F.get(bucket, F.array_position(bucket, key))
+
+            return _let(a * WIDTH + b, found)
 
         return rank
 
@@ -234,8 +246,8 @@ def merge_many(state: Column, lowest: Column, rank: Rank) -> Column:
 
 
 def _single(word: Column) -> Column:
-    """Each byte as a character of the same code."""
-    return F.filter(F.split(F.decode(word.cast("binary"), "iso-8859-1"), ""), lambda c: c != "")
+    """Each byte as a character of the same code; of an empty word, one empty string."""
+    return F.split(F.decode(word.cast("binary"), "iso-8859-1"), "")
 
 
 def _steps(word: Column) -> Column:
@@ -243,59 +255,65 @@ def _steps(word: Column) -> Column:
 
 
 def merge_least(parts: Column, least: Column, rank: Rank) -> Column:
-    """The part of least number becomes one with the next; only its rank and that before are new."""
-    lowest = F.shiftright(least, RANK_AT)
+    """The part of least number becomes one with the next; only its rank and that before are new. What is
+    computed here is written for few expressions, each of which costs a call."""
 
-    def ranked(a: Column, b: Column) -> Column:
-        return F.shiftleft(rank(a, b).cast("bigint"), RANK_AT)
-
-    def merged(i: Column) -> Column:  # i: from 1; an edge precedes and follows
+    def merged(i: Column, number: Column) -> Column:  # i: from 1; an edge precedes and follows
         before, following, after = F.get(parts, i - 2), F.get(parts, i), F.get(parts, i + 1)
         rest = F.array_remove(F.array_remove(F.array_remove(parts, following), least), before)
-        left = ranked(before.bitwiseAND(ID_BITS), lowest).bitwiseOR(before.bitwiseAND(BELOW_RANK))
+        left = rank(before.bitwiseAND(NUMBER_BITS), number).bitwiseOR(before.bitwiseAND(BELOW_RANK))
         place = least.bitwiseAND(LAST_PLACE << PLACE_AT)
-        new = ranked(lowest, after.bitwiseAND(ID_BITS)).bitwiseOR(place).bitwiseOR(lowest)
+        new = rank(number, after.bitwiseAND(NUMBER_BITS)).bitwiseOR(place).bitwiseOR(number)
         return F.array_insert(F.array_insert(rest, i - 1, left), i, new)
 
-    return _let(F.array_position(parts, least).cast("int"), merged)
+    return _let(
+        F.array_position(parts, least).cast("int"),
+        lambda i: _let(F.shiftright(least, RANK_AT), lambda number: merged(i, number)),
+    )
 
 
 def fold_short(word: Column, starts: Column, edge: int, rank: Rank) -> Column:
     """The ids of a word of ``LONG_WORD`` bytes at most."""
-    none = NONE << RANK_AT
-    ends = [F.array(F.lit(none | place << PLACE_AT | edge)) for place in (0, LAST_PLACE)]
+    ends = [F.array(F.lit(NO_PAIR | place << PLACE_AT | edge)) for place in (0, LAST_PLACE)]
+    places = F.array(*(F.lit(i + 1 << PLACE_AT) for i in range(LONG_WORD)))
 
     def parts(codes: Column) -> Column:
         def part(code: Column, i: Column) -> Column:
             following = F.coalesce(code * 256 + F.get(codes, i + 1), code + 65_536)
-            return F.get(starts, following).bitwiseOR(F.shiftleft((i + 1).cast("bigint"), PLACE_AT))
+            return F.get(starts, following).bitwiseOR(F.get(places, i))
 
         return F.concat(ends[0], F.transform(codes, part), ends[1])
 
     return F.aggregate(
         _steps(word),
         _let(F.transform(_single(word), F.ascii), parts),
-        lambda s, _: _let(F.array_min(s), lambda least: F.when(least < none, merge_least(s, least, rank)).otherwise(s)),
-        lambda s: F.transform(F.slice(s, 2, F.size(s) - 2), lambda part: part.bitwiseAND(ID_BITS).cast("int")),
+        lambda s, _: _let(F.array_min(s), lambda x: F.when(x < NO_PAIR, merge_least(s, x, rank)).otherwise(s)),
+        lambda s: F.transform(F.slice(s, 2, F.size(s) - 2), lambda x: (x.bitwiseAND(NUMBER_BITS) - 1).cast("int")),
     )
 
 
-def fold_long(word: Column, byte_ids: Column, edge: int, rank: Rank) -> Column:
-    """The ids of a longer word."""
-    ids = F.transform(_single(word), lambda c: F.get(byte_ids, F.ascii(c)))
-    ends = F.array(F.lit(edge))
-    none = F.array().cast("array<int>")
+def fold_long(word: Column, bytes_: Column, edge: int, rank: Rank) -> Column:
+    """The ids of a longer word. Its parts are numbers of tokens only, its ranks stand beside them."""
+
+    def plain_rank(a: Column, b: Column) -> Column:
+        return F.shiftright(rank(a, b), RANK_AT)
+
+    numbers = F.transform(_single(word), lambda c: F.get(bytes_, F.ascii(c)))
+    ends = F.array(F.lit(edge).cast("bigint"))
+    none = F.array().cast("array<bigint>")
 
     def one_step(s: Column, lowest: Column) -> Column:
-        return F.when(lowest < NONE, merge_many(s, lowest, rank)).otherwise(
+        return F.when(lowest < NONE, merge_many(s, lowest, plain_rank)).otherwise(
             F.struct(s["parts"].alias("parts"), none.alias("ranks"))
         )
 
     return F.aggregate(
         _steps(word),
-        _let(F.concat(ends, ids, ends), lambda p: _state(p, rank)),
-        lambda s, _: _let(F.coalesce(F.array_min(s["ranks"]), F.lit(NONE)), lambda lowest: one_step(s, lowest)),
-        lambda s: F.slice(s["parts"], 2, F.size(s["parts"]) - 2),
+        _let(F.concat(ends, numbers, ends), lambda p: _state(p, plain_rank)),
+        lambda s, _: _let(
+            F.coalesce(F.array_min(s["ranks"]), F.lit(NONE).cast("bigint")), lambda lowest: one_step(s, lowest)
+        ),
+        lambda s: F.transform(F.slice(s["parts"], 2, F.size(s["parts"]) - 2), lambda part: (part - 1).cast("int")),
     )
 
 
@@ -303,14 +321,14 @@ def _folding(ranks: Ranks, body: Callable[[Callable[[Column], Column]], Column])
     """``body`` of the function that gives the ids of a word by merging its bytes, over rows that hold the
     constants of ``ranks`` beside them."""
 
-    def bound(table: Column, starts: Column, byte_ids: Column) -> Column:
+    def bound(table: Column, starts: Column, bytes_: Column) -> Column:
         rank = ranks.within(table)
 
         def fold(word: Column) -> Column:
             short = fold_short(word, starts, ranks.edge, rank)
-            return F.when(F.octet_length(word) <= LONG_WORD, short).otherwise(
-                fold_long(word, byte_ids, ranks.edge, rank)
-            )
+            long = fold_long(word, bytes_, ranks.edge, rank)
+            none = F.array().cast("array<int>")
+            return F.when(word == "", none).when(F.octet_length(word) <= LONG_WORD, short).otherwise(long)
 
         return body(fold)
 
@@ -340,27 +358,28 @@ def least_count(counted: DataFrame, frequent: int) -> int | None:
     return least
 
 
-def frequent_words(docs: DataFrame, vocabulary: Vocabulary, ranks: Ranks, frequent: int = FREQUENT) -> dict[str, list]:
-    """The most frequent distinct words of ``docs`` that are no tokens, with their ids."""
+def frequent_words(
+    docs: DataFrame, vocabulary: Vocabulary, ranks: Ranks, frequent: int, tokens: DataFrame
+) -> DataFrame:
+    """(word, ids): the most frequent distinct words of ``docs`` that are not among ``tokens``, stored."""
     counted = stored(counted_words(docs, vocabulary), "words")
     least = least_count(counted, frequent)
-    if least is None:
-        return {}
-    words = (
-        counted.where(F.col("count") >= least)
+    chosen = counted.where(F.col("count") >= least) if least is not None else counted.limit(0)
+    folded = (
+        chosen.join(tokens, "word", "left_anti")
         .select("word", ranks.table.alias("ranks"), ranks.starts.alias("starts"))
         .select("word", _folding(ranks, lambda fold: fold(F.col("word"))).alias("ids"))
     )
-    # Not filtered by Spark, which would fold twice for it.
-    return {row["word"]: row["ids"] for row in words.collect() if len(row["ids"]) > 1}
+    return stored(folded, "folded")
 
 
 def encode(docs: DataFrame, vocabulary: Vocabulary, frequent: int = FREQUENT) -> DataFrame:
     """(doc_id, ids): the token ids of each text of ``docs`` (doc_id, text)."""
     ranks = Ranks(vocabulary)
-    known = dict(vocabulary.whole_words)
+    tokens = docs.sparkSession.createDataFrame(list(vocabulary.whole_words.items()), "word string, ids array<int>")
+    known = stored(tokens, "tokens")
     if frequent:
-        known |= frequent_words(docs, vocabulary, ranks, frequent)
+        known = known.unionByName(frequent_words(docs, vocabulary, ranks, frequent, known.select("word")))
     ready = Words(known)
     words = words_of(F.col("text"), vocabulary.pattern)
     ids = _let(

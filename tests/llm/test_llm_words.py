@@ -292,6 +292,17 @@ def test_frequent_words_are_bounded(spark):
     assert bpe.least_count(counted.where("count = 2"), 1) is None
 
 
+def test_words_are_put_together_in_tasks(spark, monkeypatch):
+    """The constant of words holds each of them, over many groups, and comes from rows that Spark holds."""
+    monkeypatch.setattr(bpe, "PER_GROUP", 16)
+    ids = F.array(F.col("id").cast("int")).alias("ids")
+    entries = spark.range(2_000).select(F.concat(F.lit("w"), "id").alias("word"), ids)
+    ready = bpe.Words(entries)
+    rows = spark.range(2_500).select(F.concat(F.lit("w"), "id").alias("word"), ready.table.alias("words"))
+    found = rows.select("word", bpe._let(F.col("words"), lambda t: ready.within(t)(F.col("word"))).alias("ids"))
+    assert {r.word: r.ids for r in found.collect()} == {f"w{i}": [i] if i < 2_000 else None for i in range(2_500)}
+
+
 def test_byte_pairs_edges(spark, tokenizer, clashing):
     vocabulary, plain = tokenizer
     texts = [(r.doc_id, r.text) for r in clashing.where("doc_id is null or doc_id not in (6, 8)").collect()]
