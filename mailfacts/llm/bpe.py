@@ -11,7 +11,7 @@
    in order of rank do, and a long run of equal characters takes few steps.
 3. The most frequent distinct words of all texts, ``FREQUENT`` at most, are folded once, in tasks, unless they
    are tokens. With the tokens they become a second constant, which tasks put together too: it reaches the driver
-   as one block of at most some 60 MB. Every other word is folded where it stands. The number bounds memory
+   as one block. Every other word is folded where it stands. The number bounds memory
    only; the ids are the same with any.
 4. Decoding looks up the bytes of each id in a literal array and concatenates the pieces.
 
@@ -41,6 +41,8 @@ from mailfacts.llm.common import stored, text_or_empty
 FREQUENT = 500_000
 # Bytes that frequent words have on average at most; with more there are fewer of them.
 FREQUENT_BYTES = 40
+# Bytes that they have together at most, so that the driver's memory is bounded with long words too.
+FREQUENT_TOTAL = 6_000_000
 # At most 1,000, for a place must fit into its bits.
 LONG_WORD = 1_000
 # In long words, parts for each place of the lowest rank from which on all places merge at once.
@@ -352,7 +354,7 @@ def least_count(counted: DataFrame, frequent: int) -> int | None:
     least, words, size = None, 0, 0
     for row in sizes.collect():
         words, size = words + row["words"], size + row["bytes"]
-        if words > frequent or size > frequent * FREQUENT_BYTES:
+        if words > frequent or size > min(frequent * FREQUENT_BYTES, FREQUENT_TOTAL):
             break
         least = row["count"]
     return least

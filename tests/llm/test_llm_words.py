@@ -292,6 +292,13 @@ def test_frequent_words_are_bounded(spark):
     assert bpe.least_count(counted.where("count = 2"), 1) is None
 
 
+def test_frequent_words_are_bounded_together(spark, monkeypatch):
+    counted = spark.createDataFrame([("a" * 9, 5), ("b" * 9, 4), ("c" * 9, 3)], "word string, count long")
+    assert bpe.least_count(counted, 3) == 3
+    monkeypatch.setattr(bpe, "FREQUENT_TOTAL", 20)
+    assert bpe.least_count(counted, 3) == 4
+
+
 def test_words_are_put_together_in_tasks(spark, monkeypatch):
     """The constant of words holds each of them, over many groups, and comes from rows that Spark holds."""
     monkeypatch.setattr(bpe, "PER_GROUP", 16)
