@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mailfacts.operators.attribution import tracked_clicks, tracked_links
 from mailfacts.operators.dedupe import keep_matching
-from mailfacts.session import MOST_LOOKED_UP
+from mailfacts.session import LIST_PIECE, MOST_LOOKED_UP
 
 # Writing: rows of a row group, for which Bloom filters are sized.
 GROUP_ROWS = 1_000_000
@@ -42,6 +43,24 @@ def few_values(df: DataFrame, column: str, at_most: int = MOST_LOOKED_UP) -> lis
     return None if len(found) > at_most else [row[0] for row in found]
 
 
+def among(column: str, values: Sequence[Any]) -> Column:
+    """Whether ``column`` is one of ``values``, in a form that Parquet compares with every row group.
+
+    Spark hands Parquet a list as a chain of comparisons, which is walked recursively: thousands of links end
+    in a stack overflow. Lists beyond ``session.LIST_PIECE`` are handed over as one range, and beside it
+    as a balanced tree of lists that short. Rows are first tested against the whole list, so few meet the tree.
+    """
+    key = F.col(column)
+    whole = key.isin(list(values))
+    if len(values) <= LIST_PIECE:
+        return whole
+    pieces = [key.isin(list(values[i : i + LIST_PIECE])) for i in range(0, len(values), LIST_PIECE)]
+    while len(pieces) > 1:
+        pairs = zip(pieces[::2], pieces[1::2])
+        pieces = [a | b for a, b in pairs] + pieces[len(pieces) // 2 * 2 :]
+    return whole & pieces[0]
+
+
 def looked_up(
     table: DataFrame, keys_of: DataFrame, key: str, at_most: int = MOST_LOOKED_UP
 ) -> DataFrame:
@@ -53,7 +72,7 @@ def looked_up(
     values = few_values(keys_of, key, at_most)
     if values is None:
         return keep_matching(table, keys_of, [key])
-    return table.where(F.col(key).isin(values))
+    return table.where(among(key, values))
 
 
 def tracked_clicks_looked_up(

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 # Keys that are looked up in a stored table as a list.
 MOST_LOOKED_UP = 10_000
+# Values of a list that Parquet gets as they are. It walks them recursively, one call for each.
+LIST_PIECE = 100
 
 # Runtime SQL settings; everything else is left to Spark and to whoever runs the cluster.
 SETTINGS = {
@@ -31,8 +33,9 @@ SETTINGS = {
     # which Spark adds by itself where the long side is large enough to be worth it.
     "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
     "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1GB",
-    # Lists of keys reach the row groups of Parquet as they are, not as one range.
-    "spark.sql.parquet.pushdown.inFilterThreshold": str(MOST_LOOKED_UP),
+    # Short lists of keys reach the row groups of Parquet as they are, not as one range. Longer ones come
+    # in pieces (``operators.lookups.among``).
+    "spark.sql.parquet.pushdown.inFilterThreshold": str(LIST_PIECE),
     # Overwrites replace only the partitions present in the output.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }

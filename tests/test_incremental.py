@@ -254,6 +254,18 @@ def test_few_keys_skip_row_groups(spark, tmp_path):
     assert rows(looked_up(stored, wanted, "code", at_most=2)) == rows(found)
 
 
+def test_thousands_of_keys_are_looked_up(spark, tmp_path):
+    """As many as a list may have, at both ends of the table: the middle is skipped by the single keys only."""
+    links = spark.range(40_000).select(F.lpad(F.col("id").cast("string"), 6, "0").alias("code"), "id").repartition(4)
+    path = str(tmp_path / "links")
+    small = {"parquet.block.size": "65536", "parquet.page.size": "8192"}
+    write_for_lookups(links, path, "code", group_rows=1_000, **small)
+    wanted = links.where("id < 5000 or id >= 35000").select("code")
+    found = looked_up(spark.read.parquet(path), wanted, "code")
+    assert sorted(row.id for row in found.collect()) == [*range(5_000), *range(35_000, 40_000)]
+    assert scanned_rows(found) < 20_000
+
+
 def test_null_keys_are_not_looked_up(spark):
     table = frame(spark, "k string, v int", ("a", 1), (None, 2), ("b", 3))
     for at_most in (0, 10):
