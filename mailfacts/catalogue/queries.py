@@ -476,7 +476,8 @@ def _ocp_sources(fx: Fixtures, keep: Keep = as_planned) -> list[DataFrame]:
 
 @_query("response_union")
 def response_union(fx: Fixtures) -> DataFrame:
-    return ocp_responses(*_ocp_sources(fx), OCP_DATES)
+    keep = Steps("response_union")
+    return keep.only(ocp_responses(*_ocp_sources(fx, keep), OCP_DATES, keep=keep), *ATTRIBUTED)
 
 
 @_query("content_hierarchy")
