@@ -499,9 +499,11 @@ def content_blocks(fx: Fixtures) -> DataFrame:
     )
 
 
-def _response_fact_ocp(fx: Fixtures, dates: ResponseDates = OCP_DATES) -> DataFrame:
-    return plans.response_fact_ocp(
-        *_ocp_sources(fx),
+def _response_fact_ocp(
+    fx: Fixtures, keep: Steps, dates: ResponseDates = OCP_DATES
+) -> DataFrame:
+    fact = plans.response_fact_ocp(
+        *_ocp_sources(fx, keep),
         fx.template(),
         fx.block_keys(),
         fx.block_subcategories(),
@@ -509,24 +511,32 @@ def _response_fact_ocp(fx: Fixtures, dates: ResponseDates = OCP_DATES) -> DataFr
         fx.shopper(),
         dates=dates,
         build_ts=BUILD_TS,
+        keep=keep,
     )
+    return keep.only(fact, *ATTRIBUTED)
+
+
+def _stored_response_fact_ocp(fx: Fixtures, keep: Steps) -> DataFrame:
+    """The response fact as a last step, for jobs that go on with it."""
+    return keep.only(keep("fact", _response_fact_ocp(fx, keep)), "fact")
 
 
 @_query("response_fact_ocp")
 def response_fact_ocp(fx: Fixtures) -> DataFrame:
-    return _response_fact_ocp(fx)
+    return _response_fact_ocp(fx, Steps("response_fact_ocp"))
 
 
 @_query("response_fact_ocp_window")
 def response_fact_ocp_window(fx: Fixtures) -> DataFrame:
     """All six dates differ and cut."""
-    return _response_fact_ocp(fx, WINDOW_DATES)
+    return _response_fact_ocp(fx, Steps("response_fact_ocp_window"), WINDOW_DATES)
 
 
 @_query("flagged_response_fact_ocp")
 def flagged_response_fact_ocp(fx: Fixtures) -> DataFrame:
     """The response fact with its flags, as the flag job leaves it."""
-    return plans.flag_first_response(_response_fact_ocp(fx), FIRST_DAY, FIRST_DAY, END_DAY)
+    fact = _response_fact_ocp(fx, Steps("flagged_response_fact_ocp"))
+    return plans.flag_first_response(fact, FIRST_DAY, FIRST_DAY, END_DAY)
 
 
 # --- SFMC world -----------------------------------------------------------------------------
@@ -751,7 +761,7 @@ def response_fact_ocp_sink(fx: Fixtures) -> DataFrame:
     to it again."""
     target = schemas.RESPONSE_FACT, schemas.RESPONSE_FACT_PARTITIONS
     path = _scratch(fx, "response_fact_ocp_sink")
-    add_run(_response_fact_ocp(fx), path, *target, run="1")
+    add_run(_response_fact_ocp(fx, Steps("response_fact_ocp_sink")), path, *target, run="1")
     stored = read_newest(fx.spark, path, *target)
     flagged = plans.flag_first_response(stored, FIRST_DAY, FIRST_DAY, END_DAY)
     add_run(flagged, path, *target, run="2")
