@@ -535,7 +535,7 @@ def response_fact_ocp_window(fx: Fixtures) -> DataFrame:
 @_query("flagged_response_fact_ocp")
 def flagged_response_fact_ocp(fx: Fixtures) -> DataFrame:
     """The response fact with its flags, as the flag job leaves it."""
-    fact = _response_fact_ocp(fx, Steps("flagged_response_fact_ocp"))
+    fact = _stored_response_fact_ocp(fx, Steps("flagged_response_fact_ocp"))
     return plans.flag_first_response(fact, FIRST_DAY, FIRST_DAY, END_DAY)
 
 

@@ -29,7 +29,7 @@ ROWS = {
                       " elt(id % 2 + 1, 'O', 'F') l_linestatus,"
                       " date_add(date'1996-05-03', cast(id div 6 % 20 as int)) l_shipdate"),
 }
-IN_STEPS = ["click_chain", "response_union", "response_fact_ocp", "response_fact_ocp_window"]
+IN_STEPS = ["click_chain", "response_union", "response_fact_ocp", "response_fact_ocp_window", "flagged_response_fact_ocp"]
 
 
 @pytest.fixture(scope="module")
