@@ -357,9 +357,9 @@ def channel_split_two_branches(fx: Fixtures) -> DataFrame:
     return channel_split_union(_split_input(fx), MASS_MAILER_IN_SENDS)
 
 
-def _send_fact_ocp(fx: Fixtures, dates: ResponseDates) -> DataFrame:
+def _send_fact_ocp(fx: Fixtures, dates: ResponseDates, keep: Keep = as_planned) -> DataFrame:
     return plans.send_fact_ocp(
-        _clean_sends(fx),
+        keep("sends", _clean_sends(fx)),
         fx.queue_detail(),
         fx.queue_success(),
         fx.template(),
@@ -734,13 +734,21 @@ _TARGETS: dict[str, tuple[Callable[[Fixtures], DataFrame], Target]] = {
     "dim_holdout": (_dim_holdout, (schemas.HOLDOUT_DIM, schemas.HOLDOUT_DIM_PARTITIONS)),
 }
 
+# How the whole of a table is built whose shuffles, of its joins and of its write, are too much at once.
+_IN_STEPS: dict[str, Callable[[Fixtures, Keep], DataFrame]] = {
+    "send_fact_ocp": lambda fx, keep: keep("fact", _send_fact_ocp(fx, OCP_DATES, keep)),
+}
+
 
 def _stored_twice(fx: Fixtures, name: str) -> DataFrame:
     """The table ``name``, written by its days, the last days a second time in place of the first, and read
     back. The tables are written while the query is built and stay in the scratch folder."""
     build, (schema, partitions) = _TARGETS[name]
     path = _scratch(fx, f"{name}_sink")
-    add_run(build(fx), path, schema, partitions, "1")
+    keep = Steps(f"{name}_sink")
+    whole = _IN_STEPS[name](fx, keep) if name in _IN_STEPS else build(fx)
+    add_run(keep.only(whole, "fact"), path, schema, partitions, "1")
+    keep.only(whole)
     add_run(build(fx).where(F.col(partitions[0]) >= FLAG_FROM), path, schema, partitions, "2")
     return read_newest(fx.spark, path, schema, partitions)
 

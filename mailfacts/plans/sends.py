@@ -72,11 +72,16 @@ def send_fact_ocp(
     end, in the shuffle of the shopper join.
     """
     queued = queued_sends(sends, detail, success, start, queue_start, end)
+    # What follows from a row is added after the joins, so that they do not shuffle it.
+    joined = (
+        queued.withColumn("template_id", F.col("template_id").cast("string"))
+        .join(scans.templates(templates), "template_id", "left")
+        .join(scans.shoppers(shoppers), "shopper_id", "left")
+    )
     fact = (
-        channel_split(queued, mass_mailer)
+        channel_split(joined, mass_mailer)
         .withColumns(
             {
-                "template_id": F.col("template_id").cast("string"),
                 "isc_source_code": F.lower("isc_code"),
                 "email_language_code": locale_language("language_code"),
                 "email_country_code": locale_country("language_code"),
@@ -92,12 +97,10 @@ def send_fact_ocp(
                 "privatelabel_id": "private_label_id",
             }
         )
-        .join(scans.templates(templates), "template_id", "left")
         .withColumn(
             "email_send_id",
             email_key("email_message_guid", "shopper_id", "isc_source_code", "template_id"),
         )
-        .join(scans.shoppers(shoppers), "shopper_id", "left")
     )
     built = {"etl_build_mst_ts": build_time(build_ts)}
     return conform(fact, schemas.SEND_FACT, ABSENT_OCP, built, distinct=True)

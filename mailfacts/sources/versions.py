@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from mailfacts.operators.conform import conform
 from mailfacts.operators.lookups import few_values
+from mailfacts.session import FREE_SHUFFLES, during
 from mailfacts.sources.sink import write_partitioned
 
 RUN = "run"
@@ -51,7 +52,8 @@ def add_run(
     listed = spark.read.schema(schema).parquet(folder).select(*partitions)
     if emptied is not None:
         listed = listed.unionByName(emptied.select(*partitions))
-    listed.distinct().coalesce(1).write.mode("errorifexists").parquet(f"{path}/commits/{RUN}={run}")
+    with during(spark, FREE_SHUFFLES):
+        listed.distinct().coalesce(1).write.mode("errorifexists").parquet(f"{path}/commits/{RUN}={run}")
     return run
 
 

@@ -1,5 +1,6 @@
 """Long jobs in steps: the same rows, with the shuffles of one step at a time on disk."""
 
+import glob
 import time
 
 import pytest
@@ -11,6 +12,7 @@ from mailfacts import catalogue
 from mailfacts.catalogue.fixtures import TABLES, Fixtures
 from mailfacts.catalogue.queries import OCP_DATES, _ocp_sources
 from mailfacts.plans.responses import ATTRIBUTED, ocp_responses
+from mailfacts.session import scratch_dir
 from mailfacts.sources.steps import Steps
 
 # Forty orders of eight customers on twenty days, six lines each.
@@ -82,3 +84,12 @@ def test_steps_give_the_planned_responses(spark, folder):
     in_steps = ocp_responses(*_ocp_sources(fx, keep), OCP_DATES, keep=keep)
     assert rows(keep.only(in_steps, *ATTRIBUTED)) == planned_rows
     assert {row[0] for row in rows(in_steps.select("email_response_type"))} == {"open", "click"}
+
+
+@pytest.mark.parametrize("name", ["send_fact_ocp_sink"])
+def test_sinks_leave_their_table_only(spark, folder, name):
+    df, left = left_by(spark, lambda: catalogue.queries()[name](spark, folder))
+    assert not left
+    top = scratch_dir(spark).removeprefix("file://")
+    assert glob.glob(f"{top}/{name}-*/data") and not glob.glob(f"{top}/{name}-*-*")
+    assert df.count() > 0
