@@ -86,7 +86,7 @@ def test_steps_give_the_planned_responses(spark, folder):
     assert {row[0] for row in rows(in_steps.select("email_response_type"))} == {"open", "click"}
 
 
-@pytest.mark.parametrize("name", ["send_fact_ocp_sink"])
+@pytest.mark.parametrize("name", ["send_fact_ocp_sink", "response_fact_ocp_sink"])
 def test_sinks_leave_their_table_only(spark, folder, name):
     df, left = left_by(spark, lambda: catalogue.queries()[name](spark, folder))
     assert not left
